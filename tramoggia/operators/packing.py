@@ -1,0 +1,187 @@
+"""Filling containers of fixed capacity by bin completion on the histogram of lengths.
+
+Items of one length are interchangeable, so the search runs on the counts of the lengths, of which
+there are at most `capacity`: that alone goes to the driver, however many items there are. Around
+the largest remaining item it enumerates undominated fillings, prunes those whose waste cannot
+beat the best, and repeats a filling as often as the counts allow; best-fit-decreasing is the
+incumbent. The items are then dealt to the bins by their rank among the items of their length.
+"""
+
+from __future__ import annotations
+
+from bisect import bisect_right
+from collections import Counter
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tramoggia.operators.ranking import rank_in_groups, seeded
+from tramoggia.session import stage, table
+
+CAPACITY = 2048
+#: Fillings looked at for one bin before the best so far is taken.
+NODES = 20_000
+
+
+def best_fit(counts: dict[int, int], capacity: int) -> list[tuple[int, tuple[int, ...]]]:
+    """Best-fit-decreasing on counts: (times, lengths of one bin)."""
+    left = Counter({k: v for k, v in counts.items() if v > 0})
+    lengths = sorted(left)
+    out = []
+    while lengths:
+        room, bin_, used = capacity, [], Counter()
+        while (at := bisect_right(lengths, room)) > 0:
+            while at > 0 and left[lengths[at - 1]] <= used[lengths[at - 1]]:
+                at -= 1
+            if at == 0:
+                break
+            item = lengths[at - 1]
+            bin_.append(item)
+            used[item] += 1
+            room -= item
+        times = min(left[k] // n for k, n in used.items())
+        left.subtract({k: n * times for k, n in used.items()})
+        lengths = [k for k in lengths if left[k] > 0]
+        out.append((times, tuple(bin_)))
+    return out
+
+
+def completion(left: Counter, lengths: list[int], room: int, nodes: int = NODES) -> tuple[int, ...]:
+    """The filling of `room` with the least waste, of few large items among equals.
+
+    Depth-first over the lengths in descending order. A filling is dominated by one that has a
+    larger item in place of some of its items, so larger items come first and a branch is left as
+    soon as the largest sum that it still can reach doesn't beat the best. A full bin ends the search.
+    """
+    best: tuple[int, ...] = ()
+    best_sum = 0
+    budget = nodes
+    # (room left, highest index + 1 that may be used, items); greedy fillings come first.
+    stack: list[tuple[int, int, tuple[int, ...]]] = [(room, bisect_right(lengths, room), ())]
+    while stack and budget > 0:
+        budget -= 1
+        space, top, items = stack.pop()
+        if room - space > best_sum:
+            best, best_sum = items, room - space
+            if space == 0:
+                break
+        top = min(top, bisect_right(lengths, space))
+        if top == 0:
+            continue
+        item = lengths[top - 1]
+        if top > 1:
+            stack.append((space, top - 1, items))
+        if items.count(item) < left[item]:
+            stack.append((space - item, top, (*items, item)))
+    return best
+
+
+def bin_completion(counts: dict[int, int], capacity: int = CAPACITY, nodes: int = NODES) -> list[tuple[int, tuple[int, ...]]]:
+    """(times, lengths of one bin) for all items; each length is from 1 to `capacity`.
+
+    Never more bins than best-fit-decreasing; equal to the bound ceil(sum / capacity) as a rule.
+    """
+    counts = {int(k): int(v) for k, v in counts.items() if v > 0}
+    if any(not 0 < k <= capacity for k in counts):
+        raise ValueError("lengths must be from 1 to the capacity")
+    incumbent = best_fit(counts, capacity)
+    bound = -(-sum(k * v for k, v in counts.items()) // capacity)
+    most = sum(t for t, _ in incumbent)
+    if most <= bound:
+        return incumbent
+    left = Counter(counts)
+    lengths = sorted(counts)
+    out, bins, waste, allowed = [], 0, 0, most * capacity - sum(k * v for k, v in counts.items())
+    while lengths:
+        largest = lengths[-1]
+        left[largest] -= 1
+        fill = (largest, *completion(left, lengths, capacity - largest, nodes))
+        left[largest] += 1
+        used = Counter(fill)
+        times = min(left[k] // n for k, n in used.items())
+        left.subtract({k: n * times for k, n in used.items()})
+        lengths = [k for k in lengths if left[k] > 0]
+        out.append((times, fill))
+        bins += times
+        waste += times * (capacity - sum(fill))
+        if waste > allowed:
+            return incumbent
+    return out if bins <= most else incumbent
+
+
+def example_length(ids: Column, mask: Column) -> Column:
+    """The number of ids whose mask entry isn't 0; a null mask (or entry) masks nothing; null ids give 0."""
+    zeros = F.size(F.filter(F.slice(mask, F.lit(1), F.greatest(F.size(ids), F.lit(1))), lambda x: x == 0))
+    n = F.when(ids.isNull(), 0).otherwise(F.size(ids))
+    return F.greatest(F.lit(0), n - F.when(mask.isNull() | (n == 0), 0).otherwise(zeros)).cast("bigint")
+
+
+def segments(patterns: list[tuple[int, tuple[int, ...]]]) -> list[tuple[int, int, int, int, int]]:
+    """(length, first rank, end rank, first bin, items of the length in a bin), by the patterns' order."""
+    given: Counter = Counter()
+    out, first = [], 0
+    for times, fill in patterns:
+        for length, n in Counter(fill).items():
+            out.append((length, given[length], given[length] + times * n, first, n))
+            given[length] += times * n
+        first += times
+    return out
+
+
+def pack(items: DataFrame, capacity: int = CAPACITY, seed: int = 1) -> DataFrame:
+    """(item, piece, pieces, start, length, bin): `items` (item, size) in containers of `capacity`.
+
+    Items larger than the capacity are cut into full pieces and a rest; no other is cut. Items of
+    size 0 go to bin 0, which takes no room there. A null size counts as 0. Rows are taken as they
+    are: an item in two rows is packed twice. An empty table gives no rows.
+    """
+    spark = items.sparkSession
+    size = F.greatest(F.coalesce("size", F.lit(0)), F.lit(0)).cast("bigint")
+    pieces = F.greatest(F.lit(1), F.ceil(size / F.lit(capacity))).cast("int")
+    cut = items.select("item", size.alias("size"), pieces.alias("pieces")).withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
+    start = F.col("piece").cast("bigint") * capacity
+    cut = cut.select("item", "piece", "pieces", start.alias("start"), F.least(F.col("size") - start, F.lit(capacity).cast("bigint")).alias("length"))
+    cut = stage(cut, "pieces")
+    counts = {r.length: r["count"] for r in cut.groupBy("length").count().collect()}  # at most capacity + 1 rows
+    rows = sum(counts.values())
+    parts = segments(bin_completion({k: v for k, v in counts.items() if k > 0}, capacity))
+    schema = "length bigint, lo bigint, hi bigint, first bigint, n bigint"
+    # A pattern is repeated until a length runs out, so there are a few patterns for each of at most `capacity` lengths.
+    plan = spark.createDataFrame(parts, schema).groupBy("length").agg(F.sort_array(F.collect_list(F.struct("lo", "hi", "first", "n"))).alias("parts"))
+    ranked = rank_in_groups(cut, ["length"], [seeded(seed, "item", "piece"), F.col("item"), F.col("piece")], rows=rows)
+    joined = ranked.join(F.broadcast(plan), "length", "left")
+    part = F.element_at(F.filter("parts", lambda p: (p["lo"] <= F.col("rank")) & (F.col("rank") < p["hi"])), 1)
+    bin_ = F.coalesce(part["first"] + F.floor((F.col("rank") - part["lo"]) / part["n"]), F.lit(0)).cast("bigint")
+    return joined.select("item", "piece", "pieces", "start", "length", bin_.alias("bin"))
+
+
+def examples(df: DataFrame) -> DataFrame:
+    """(example_id, size): one row for each example of packed_shards; copies of an example are one.
+
+    Rows without an id are examples of their own contents.
+    """
+    size = example_length(F.col("input_ids"), F.col("attention_mask"))
+    own = F.when(F.col("example_id").isNull(), F.xxhash64("input_ids", "attention_mask"))
+    return df.select("example_id", own.alias("own"), size.alias("size")).groupBy("example_id", "own").agg(F.max("size").alias("size")).drop("own")
+
+
+def packed_examples(df: DataFrame, capacity: int = CAPACITY) -> DataFrame:
+    """(example_id, piece, pieces, start, length, bin) for the examples of packed_shards."""
+    return pack(examples(df).withColumnRenamed("example_id", "item"), capacity).withColumnRenamed("item", "example_id")
+
+
+def p5_found(spark: SparkSession, directory: str) -> DataFrame:
+    """The examples that packing had to split."""
+    return packed_examples(table(spark, directory, "packed_shards")).where("pieces > 1").select("example_id").distinct()
+
+
+def p5_bins(spark: SparkSession, directory: str) -> DataFrame:
+    """Every example, or piece of one, with its training sequence."""
+    return packed_examples(table(spark, directory, "packed_shards"))
+
+
+def p5_fill(spark: SparkSession, directory: str) -> DataFrame:
+    """How full the training sequences are: their number, ids, unused space and the least number possible."""
+    bins = p5_bins(spark, directory).groupBy("bin").agg(F.sum("length").alias("used"))
+    total = bins.agg(F.count("*").alias("bins"), F.sum("used").alias("ids"), F.max("used").alias("fullest"))
+    return total.select("bins", "ids", "fullest", (F.col("bins") * CAPACITY - F.col("ids")).alias("unused"), F.ceil(F.col("ids") / CAPACITY).alias("least_bins"))
