@@ -1,0 +1,299 @@
+"""Near-duplicate records by chosen-path set similarity join.
+
+Every text becomes the set of its shingles (runs of consecutive words). Texts with equal sets are
+one class, and the classes' representatives are joined: in a tree, a node is a group of classes
+that chose the same minwise tokens so far. Each class of a large node chooses some coordinates of
+its minwise signature, by a hash of the node, and goes to the child nodes named by the tokens
+found there; two sets of similarity J share each choice with probability J, so with more choices
+than 1/threshold a pair stays together in some path. Small nodes are compared exhaustively, first
+by signature, then by the exact sets. Independent trees repeat this to the target recall. Nodes
+that stay large to the last level hold truly similar records and are compared in blocks, so that
+no group is ever gathered whole.
+"""
+
+from __future__ import annotations
+
+import math
+import re
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tramoggia.session import stage, table
+
+#: Minwise tokens in a signature.
+SIGNATURE = 48
+#: Classes up to which a node is compared exhaustively.
+NODE = 48
+#: Levels below the root.
+LEVELS = 4
+#: The signatures of a pair may fall short of the threshold by so many standard deviations.
+SLACK = 3.7
+_WORD = re.compile(r"[^\W_]+")
+_MIX = np.uint64(0x9E3779B97F4A7C15)
+_WORDS: dict[str, int] = {}
+
+
+def _word_hashes(words: list[str]) -> np.ndarray:
+    known = _WORDS
+    if len(known) > 500_000:
+        known.clear()
+    out = []
+    for w in words:
+        h = known.get(w)
+        if h is None:
+            import xxhash
+
+            h = known[w] = xxhash.xxh64_intdigest(w)
+        out.append(h)
+    return np.array(out, np.uint64)
+
+
+def shingles(text: str | None, n: int) -> np.ndarray:
+    """The sorted 64-bit hashes of the text's runs of n words (lower-case letters and digits)."""
+    words = _WORD.findall(text.lower()) if text else []
+    if len(words) < n:
+        return np.zeros(0, np.uint64)
+    h = _word_hashes(words)
+    with np.errstate(over="ignore"):
+        out = h[: len(h) - n + 1].copy()
+        for k in range(1, n):
+            out = (out ^ (out >> np.uint64(29))) * _MIX + h[k : len(h) - n + 1 + k]
+        out = (out ^ (out >> np.uint64(32))) * _MIX
+    return np.unique(out ^ (out >> np.uint64(29)))
+
+
+def _multipliers(count: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    rng = np.random.default_rng(seed)
+    return rng.integers(1, 1 << 63, count, dtype=np.uint64) * 2 + 1, rng.integers(0, 1 << 63, count, dtype=np.uint64)
+
+
+def signature(items: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The minwise tokens of a set, 32 bits each."""
+    with np.errstate(over="ignore"):
+        h = (items[None, :] * a[:, None] + b[:, None]) >> np.uint64(32)
+    return h.min(axis=1).astype(np.uint32)
+
+
+def sketches(df: DataFrame, n: int, seed: int) -> DataFrame:
+    """(rec_id, class, size, sig) of the texts with n words or more; equal sets have equal classes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        a, b = _multipliers(SIGNATURE, seed)
+        for batch in batches:
+            ids, classes, sizes, sigs = [], [], [], []
+            for rec_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                items = shingles(text, n)
+                if len(items):
+                    ids.append(rec_id)
+                    with np.errstate(over="ignore"):
+                        classes.append(int((np.bitwise_xor.reduce(items * _MIX) + items.sum()).view(np.int64)))
+                    sizes.append(len(items))
+                    sigs.append(signature(items, a, b).tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(classes, pa.int64()), pa.array(sizes, pa.int32()), pa.array(sigs, pa.binary())], names=["rec_id", "class", "size", "sig"])
+
+    return df.select("rec_id", "text").mapInArrow(run, "rec_id bigint, class bigint, size int, sig binary")
+
+
+def trees_for(threshold: float, choices: int, recall: float) -> int:
+    """The trees after which a pair at the threshold has shared a path of one level with this probability."""
+    return max(1, math.ceil(math.log(1 - recall) / (choices * math.log(1 - threshold))))
+
+
+def _children(choices: int):
+    """Rows (class, node, sig) to (class, node) of the chosen children; node names its tree and path."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            node = batch.column(1).to_numpy().view(np.uint64)
+            sig = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint32).reshape(len(node), SIGNATURE)
+            klass, rows, out = batch.column(0).to_numpy(), np.arange(len(node)), []
+            with np.errstate(over="ignore"):
+                first = (node * _MIX) >> np.uint64(33)
+                for k in range(choices):
+                    at = ((first + np.uint64(k * (SIGNATURE // choices))) % np.uint64(SIGNATURE)).astype(np.int64)
+                    h = (node ^ (node >> np.uint64(31))) * _MIX + (at.astype(np.uint64) << np.uint64(32)) + sig[rows, at]
+                    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+                    out.append((h ^ (h >> np.uint64(27))).view(np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([klass] * choices)), pa.array(np.concatenate(out))], names=["class", "node"])
+
+    return run
+
+
+def _roots(trees: int, seed: int) -> list[int]:
+    rng = np.random.default_rng(seed + 1)
+    return [int(x) for x in rng.integers(-(1 << 62), 1 << 62, trees)]
+
+
+def _close(threshold: float):
+    """The least size ratio and the least number of equal minwise tokens of a pair that is compared exactly."""
+    least = SIGNATURE * threshold - SLACK * math.sqrt(SIGNATURE * threshold * (1 - threshold))
+    return max(1, math.floor(least))
+
+
+def _compare(threshold: float):
+    """Rows (left, right), lists of classes with size and signature, to the pairs that may be close.
+
+    A null right side means all pairs within the left.
+    """
+    least = _close(threshold)
+
+    def unpack(rows) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        return (
+            np.array([r["class"] for r in rows], np.int64),
+            np.array([r["size"] for r in rows], np.float64),
+            np.frombuffer(b"".join(r["sig"] for r in rows), np.uint32).reshape(len(rows), SIGNATURE),
+        )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lo, hi = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            for left, right in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                a, sa, ga = unpack(left)
+                b, sb, gb = (a, sa, ga) if right is None else unpack(right)
+                for k in range(len(a)):
+                    from_ = k + 1 if right is None else 0
+                    if from_ >= len(b):
+                        continue
+                    ok = (np.minimum(sb[from_:], sa[k]) >= threshold * np.maximum(sb[from_:], sa[k])) & (b[from_:] != a[k])
+                    at = np.flatnonzero(ok) + from_
+                    at = at[(gb[at] == ga[k]).sum(axis=1) >= least] if len(at) else at
+                    if len(at):
+                        lo.append(np.minimum(b[at], a[k]))
+                        hi.append(np.maximum(b[at], a[k]))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(lo)), pa.array(np.concatenate(hi))], names=["class_a", "class_b"])
+
+    return run
+
+
+def candidates(classes: DataFrame, threshold: float, recall: float, seed: int) -> DataFrame:
+    """(class_a, class_b): distinct pairs of classes (class, size, sig) that may be close."""
+    choices = math.ceil(1 / threshold)
+    roots = _roots(trees_for(threshold, choices, recall), seed)
+    spark = classes.sparkSession
+    compare, member = _compare(threshold), F.struct("class", "size", "sig")
+    nodes = classes.select("class", F.explode(F.array([F.lit(r) for r in roots])).alias("node"), "sig")
+    found = []
+    for level in range(LEVELS + 1):
+        # A node is named by a hash of its path; a class can reach a node only once but for collisions.
+        rows = stage(nodes.mapInArrow(_children(choices), "class bigint, node bigint"), f"paths-{level}")
+        counts = stage(rows.groupBy("node").agg(F.count("*").alias("n")).where("n > 1"), f"nodes-{level}")
+        small = rows.join(counts.where(F.col("n") <= NODE), "node").join(classes, "class")
+        groups = small.groupBy("node").agg(F.collect_list(member).alias("left")).select("left", F.lit(None).cast("array<struct<class:bigint,size:int,sig:binary>>").alias("right"))
+        found.append(groups.mapInArrow(compare, "class_a bigint, class_b bigint"))
+        large = rows.join(counts.where(F.col("n") > NODE), "node")
+        if counts.where(F.col("n") > NODE).isEmpty():
+            break
+        if level < LEVELS:
+            nodes = large.join(classes, "class").select("class", "node", "sig")
+            continue
+        # Blocks of a node: every pair of blocks is a group of two bounded lists.
+        blocks = F.ceil(F.col("n") / NODE).cast("int")
+        spread = large.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
+        other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+        paired = spread.withColumn("other", other).join(classes, "class")
+        paired = paired.groupBy("node", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")).agg(
+            F.collect_list(F.when(F.col("block") <= F.col("other"), member)).alias("left"),
+            F.when(F.col("i") < F.col("j"), F.collect_list(F.when(F.col("block") > F.col("other"), member))).alias("right"),
+        )
+        found.append(paired.select("left", "right").mapInArrow(compare, "class_a bigint, class_b bigint"))
+    pairs = found[0]
+    for more in found[1:]:
+        pairs = pairs.unionAll(more)
+    return pairs.distinct()
+
+
+def _sets(n: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingles(t, n).tobytes() for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["class", "items"])
+
+    return run
+
+
+def _exact(threshold: float):
+    """Rows (class_a, class_b, a, b) to those whose sets are alike enough, with shared and all items."""
+    top, bottom = threshold.as_integer_ratio() if threshold in (0.5, 0.25, 0.75) else (round(threshold * 10_000), 10_000)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep, shared, total = [], [], []
+            for k, (a, b) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())):
+                both = np.concatenate([np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)])
+                both.sort()
+                same = int((both[1:] == both[:-1]).sum())
+                if bottom * same >= top * (len(both) - same):
+                    keep.append(k)
+                    shared.append(same)
+                    total.append(len(both) - same)
+            at = pa.array(keep, pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array(shared, pa.int32()), pa.array(total, pa.int32())], names=["class_a", "class_b", "shared", "total"])
+
+    return run
+
+
+class Similar:
+    """The result of a similarity join: classes of equal sets, their members, and the links between classes."""
+
+    def __init__(self, members: DataFrame, links: DataFrame):
+        #: (rec_id, class, first): every record with enough words; first is the least rec_id of its class.
+        self.members = members
+        #: (class_a, class_b, shared, total): classes alike at the threshold or more; class_a < class_b.
+        self.links = links
+
+    def pairs(self) -> DataFrame:
+        """(rec_a, rec_b), rec_a < rec_b: all pairs of records alike, copies written out."""
+        a = self.members.select(F.col("rec_id").alias("rec_a"), F.col("class").alias("class_a"))
+        b = self.members.select(F.col("rec_id").alias("rec_b"), F.col("class").alias("class_b"))
+        across = self.links.select("class_a", "class_b").join(a, "class_a").join(b, "class_b").select("rec_a", "rec_b")
+        twice = self.members.groupBy("class").agg(F.count("*").alias("n")).where("n > 1").select("class")
+        within = a.join(twice.withColumnRenamed("class", "class_a"), "class_a", "left_semi").join(b.withColumnRenamed("class_b", "class_a"), "class_a").where("rec_a < rec_b").select("rec_a", "rec_b")
+        return across.select(F.least("rec_a", "rec_b").alias("rec_a"), F.greatest("rec_a", "rec_b").alias("rec_b")).unionAll(within)
+
+    def classes(self) -> DataFrame:
+        """(rec_id, class_id, copies, links): one row for each record; class_id is the least rec_id of equal sets."""
+        size = self.members.groupBy("class").agg(F.count("*").alias("copies"))
+        ends = self.links.select(F.explode(F.array("class_a", "class_b")).alias("class")).groupBy("class").agg(F.count("*").alias("links"))
+        return self.members.join(size, "class").join(ends, "class", "left").select("rec_id", F.col("first").alias("class_id"), "copies", F.coalesce("links", F.lit(0)).cast("bigint").alias("links"))
+
+
+def similar(df: DataFrame, threshold: float = 0.8, words: int = 5, recall: float = 0.9999, seed: int = 11) -> Similar:
+    """The near-duplicates among records (rec_id, text); other columns are ignored.
+
+    Sets of runs of `words` words are compared by intersection ÷ union. Null texts and those of
+    fewer words are in no pair. Records with equal rec_ids must have equal texts. No limit on
+    copies, partners or sizes of groups; pairs at the threshold are found with probability
+    `recall` or a little more, others with higher, and every pair is checked exactly.
+    """
+    records = df.select("rec_id", "text")
+    base = stage(sketches(records, words, seed), "sketches")
+    classes = stage(base.groupBy("class").agg(F.min("rec_id").alias("first"), F.first("size").alias("size"), F.first("sig").alias("sig")), "classes")
+    pairs = stage(candidates(classes.select("class", "size", "sig"), threshold, recall, seed), "candidates")
+    wanted = pairs.select(F.explode(F.array("class_a", "class_b")).alias("class")).distinct().join(classes.select("class", "first"), "class")
+    texts = records.withColumnRenamed("rec_id", "first").join(wanted, "first").dropDuplicates(["class"]).select("class", "text")
+    sets = stage(texts.mapInArrow(_sets(words), "class bigint, items binary"), "sets")
+    both = pairs.join(sets.withColumnsRenamed({"class": "class_a", "items": "a"}), "class_a").join(sets.withColumnsRenamed({"class": "class_b", "items": "b"}), "class_b")
+    links = both.select("class_a", "class_b", "a", "b").mapInArrow(_exact(threshold), "class_a bigint, class_b bigint, shared int, total int")
+    members = base.select("rec_id", "class").join(classes.select("class", "first"), "class")
+    return Similar(members, links)
+
+
+def corpus(spark: SparkSession, directory: str) -> DataFrame:
+    """The records of fineweb2_it and wikipedia_it together."""
+    return table(spark, directory, "fineweb2_it").select("rec_id", "text").unionAll(table(spark, directory, "wikipedia_it").select("rec_id", "text"))
+
+
+def p6_found(spark: SparkSession, directory: str) -> DataFrame:
+    """All pairs of records of both tables alike at 0.6 or more in runs of three words."""
+    return similar(corpus(spark, directory), 0.6, 3).pairs().distinct()
+
+
+def p6_classes(spark: SparkSession, directory: str) -> DataFrame:
+    """Every record of both tables with its class of equal texts and the number of classes near it (0.8, five words)."""
+    return similar(corpus(spark, directory)).classes()

@@ -1,0 +1,29 @@
+"""Queries of the general operators on corpus data, with their SQL."""
+
+from __future__ import annotations
+
+from tramoggia.operators import packing, similarity
+
+QUERIES = {
+    "p5_found": packing.p5_found,
+    "p5_bins": packing.p5_bins,
+    "p5_fill": packing.p5_fill,
+    "p6_found": similarity.p6_found,
+    "p6_classes": similarity.p6_classes,
+}
+
+_LENGTHS = """
+  SELECT example_id, max(CASE WHEN input_ids IS NULL THEN 0 WHEN attention_mask IS NULL THEN len(input_ids)
+    ELSE len(input_ids) - len(list_filter(list_slice(attention_mask, 1, len(input_ids)), x -> x = 0)) END) AS size
+  FROM packed_shards GROUP BY example_id"""
+
+SQL = {
+    "p5_found": f"SELECT example_id FROM ({_LENGTHS}) WHERE size > 2048",
+    "p6_found": r"""
+WITH r AS (SELECT rec_id, text FROM fineweb2_it UNION ALL SELECT rec_id, text FROM wikipedia_it),
+w AS (SELECT rec_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM r WHERE text IS NOT NULL),
+sh AS (SELECT DISTINCT rec_id, unnest([w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] FOR i IN range(1, len(w) - 1)]) AS s FROM w WHERE len(w) >= 3),
+c AS (SELECT rec_id, count(*) AS n FROM sh GROUP BY 1),
+p AS (SELECT a.rec_id AS rec_a, b.rec_id AS rec_b, count(*) AS k FROM sh a JOIN sh b ON a.s = b.s AND a.rec_id < b.rec_id GROUP BY 1, 2)
+SELECT rec_a, rec_b FROM p JOIN c x ON x.rec_id = rec_a JOIN c y ON y.rec_id = rec_b WHERE k * 10 >= 6 * (x.n + y.n - k)""",
+}
