@@ -150,7 +150,7 @@ def pack(items: DataFrame, capacity: int = CAPACITY, seed: int = 1) -> DataFrame
     plan = spark.createDataFrame(parts, schema).groupBy("length").agg(F.sort_array(F.collect_list(F.struct("lo", "hi", "first", "n"))).alias("parts"))
     ranked = rank_in_groups(cut, ["length"], [seeded(seed, "item", "piece"), F.col("item"), F.col("piece")], rows=rows)
     joined = ranked.join(F.broadcast(plan), "length", "left")
-    part = F.element_at(F.filter("parts", lambda p: (p["lo"] <= F.col("rank")) & (F.col("rank") < p["hi"])), 1)
+    part = F.get(F.filter("parts", lambda p: (p["lo"] <= F.col("rank")) & (F.col("rank") < p["hi"])), F.lit(0))
     bin_ = F.coalesce(part["first"] + F.floor((F.col("rank") - part["lo"]) / part["n"]), F.lit(0)).cast("bigint")
     return joined.select("item", "piece", "pieces", "start", "length", bin_.alias("bin"))
 
