@@ -22,34 +22,33 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tramoggia.session import stage, table
+from tramoggia.session import mapped, stage, table
 
 #: Minwise tokens in a signature.
 SIGNATURE = 48
 #: Classes up to which a node is compared exhaustively.
-NODE = 48
+NODE = 64
 #: Levels below the root.
 LEVELS = 4
 #: The signatures of a pair may fall short of the threshold by so many standard deviations.
 SLACK = 3.7
 _WORD = re.compile(r"[^\W_]+")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
-_WORDS: dict[str, int] = {}
 
 
-def _word_hashes(words: list[str]) -> np.ndarray:
-    known = _WORDS
-    if len(known) > 500_000:
-        known.clear()
-    out = []
-    for w in words:
-        h = known.get(w)
-        if h is None:
-            import xxhash
+class _Hashes(dict):
+    """Words to their 64-bit hashes, computed once; emptied before it grows large."""
 
-            h = known[w] = xxhash.xxh64_intdigest(w)
-        out.append(h)
-    return np.array(out, np.uint64)
+    def __missing__(self, word: str) -> int:
+        import xxhash
+
+        if len(self) > 500_000:
+            self.clear()
+        h = self[word] = xxhash.xxh64_intdigest(word)
+        return h
+
+
+_HASHES = _Hashes()
 
 
 def shingles(text: str | None, n: int) -> np.ndarray:
@@ -57,34 +56,39 @@ def shingles(text: str | None, n: int) -> np.ndarray:
     words = _WORD.findall(text.lower()) if text else []
     if len(words) < n:
         return np.zeros(0, np.uint64)
-    h = _word_hashes(words)
+    h = np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
     with np.errstate(over="ignore"):
         out = h[: len(h) - n + 1].copy()
         for k in range(1, n):
             out = (out ^ (out >> np.uint64(29))) * _MIX + h[k : len(h) - n + 1 + k]
         out = (out ^ (out >> np.uint64(32))) * _MIX
-    return np.unique(out ^ (out >> np.uint64(29)))
+    out ^= out >> np.uint64(29)
+    out.sort()
+    return out[np.concatenate(([True], out[1:] != out[:-1]))]
 
 
 def _multipliers(count: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
     rng = np.random.default_rng(seed)
-    return rng.integers(1, 1 << 63, count, dtype=np.uint64) * 2 + 1, rng.integers(0, 1 << 63, count, dtype=np.uint64)
+    return rng.integers(0, 1 << 31, (count, 1), dtype=np.uint32) * np.uint32(2) + np.uint32(1), rng.integers(0, 1 << 32, (count, 1), dtype=np.uint32)
 
 
 def signature(items: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """The minwise tokens of a set, 32 bits each."""
-    with np.errstate(over="ignore"):
-        h = (items[None, :] * a[:, None] + b[:, None]) >> np.uint64(32)
-    return h.min(axis=1).astype(np.uint32)
+    """The minwise tokens of a set, 32 bits each; the items are well mixed hashes."""
+    return ((items >> np.uint64(32)).astype(np.uint32)[None, :] * a + b).min(axis=1)
 
 
-def sketches(df: DataFrame, n: int, seed: int) -> DataFrame:
-    """(rec_id, class, size, sig) of the texts with n words or more; equal sets have equal classes."""
+def sketches(df: DataFrame, n: int, seed: int, trees: int, choices: int) -> DataFrame:
+    """(rec_id, class, size, nodes, bits) of the texts with n words or more; equal sets have equal classes.
+
+    `nodes` are the children of all trees' roots that the set chooses, by whole minwise tokens;
+    `bits` keeps 8 bits of each token, which is enough to compare and to branch further.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = _multipliers(SIGNATURE, seed)
+        roots = np.array(_roots(trees, seed), np.int64).view(np.uint64)
         for batch in batches:
-            ids, classes, sizes, sigs = [], [], [], []
+            ids, classes, sizes, nodes, bits = [], [], [], [], []
             for rec_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 items = shingles(text, n)
                 if len(items):
@@ -92,10 +96,13 @@ def sketches(df: DataFrame, n: int, seed: int) -> DataFrame:
                     with np.errstate(over="ignore"):
                         classes.append(int((np.bitwise_xor.reduce(items * _MIX) + items.sum()).view(np.int64)))
                     sizes.append(len(items))
-                    sigs.append(signature(items, a, b).tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(classes, pa.int64()), pa.array(sizes, pa.int32()), pa.array(sigs, pa.binary())], names=["rec_id", "class", "size", "sig"])
+                    tokens = signature(items, a, b)
+                    nodes.append(_chosen(roots, np.broadcast_to(tokens, (trees, SIGNATURE)), choices).ravel())
+                    bits.append(tokens.astype(np.uint8).tobytes())
+            chosen = pa.ListArray.from_arrays(pa.array(np.arange(len(ids) + 1) * trees * choices, pa.int32()), pa.array(np.concatenate(nodes) if nodes else np.zeros(0, np.int64)))
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(classes, pa.int64()), pa.array(sizes, pa.int32()), chosen, pa.array(bits, pa.binary())], names=["rec_id", "class", "size", "nodes", "bits"])
 
-    return df.select("rec_id", "text").mapInArrow(run, "rec_id bigint, class bigint, size int, sig binary")
+    return df.select("rec_id", "text").transform(mapped, run, "rec_id bigint, class bigint, size int, nodes array<bigint>, bits binary")
 
 
 def trees_for(threshold: float, choices: int, recall: float) -> int:
@@ -103,24 +110,28 @@ def trees_for(threshold: float, choices: int, recall: float) -> int:
     return max(1, math.ceil(math.log(1 - recall) / (choices * math.log(1 - threshold))))
 
 
+def _chosen(node: np.ndarray, tokens: np.ndarray, choices: int) -> np.ndarray:
+    """For each row the children it goes to: `choices` coordinates, by a hash of the node, and the tokens there."""
+    rows, out = np.arange(len(node)), []
+    with np.errstate(over="ignore"):
+        first = (node * _MIX) >> np.uint64(33)
+        for k in range(choices):
+            at = ((first + np.uint64(k * (SIGNATURE // choices))) % np.uint64(SIGNATURE)).astype(np.int64)
+            h = (node ^ (node >> np.uint64(31))) * _MIX + (at.astype(np.uint64) << np.uint64(32)) + tokens[rows, at]
+            h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+            out.append((h ^ (h >> np.uint64(27))).view(np.int64))
+    return np.stack(out, axis=1)
+
+
 def _children(choices: int):
-    """Rows (class, node, sig) to (class, node) of the chosen children; node names its tree and path."""
+    """Rows (class, node, bits) to (class, node) of the chosen children; a node's name is a hash of its tree and path."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            node = batch.column(1).to_numpy().view(np.uint64)
-            sig = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint32).reshape(len(node), SIGNATURE)
-            klass, rows, out = batch.column(0).to_numpy(), np.arange(len(node)), []
-            with np.errstate(over="ignore"):
-                first = (node * _MIX) >> np.uint64(33)
-                for k in range(choices):
-                    at = ((first + np.uint64(k * (SIGNATURE // choices))) % np.uint64(SIGNATURE)).astype(np.int64)
-                    h = (node ^ (node >> np.uint64(31))) * _MIX + (at.astype(np.uint64) << np.uint64(32)) + sig[rows, at]
-                    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-                    out.append((h ^ (h >> np.uint64(27))).view(np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([klass] * choices)), pa.array(np.concatenate(out))], names=["class", "node"])
+            if batch.num_rows:
+                bits = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint8).reshape(-1, SIGNATURE).astype(np.uint64)
+                out = _chosen(batch.column(1).to_numpy().view(np.uint64), bits, choices)
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(batch.column(0).to_numpy(), choices)), pa.array(out.ravel())], names=["class", "node"])
 
     return run
 
@@ -131,77 +142,107 @@ def _roots(trees: int, seed: int) -> list[int]:
 
 
 def _close(threshold: float):
-    """The least size ratio and the least number of equal minwise tokens of a pair that is compared exactly."""
+    """The least number of equal minwise tokens of a pair that is compared exactly."""
     least = SIGNATURE * threshold - SLACK * math.sqrt(SIGNATURE * threshold * (1 - threshold))
     return max(1, math.floor(least))
 
 
+def _members(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The lists' offsets, and the classes, sizes and bits of all their members."""
+    flat = column.flatten()
+    bits = flat.field("bits")
+    raw = np.frombuffer(bits.buffers()[2], np.uint8) if len(flat) else np.zeros(0, np.uint8)
+    start = int(np.frombuffer(bits.buffers()[1], np.int32)[bits.offset]) if len(flat) else 0
+    lengths = np.diff(column.offsets.to_numpy())
+    return (
+        np.concatenate(([0], np.cumsum(lengths))),
+        flat.field("class").to_numpy(zero_copy_only=False),
+        flat.field("size").to_numpy(zero_copy_only=False).astype(np.float64),
+        raw[start : start + len(flat) * SIGNATURE].reshape(-1, SIGNATURE),
+    )
+
+
 def _compare(threshold: float):
-    """Rows (left, right), lists of classes with size and signature, to the pairs that may be close.
+    """Rows (left, right), lists of classes with size and bits, to the pairs that may be close.
 
     A null right side means all pairs within the left.
     """
     least = _close(threshold)
 
-    def unpack(rows) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        return (
-            np.array([r["class"] for r in rows], np.int64),
-            np.array([r["size"] for r in rows], np.float64),
-            np.frombuffer(b"".join(r["sig"] for r in rows), np.uint32).reshape(len(rows), SIGNATURE),
-        )
+    def close(a, b, ia: np.ndarray, ib: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        ca, sa, ga = a
+        cb, sb, gb = b
+        ok = (np.minimum(sa[ia], sb[ib]) >= threshold * np.maximum(sa[ia], sb[ib])) & (ca[ia] != cb[ib])
+        ia, ib = ia[ok], ib[ok]
+        keep = [np.zeros(0, np.int64)]
+        for k in range(0, len(ia), 100_000):
+            keep.append(np.flatnonzero((ga[ia[k : k + 100_000]] == gb[ib[k : k + 100_000]]).sum(axis=1) >= least) + k)
+        at = np.concatenate(keep)
+        x, y = ca[ia[at]], cb[ib[at]]
+        return np.minimum(x, y), np.maximum(x, y)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lo, hi = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-            for left, right in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                a, sa, ga = unpack(left)
-                b, sb, gb = (a, sa, ga) if right is None else unpack(right)
-                for k in range(len(a)):
-                    from_ = k + 1 if right is None else 0
-                    if from_ >= len(b):
-                        continue
-                    ok = (np.minimum(sb[from_:], sa[k]) >= threshold * np.maximum(sb[from_:], sa[k])) & (b[from_:] != a[k])
-                    at = np.flatnonzero(ok) + from_
-                    at = at[(gb[at] == ga[k]).sum(axis=1) >= least] if len(at) else at
-                    if len(at):
-                        lo.append(np.minimum(b[at], a[k]))
-                        hi.append(np.maximum(b[at], a[k]))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(lo)), pa.array(np.concatenate(hi))], names=["class_a", "class_b"])
+            if not batch.num_rows:
+                continue
+            left, *a = _members(batch.column(0))
+            lo, hi = [], []
+            crossed = np.flatnonzero(batch.column(1).is_valid().to_numpy(zero_copy_only=False))
+            alone = np.setdiff1d(np.arange(batch.num_rows), crossed)
+            sizes = np.diff(left)
+            for n in np.unique(sizes[alone]):
+                i, j = np.triu_indices(n, 1)
+                starts = left[alone[sizes[alone] == n]]
+                # All pairs of the groups of one size, some groups at a time.
+                step = max(1, 1_000_000 // max(1, len(i)))
+                for k in range(0, len(starts), step):
+                    base = starts[k : k + step, None]
+                    pair = close(a, a, (base + i).ravel(), (base + j).ravel())
+                    lo.append(pair[0])
+                    hi.append(pair[1])
+            if len(crossed):
+                right, *b = _members(batch.column(1))
+                for k in crossed:
+                    i, j = np.meshgrid(np.arange(left[k], left[k + 1]), np.arange(right[k], right[k + 1]), indexing="ij")
+                    pair = close(a, b, i.ravel(), j.ravel())
+                    lo.append(pair[0])
+                    hi.append(pair[1])
+            none = [np.zeros(0, np.int64)]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(lo or none)), pa.array(np.concatenate(hi or none))], names=["class_a", "class_b"])
 
     return run
 
 
-def candidates(classes: DataFrame, threshold: float, recall: float, seed: int) -> DataFrame:
-    """(class_a, class_b): distinct pairs of classes (class, size, sig) that may be close."""
-    choices = math.ceil(1 / threshold)
-    roots = _roots(trees_for(threshold, choices, recall), seed)
-    spark = classes.sparkSession
-    compare, member = _compare(threshold), F.struct("class", "size", "sig")
-    nodes = classes.select("class", F.explode(F.array([F.lit(r) for r in roots])).alias("node"), "sig")
+def candidates(classes: DataFrame, threshold: float, choices: int) -> DataFrame:
+    """(class_a, class_b): distinct pairs of classes (class, size, nodes, bits) that may be close."""
+    compare, member = _compare(threshold), F.struct("class", "size", "bits")
+    narrow = classes.select("class", "size", "bits")
+    rows = classes.select("class", F.explode("nodes").alias("node"))
     found = []
     for level in range(LEVELS + 1):
-        # A node is named by a hash of its path; a class can reach a node only once but for collisions.
-        rows = stage(nodes.mapInArrow(_children(choices), "class bigint, node bigint"), f"paths-{level}")
         counts = stage(rows.groupBy("node").agg(F.count("*").alias("n")).where("n > 1"), f"nodes-{level}")
-        small = rows.join(counts.where(F.col("n") <= NODE), "node").join(classes, "class")
-        groups = small.groupBy("node").agg(F.collect_list(member).alias("left")).select("left", F.lit(None).cast("array<struct<class:bigint,size:int,sig:binary>>").alias("right"))
-        found.append(groups.mapInArrow(compare, "class_a bigint, class_b bigint"))
-        large = rows.join(counts.where(F.col("n") > NODE), "node")
-        if counts.where(F.col("n") > NODE).isEmpty():
+        # Only classes that share a node with another are looked at further.
+        shared = stage(rows.join(counts, "node"), f"paths-{level}")
+        small = shared.where(F.col("n") <= NODE).select("node", "class").join(narrow, "class")
+        groups = small.groupBy("node").agg(F.collect_list(member).alias("left")).select("left", F.lit(None).cast("array<struct<class:bigint,size:int,bits:binary>>").alias("right"))
+        found.append(groups.transform(mapped, compare, "class_a bigint, class_b bigint"))
+        large = shared.where(F.col("n") > NODE)
+        if large.isEmpty():
             break
+        # Below the root a pair must go on sharing choices, so one more is taken for the same recall.
         if level < LEVELS:
-            nodes = large.join(classes, "class").select("class", "node", "sig")
+            rows = stage(large.join(narrow, "class").select("class", "node", "bits").transform(mapped, _children(choices + 1), "class bigint, node bigint"), f"children-{level}")
             continue
         # Blocks of a node: every pair of blocks is a group of two bounded lists.
         blocks = F.ceil(F.col("n") / NODE).cast("int")
         spread = large.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
         other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-        paired = spread.withColumn("other", other).join(classes, "class")
+        paired = spread.withColumn("other", other).join(narrow, "class")
         paired = paired.groupBy("node", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")).agg(
             F.collect_list(F.when(F.col("block") <= F.col("other"), member)).alias("left"),
             F.when(F.col("i") < F.col("j"), F.collect_list(F.when(F.col("block") > F.col("other"), member))).alias("right"),
         )
-        found.append(paired.select("left", "right").mapInArrow(compare, "class_a bigint, class_b bigint"))
+        found.append(paired.select("left", "right").transform(mapped, compare, "class_a bigint, class_b bigint"))
     pairs = found[0]
     for more in found[1:]:
         pairs = pairs.unionAll(more)
@@ -263,7 +304,7 @@ class Similar:
         return self.members.join(size, "class").join(ends, "class", "left").select("rec_id", F.col("first").alias("class_id"), "copies", F.coalesce("links", F.lit(0)).cast("bigint").alias("links"))
 
 
-def similar(df: DataFrame, threshold: float = 0.8, words: int = 5, recall: float = 0.9999, seed: int = 11) -> Similar:
+def similar(df: DataFrame, threshold: float = 0.8, words: int = 5, recall: float = 0.9998, seed: int = 11) -> Similar:
     """The near-duplicates among records (rec_id, text); other columns are ignored.
 
     Sets of runs of `words` words are compared by intersection ÷ union. Null texts and those of
@@ -272,14 +313,15 @@ def similar(df: DataFrame, threshold: float = 0.8, words: int = 5, recall: float
     `recall` or a little more, others with higher, and every pair is checked exactly.
     """
     records = df.select("rec_id", "text")
-    base = stage(sketches(records, words, seed), "sketches")
-    classes = stage(base.groupBy("class").agg(F.min("rec_id").alias("first"), F.first("size").alias("size"), F.first("sig").alias("sig")), "classes")
-    pairs = stage(candidates(classes.select("class", "size", "sig"), threshold, recall, seed), "candidates")
+    choices = math.ceil(1 / threshold)
+    base = stage(sketches(records, words, seed, trees_for(threshold, choices, recall), choices), "sketches")
+    classes = stage(base.groupBy("class").agg(F.min("rec_id").alias("first"), F.first("size").alias("size"), F.first("nodes").alias("nodes"), F.first("bits").alias("bits")), "classes")
+    pairs = stage(candidates(classes.select("class", "size", "nodes", "bits"), threshold, choices), "candidates")
     wanted = pairs.select(F.explode(F.array("class_a", "class_b")).alias("class")).distinct().join(classes.select("class", "first"), "class")
     texts = records.withColumnRenamed("rec_id", "first").join(wanted, "first").dropDuplicates(["class"]).select("class", "text")
-    sets = stage(texts.mapInArrow(_sets(words), "class bigint, items binary"), "sets")
+    sets = stage(texts.transform(mapped, _sets(words), "class bigint, items binary"), "sets")
     both = pairs.join(sets.withColumnsRenamed({"class": "class_a", "items": "a"}), "class_a").join(sets.withColumnsRenamed({"class": "class_b", "items": "b"}), "class_b")
-    links = both.select("class_a", "class_b", "a", "b").mapInArrow(_exact(threshold), "class_a bigint, class_b bigint, shared int, total int")
+    links = both.select("class_a", "class_b", "a", "b").transform(mapped, _exact(threshold), "class_a bigint, class_b bigint, shared int, total int")
     members = base.select("rec_id", "class").join(classes.select("class", "first"), "class")
     return Similar(members, links)
 

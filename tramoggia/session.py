@@ -6,6 +6,7 @@ import os
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -40,6 +41,12 @@ def ship(spark: SparkSession) -> None:
     context._tramoggia_shipped = True
 
 
+def mapped(df: DataFrame, function: Callable, schema: str) -> DataFrame:
+    """`df.mapInArrow` with this package sent along; for use with `df.transform`."""
+    ship(df.sparkSession)
+    return df.mapInArrow(function, schema)
+
+
 def table(spark: SparkSession, directory: str, name: str) -> DataFrame:
     """One parquet table of a data directory."""
     ship(spark)
@@ -87,4 +94,4 @@ def spread(df: DataFrame, least: int | None = None) -> DataFrame:
     return df.repartition(want) if df.rdd.getNumPartitions() < want else df
 
 
-__all__ = ["REQUIRED", "build_session", "ship", "spread", "stage", "staging_root", "table"]
+__all__ = ["REQUIRED", "build_session", "mapped", "ship", "spread", "stage", "staging_root", "table"]
