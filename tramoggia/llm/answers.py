@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tramoggia.operators.joins import lookup
-from tramoggia.session import stage, table
+from tramoggia.session import mapped, stage, table
 
 # Answers that stand for none.
 PLACEHOLDERS = frozenset((
@@ -197,7 +197,7 @@ def terminal_words(answers: DataFrame) -> DataFrame:
                 yield out()
         yield out()
 
-    return answers.mapInArrow(run, "word string, ends bigint, goes_on bigint").groupBy("word").agg(F.sum("ends").alias("ends"), F.sum("goes_on").alias("goes_on"))
+    return answers.transform(mapped, run, "word string, ends bigint, goes_on bigint").groupBy("word").agg(F.sum("ends").alias("ends"), F.sum("goes_on").alias("goes_on"))
 
 
 def _forms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -255,7 +255,7 @@ def defects(pairs: DataFrame) -> DataFrame:
     twice give one row; an empty table gives none.
     """
     rows = pairs.select("source", "pair_id", "prompt", "answer", "context")
-    judged = stage(rows.mapInArrow(_forms, "source string, pair_id string, defect string, word string"), "answer-forms")
+    judged = stage(rows.transform(mapped, _forms, "source string, pair_id string, defect string, word string"), "answer-forms")
     open_ = judged.where("word is not null").select("word").distinct()
     model = terminal_words(rows.where("context is null").select("answer"))
     total = F.coalesce(F.col("ends"), F.lit(0)) + F.coalesce(F.col("goes_on"), F.lit(0))

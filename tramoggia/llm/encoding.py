@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tramoggia.session import table
+from tramoggia.session import mapped, table
 
 #: Where the public tokenizers lie; every operator takes another place as a parameter.
 TOKENIZERS = os.environ.get("TRAMOGGIA_TOKENIZERS", "/opt/tokenizers")
@@ -97,7 +97,7 @@ def encode(df: DataFrame, key: str = "doc_id", text: str = "text", vocabulary: s
             ids = (e.ids for portion in _portions(texts) for e in t.encode_batch_fast(portion, add_special_tokens=False))
             yield pa.RecordBatch.from_arrays([batch.column(0), _lists(ids)], names=[key, "ids"])
 
-    return df.select(F.col(key), F.col(text)).mapInArrow(run, f"`{key}` {kind.simpleString()}, ids array<int>")
+    return df.select(F.col(key), F.col(text)).transform(mapped, run, f"`{key}` {kind.simpleString()}, ids array<int>")
 
 
 def character_starts(text: str) -> np.ndarray:
@@ -132,7 +132,7 @@ def encode_spans(df: DataFrame, key: str = "doc_id", text: str = "text", vocabul
             yield pa.RecordBatch.from_arrays([batch.column(0), *(_lists(c) for c in cols)], names=[key, *names])
 
     kind = df.schema[key].dataType.simpleString()
-    return df.select(F.col(key), F.col(text)).mapInArrow(run, f"`{key}` {kind}, " + ", ".join(f"{n} array<int>" for n in names))
+    return df.select(F.col(key), F.col(text)).transform(mapped, run, f"`{key}` {kind}, " + ", ".join(f"{n} array<int>" for n in names))
 
 
 def decode(df: DataFrame, key: str = "doc_id", ids: str = "ids", vocabulary: str = VOCABULARY, place: str = TOKENIZERS) -> DataFrame:
@@ -154,7 +154,7 @@ def decode(df: DataFrame, key: str = "doc_id", ids: str = "ids", vocabulary: str
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=[key, "text"])
 
     kind = df.schema[key].dataType.simpleString()
-    return df.select(F.col(key), F.col(ids)).mapInArrow(run, f"`{key}` {kind}, text string")
+    return df.select(F.col(key), F.col(ids)).transform(mapped, run, f"`{key}` {kind}, text string")
 
 
 def rank_encoding(lines: bytes):
@@ -182,7 +182,7 @@ def token_counts(df: DataFrame, *keep: str, text: str = "text", vocabulary: str
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(n, pa.int64())], names=[*keep, "n_tokens"])
 
     kinds = ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keep)
-    return df.select(*[F.col(k) for k in keep], F.col(text)).mapInArrow(run, f"{kinds}, n_tokens bigint")
+    return df.select(*[F.col(k) for k in keep], F.col(text)).transform(mapped, run, f"{kinds}, n_tokens bigint")
 
 
 def p7_ids(spark: SparkSession, directory: str) -> DataFrame:

@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
-from tramoggia.llm import boilerplate, encoding
+from tramoggia.llm import answers, boilerplate, encoding, language, quality
 
 QUERIES = {
     "p1_found": boilerplate.p1_found,
+    "p2_found": quality.p2_found,
+    "p2_statistics": quality.p2_statistics,
+    "p3_found": language.p3_found,
+    "p3_segments": language.p3_segments,
+    "p3_documents": language.p3_documents,
+    "p4_found": answers.p4_found,
     "p7_ids": encoding.p7_ids,
     "p7_round_trip": encoding.p7_round_trip,
 }
