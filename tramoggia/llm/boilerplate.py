@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tramoggia.llm import furniture as fu
-from tramoggia.session import stage, table
+from tramoggia.session import mapped, stage, table
 
 #: A token is bound to sites if pages of sites that have it carry it this much more often than all pages ...
 SITE_LIFT = 3.0
@@ -34,11 +34,14 @@ BROADCAST_KEYS = 500_000
 
 _SCHEMA = "rec_id bigint, site string, line_no array<int>, bits array<int>, tok array<bigint>, tok_line array<int>, tok_pos array<float>"
 _MASK = re.compile(r"\d+|[^\W\d_]+(?:['’](?=\w))?|[^\w\s]")
+_DIGIT = re.compile(r"[1-9]")
 _HOST = re.compile(r"[a-z]{4,}")
 
 
-def tokens_of(text: str, host: frozenset[str]) -> list[str]:
-    """The masked tokens of a line without tags."""
+def tokens_of(text: str, bits: int, host: frozenset[str]) -> list[str]:
+    """The masked tokens of a line without tags; a paragraph is one token, with digits masked only."""
+    if bits & fu.PROSE and not bits & fu.CUE:
+        return [_DIGIT.sub("0", text).lower()]
     shout = text.isupper()
     out = []
     for piece in fu.pieces(text):
@@ -66,13 +69,18 @@ def _signed(s: str) -> int:
 
 def _tokenize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pages to their lines' marks and tokens."""
-    known: dict[str, int] = {}
+    hosts: dict[str, frozenset[str]] = {}
+    known: dict[object, list[int]] = {}
     types = [pa.int64(), pa.string(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.float32())]
     names = ["rec_id", "site", "line_no", "bits", "tok", "tok_line", "tok_pos"]
     for batch in batches:
         cols: list[list] = [[] for _ in names]
         for rec_id, site, text in zip(*(batch.column(k).to_pylist() for k in range(3))):
-            host = frozenset(_HOST.findall((site or "").lower())) - {"http", "https", "test", "example", "invalid"}
+            host = hosts.get(site)
+            if host is None:
+                if len(hosts) > 10_000:
+                    hosts.clear()
+                host = hosts[site] = frozenset(_HOST.findall((site or "").lower())) - {"http", "https", "test", "example", "invalid"}
             numbers, bits, tok, tok_line = [], [], [], []
             for number, line in enumerate((text or "").split("\n"), 1):
                 if not line.strip():
@@ -81,16 +89,19 @@ def _tokenize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 row = len(numbers)
                 numbers.append(number)
                 bits.append(mark)
-                for t in tokens_of(plain, host):
-                    h = known.get(t)
-                    if h is None:
-                        h = _signed(t)
-                        if len(t) < 60:
-                            if len(known) > 200_000:
-                                known.clear()
-                            known[t] = h
-                    tok.append(h)
-                    tok_line.append(row)
+                if len(plain) > 120:
+                    got = [_signed(t) for t in tokens_of(plain, mark, host)]
+                else:
+                    # Short lines recur; those that name the site are known by site.
+                    low = plain.lower()
+                    key = (plain, host) if any(h in low for h in host) else plain
+                    got = known.get(key)
+                    if got is None:
+                        if len(known) > 200_000:
+                            known.clear()
+                        got = known[key] = [_signed(t) for t in tokens_of(plain, mark, host)]
+                tok.extend(got)
+                tok_line.extend([row] * len(got))
             last, seen, tok_pos = max(1, len(numbers) - 1), set(), []
             for t, k in zip(tok, tok_line):
                 tok_pos.append(-1.0 if t in seen else k / last)
@@ -235,7 +246,7 @@ def furniture_lines(df: DataFrame, broadcast_keys: int = BROADCAST_KEYS) -> Data
     An empty table gives an empty result.
     """
     spark = df.sparkSession
-    pages = stage(df.select("rec_id", F.coalesce("site", F.lit("")).alias("site"), "text").mapInArrow(_tokenize, _SCHEMA), "page-tokens")
+    pages = stage(df.select("rec_id", F.coalesce("site", F.lit("")).alias("site"), "text").transform(mapped, _tokenize, _SCHEMA), "page-tokens")
     keys = stage(template_tokens(pages), "template-tokens")
     return remove_with(spark, pages, keys, broadcast_keys).distinct()
 
@@ -246,7 +257,7 @@ def remove_with(spark: SparkSession, pages: DataFrame, keys: DataFrame, broadcas
     if keys.count() <= broadcast_keys:
         got = sorted((r.tok, r.strong) for r in keys.collect())
         decide = _decide(np.array([t for t, _ in got], np.int64), np.array([s for _, s in got], np.int64))
-        return rows.mapInArrow(decide, "rec_id bigint, line_no bigint")
+        return rows.transform(mapped, decide, "rec_id bigint, line_no bigint")
     page = rows.withColumn("page", F.xxhash64("rec_id", "tok"))
     hit = (
         page.select("rec_id", "page", F.posexplode("tok").alias("k", "tok"))
@@ -255,7 +266,7 @@ def remove_with(spark: SparkSession, pages: DataFrame, keys: DataFrame, broadcas
         .agg(F.collect_list(F.struct("k", "strong")).alias("hit"))
     )
     joined = page.join(hit, ["rec_id", "page"], "left").select("rec_id", "line_no", "bits", "tok", "tok_line", "hit")
-    return joined.mapInArrow(_decide_joined, "rec_id bigint, line_no bigint")
+    return joined.transform(mapped, _decide_joined, "rec_id bigint, line_no bigint")
 
 
 def p1_found(spark: SparkSession, directory: str) -> DataFrame:

@@ -61,13 +61,13 @@ TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9]*)\b[^<>]*>")
 BODY_TAGS = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "blockquote", "td", "th", "tr", "pre", "article"}
 SITE_TAGS = {"div", "a", "nav", "footer", "aside", "header", "button", "form", "span"}
 PIECES = re.compile(r"\s*[|·»▸›\t]+\s*|\s{2,}|\s+[-–/]\s+|(?<=[.!?…:])\s+|\]\s*\[")
-EDGE = re.compile(r"^[\s*•·\-–»▸›>|\[\(\]]+|[\s|»▸›\]\)\[>]+$")
+HEAD, TAIL = " \t\r\n\xa0*•·-–»▸›>|[(]", " \t\r\n\xa0|»▸›])[>"
 ITEM = re.compile(r"^\s*(?:[-–—*•·]\s|\d{1,3}[.)]\s|\d{4}\s+[-–]\s|\|)")
 NUMBERED = re.compile(r"^\s*(\d{1,2})\s+\S")
 EXCERPT = re.compile(r"(?:…|\.\.\.|\[\s*(?:…|\.\.\.)\s*\]|leggi tutto|read more|continua)\s*$", re.I)
 PAGER = re.compile(r"^\W*\d{1,3}(?:\s+\d{1,3}){1,8}\s*(?:…|\.\.\.)\s*\d{1,4}\b.{0,24}$")
 COMMENTS = re.compile(r"^\W*\d+\s+(?:commenti|comments|commentaires|kommentare|comentarios)\b.{0,60}$", re.I)
-WORD = re.compile(r"\w+", re.U)
+_LOWER = re.compile(r"(?:^|[\s'’(«“\"])[^\W\d_A-ZÀ-Þ]")
 _PHRASES, _BOXES = frozenset(PHRASES), frozenset(BOXES)
 
 PROSE, CUE, BOX, TITLE, TEASER, BODY_TAG, SITE_TAG, LISTED, NUMBER, LINK, HEADLINE = (1 << k for k in range(11))
@@ -87,51 +87,63 @@ def bare(line: str) -> tuple[str, int]:
     return TAG.sub(" ", line).strip(), tag
 
 
+def trimmed(text: str) -> str:
+    """The text without marks at its edges."""
+    return text.lstrip(HEAD).rstrip(TAIL)
+
+
 def pieces(text: str) -> list[str]:
     """The parts of a line between separators and sentence ends, without marks at their edges."""
-    return [q for p in PIECES.split(text) if p and (q := EDGE.sub("", p))]
+    return [q for p in PIECES.split(text) if p and (q := trimmed(p))]
+
+
+def digits_in(text: str) -> int:
+    return sum(map(text.count, "0123456789"))
+
+
+def ends_sentence(text: str) -> bool:
+    """Whether a text ends as a sentence does; a bracket must close behind a sentence's end."""
+    return text[-1] in ".!?\"»”’;:…" or text[-1] == ")" and text[-2:-1] in (".", "!", "?")
 
 
 def is_prose(text: str) -> bool:
-    """Whether a line without tags reads as a sentence or more: eight words, most of them in
-    lower case, few digits, and an end as a sentence has it (or the length of a paragraph)."""
-    if len(text) < 30 or ITEM.match(text):
-        return False
-    words = WORD.findall(text)
-    n = len(words)
-    if n < 6:
+    """Whether a line without tags reads as a sentence or more: six words, most of them in lower
+    case, few digits, and an end as a sentence has it (or sentences inside a long line)."""
+    size = len(text)
+    if size < 30 or not ends_sentence(text) and not (size > 120 and ". " in text) or text.count(" ") < 5 or ITEM.match(text):
         return False
-    lower = sum(w.islower() for w in words)
-    digits = sum(map(str.isdigit, text))
-    if lower < 0.55 * n or digits > 0.15 * len(text):
+    if digits_in(text) > 0.15 * size:
         return False
-    return text[-1] in ".!?\"»”)’;:" or ". " in text and len(text) > 120
+    return len(_LOWER.findall(text)) >= 0.55 * (text.count(" ") + 1)
 
 
-def marks(line: str) -> tuple[str, int]:
-    """The line without tags, and its marks as bits."""
+def _marks(line: str) -> tuple[str, int]:
     text, bits = bare(line)
-    low = text.lower()
-    plain = EDGE.sub("", low)
-    head = plain.rstrip(": ")
-    if head in _BOXES:
-        bits |= BOX | CUE
-    elif head in _PHRASES or PAGER.match(text) or COMMENTS.match(text):
-        bits |= CUE
-    elif low.startswith(LINKS) and len(text) < 160:
-        bits |= LINK
+    if not text:
+        return text, bits
+    size = len(text)
+    low = text[:200].lower() if size > 320 else text.lower()
+    plain = trimmed(low) if size <= 320 else low.lstrip(HEAD)
+    if size <= 320:
+        head = plain.rstrip(": ")
+        if head in _BOXES:
+            bits |= BOX | CUE
+        elif head in _PHRASES or PAGER.match(text) or COMMENTS.match(text):
+            bits |= CUE
+        elif size < 160 and low.startswith(LINKS):
+            bits |= LINK
+        elif plain.startswith(OPENINGS) and not _own_sentence(plain, text) or any(p in low for p in PARTS):
+            bits |= CUE
     elif plain.startswith(OPENINGS) and not _own_sentence(plain, text):
         bits |= CUE
-    elif len(text) < 320 and any(p in low for p in PARTS):
-        bits |= CUE
-    words = text.count(" ") + 1
     if is_prose(text):
         bits |= PROSE
     if ITEM.match(text):
         bits |= LISTED
-    if words <= 16 and text[-1:] not in (".", "!", "?", ";", ","):
+    words = text.count(" ") + 1
+    if words <= 16 and text[-1] not in ".!?;,":
         bits |= TITLE
-    if EXCERPT.search(text) and len(text) < 220:
+    if size < 220 and EXCERPT.search(text):
         bits |= TEASER
     if m := NUMBERED.match(text):
         bits |= NUMBER | int(m[1]) << NUMBER_SHIFT
@@ -140,6 +152,21 @@ def marks(line: str) -> tuple[str, int]:
     return text, bits
 
 
+_KNOWN: dict[str, tuple[str, int]] = {}
+
+
+def marks(line: str) -> tuple[str, int]:
+    """The line without tags, and its marks as bits; short lines, which recur, are remembered."""
+    if len(line) > 120:
+        return _marks(line)
+    got = _KNOWN.get(line)
+    if got is None:
+        if len(_KNOWN) > 200_000:
+            _KNOWN.clear()
+        got = _KNOWN[line] = _marks(line)
+    return got
+
+
 def _own_sentence(plain: str, text: str) -> bool:
     """Whether an opening that is also ordinary language begins a longer paragraph."""
     return plain.startswith(("condividi ", "copyright ", "abbonati ")) and len(text) > 160
