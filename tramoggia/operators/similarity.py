@@ -27,7 +27,7 @@ from tramoggia.session import mapped, stage, table
 #: Minwise tokens in a signature.
 SIGNATURE = 48
 #: Classes up to which a node is compared exhaustively.
-NODE = 64
+NODE = 300
 #: Levels below the root.
 LEVELS = 4
 #: The signatures of a pair may fall short of the threshold by so many standard deviations.
