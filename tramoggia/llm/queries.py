@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tramoggia.llm import answers, boilerplate, encoding, language, quality
+from tramoggia.llm import answers, boilerplate, encoding, language, mixing, quality, reading
 
 QUERIES = {
     "p1_found": boilerplate.p1_found,
@@ -14,6 +14,10 @@ QUERIES = {
     "p4_found": answers.p4_found,
     "p7_ids": encoding.p7_ids,
     "p7_round_trip": encoding.p7_round_trip,
+    "p8_mix": mixing.p8_mix,
+    "p8_report": mixing.p8_report,
+    "p9_found": reading.p9_found,
+    "p9_levels": reading.p9_levels,
 }
 
 SQL: dict[str, str] = {
