@@ -28,7 +28,21 @@ def rank_in_groups(df: DataFrame, keys: Sequence[str], order: Sequence[str | Col
     order = [F.col(c) if isinstance(c, str) else c for c in order]
     if buckets == 1:
         return df.withColumn(name, (F.row_number().over(Window.partitionBy(*keys).orderBy(*order)) - 1).cast("bigint"))
-    spread = df.withColumn("_bucket", F.pmod(F.xxhash64(F.lit(7), *order), F.lit(buckets)))
+    return _ranked(df.withColumn("_bucket", F.pmod(F.xxhash64(F.lit(7), *order), F.lit(buckets))), keys, order, name)
+
+
+def ordered_rank(df: DataFrame, keys: Sequence[str], order: str, width: int, name: str = "rank", ties: Sequence[str] = ()) -> DataFrame:
+    """`df` with the 0-based rank of each row in its group by the whole-number column `order`, then `ties`.
+
+    Groups are cut into ranges of `width` order values, each sorted by itself; sums of the ranges'
+    counts give the ranks, so a long series isn't one task's work. Null orders come first, in a range of their own.
+    """
+    bucket = F.coalesce(F.floor(F.col(order) / width), F.lit(-(1 << 62)))
+    return _ranked(df.withColumn("_bucket", bucket), keys, [F.col(order), *[F.col(t) for t in ties]], name)
+
+
+def _ranked(spread: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str) -> DataFrame:
+    """The rank from the rows in earlier buckets and the rank in the bucket."""
     names = {k: f"_key{i}" for i, k in enumerate((*keys, "_bucket"))}
     counts = spread.groupBy(*[F.col(k).alias(n) for k, n in names.items()]).agg(F.count("*").alias("_before"))
     earlier = Window.partitionBy(*list(names.values())[:-1]).orderBy(names["_bucket"]).rowsBetween(Window.unboundedPreceding, -1)

@@ -14,7 +14,7 @@ QUERIES = {
 
 _LENGTHS = """
   SELECT example_id, max(CASE WHEN input_ids IS NULL THEN 0 WHEN attention_mask IS NULL THEN len(input_ids)
-    ELSE len(input_ids) - len(list_filter(list_slice(attention_mask, 1, len(input_ids)), x -> x = 0)) END) AS size
+    ELSE len(input_ids) - len(list_filter(list_slice(attention_mask, 1, len(input_ids)), lambda x: x = 0)) END) AS size
   FROM packed_shards GROUP BY example_id"""
 
 SQL = {
