@@ -176,5 +176,7 @@ def site_line(text: str, bits: int) -> bool:
     """Whether a single line alone, without knowledge of its site, is furniture by its phrases."""
     if bits & (CUE | LINK):
         return True
+    if len(text) >= 200 or bits & PROSE and len(text) > 100:
+        return False
     parts = pieces(text.lower())
-    return bool(parts) and len(text) < 200 and 2 * sum(p.rstrip(".:") in _PHRASES for p in parts) >= len(parts) and (len(parts) > 1)
+    return len(parts) > 1 and 2 * sum(p.rstrip(".:") in _PHRASES for p in parts) >= len(parts)
