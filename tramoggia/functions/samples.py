@@ -83,29 +83,35 @@ def trimmed_completion(text: Column) -> Column:
 
 def open_text(value: Column) -> Column:
     """A VARIANT as text: strings as they are, numbers spelled, lists joined by line feeds, objects by their text key."""
-    kind = F.schema_of_variant(value)
-    scalar = F.try_variant_get(value, "$", "string")
-    listed = F.array_join(F.filter(F.transform(F.try_variant_get(value, "$", "array<variant>"), lambda x: F.coalesce(F.try_variant_get(x, "$", "string"), F.try_variant_get(x, "$.text", "string"), F.lit(""))), lambda t: t != ""), "\n")
-    keyed = F.coalesce(*[F.try_variant_get(value, f"$.{k}", "string") for k in ("text", "content", "value", "answer", "output")], F.to_json(value))
-    return F.when(value.isNull() | F.is_variant_null(value), F.lit("")).when(kind.startswith("ARRAY"), listed).when(kind.startswith("OBJECT"), keyed).otherwise(scalar)
+
+    def spelled(v: Column) -> Column:
+        kind = F.schema_of_variant(v)
+        item = lambda x: F.coalesce(F.try_variant_get(x, "$", "string"), F.try_variant_get(x, "$.text", "string"), F.lit(""))
+        listed = F.array_join(F.filter(F.transform(F.try_variant_get(v, "$", "array<variant>"), item), lambda t: t != ""), "\n")
+        keyed = F.coalesce(*[F.try_variant_get(v, f"$.{k}", "string") for k in ("text", "content", "value", "answer", "output")], F.to_json(v))
+        return F.when(v.isNull() | F.is_variant_null(v), F.lit("")).when(kind.startswith("ARRAY"), listed).when(kind.startswith("OBJECT"), keyed).otherwise(F.try_variant_get(v, "$", "string"))
+
+    return tx.bound(value, spelled)
 
 
 def open_answer(value: Column) -> Column:
     """The first answer in a VARIANT: of a list the first element, of an object its text or answer."""
-    first = F.when(F.schema_of_variant(value).startswith("ARRAY"), F.try_variant_get(value, "$[0]", "variant")).otherwise(value)
-    inner = F.coalesce(*[F.try_variant_get(first, p, "variant") for p in ("$.text[0]", "$.text", "$.answer", "$.answers[0]", "$.output", "$.completion")], first)
-    return open_text(inner)
+
+    def inner(first: Column) -> Column:
+        return F.coalesce(*[F.try_variant_get(first, p, "variant") for p in ("$.text[0]", "$.text", "$.answer", "$.answers[0]", "$.output", "$.completion")], first)
+
+    first = tx.bound(value, lambda v: F.when(F.schema_of_variant(v).startswith("ARRAY"), F.try_variant_get(v, "$[0]", "variant")).otherwise(v))
+    return open_text(tx.bound(first, inner))
 
 
 def present(row: Column, *keys: str) -> Column:
     """The first of the keys with a value that is neither null nor blank, as a VARIANT."""
-    out = []
-    for k in keys:
-        v = F.try_variant_get(row, f"$.{k}", "variant")
-        shown = F.try_variant_get(v, "$", "string")
-        empty = F.is_variant_null(v) | F.coalesce(tx.strip(shown) == "", F.lit(False)) | F.to_json(v).isin("[]", "{}")
-        out.append(F.when(v.isNotNull() & ~empty, v))
-    return F.coalesce(*out)
+
+    def shown(v: Column) -> Column:
+        blank = F.coalesce(tx.strip(F.try_variant_get(v, "$", "string")) == "", F.lit(False))
+        return F.when(v.isNotNull() & ~(F.is_variant_null(v) | blank | F.to_json(v).isin("[]", "{}")), v)
+
+    return F.coalesce(*[tx.bound(F.try_variant_get(row, f"$.{k}", "variant"), shown) for k in keys])
 
 
 def open_messages(value: Column) -> Column:
@@ -147,7 +153,7 @@ def normalized(df: DataFrame, column: str = "line", source: str | None = None, l
     """Open-schema JSON rows as samples: source, language, format, text, prompt, completion, messages, meta, bad.
 
     The adapter is chosen by source, then by the keys present, null ones included. Values of a row
-    itself win over adapted ones. `bad` marks lines that are no JSON; a row that isn't an object is a
+    itself win over adapted ones. Columns of `df` must not begin with an underscore. `bad` marks lines that are no JSON; a row that isn't an object is a
     text. Rows are kept whatever they hold.
     """
     row = F.try_parse_json(F.col(column))
@@ -167,36 +173,38 @@ def normalized(df: DataFrame, column: str = "line", source: str | None = None, l
         .otherwise("generic")
     )
     base = base.withColumns({"_source": given_source, "_adapter": adapter})
-    a = F.col("_adapter")
-    turns = present(r, *MESSAGE_KEYS)
+    # Each step names what the next one uses, so that no expression holds another many times.
+    base = base.withColumns({"_turns": present(r, *MESSAGE_KEYS), "_options": choices_of(r)})
+    texts = {
+        "_gold": open_text(present(r, "gold_index", "label", "answer", "completion", "correct")), "_question": open_text(present(r, *QUESTION_KEYS)), "_context": open_text(present(r, "context", "passage")),
+        "_asked": open_text(present(r, "question", "query", "prompt")), "_answer": open_answer(present(r, "answers", "answer", "completion", "output")),
+        "_forum_q": open_text(present(r, "question", "title", "prompt")), "_forum_a": open_answer(present(r, "answers", "accepted_answer", "answer", "completion", "response")),
+        "_instruction": open_text(present(r, *INSTRUCTION_KEYS)), "_output": open_text(present(r, *OUTPUT_KEYS)), "_extra": open_text(F.try_variant_get(r, "$.input", "variant")),
+        "_plain_q": open_text(F.try_variant_get(r, "$.question", "variant")), "_plain_a": open_answer(present(r, "answer", "answers")),
+    }
+    base = base.withColumns(texts).withColumn("_gold", choice_index(F.col("_gold"), F.col("_options")))
+    a, turns, options, gold, extra, instruction, output = (F.col(c) for c in ("_adapter", "_turns", "_options", "_gold", "_extra", "_instruction", "_output"))
+    question, ctx, asked, answer, forum_q, forum_a = (F.col(c) for c in ("_question", "_context", "_asked", "_answer", "_forum_q", "_forum_a"))
     is_chat = (a.isin("instruction", "generic") & turns.isNotNull()) | has("messages", "conversations")
-    options = choices_of(r)
-    gold = choice_index(open_text(present(r, "gold_index", "label", "answer", "completion", "correct")), options)
     lettered = F.transform(options, lambda c, i: F.concat(F.chr(i + 65), F.lit(") "), c))
-    question, ctx = open_text(present(r, *QUESTION_KEYS)), open_text(present(r, "context", "passage"))
-    asked = open_text(present(r, "question", "query", "prompt"))
-    answer = open_answer(present(r, "answers", "answer", "completion", "output"))
-    forum_q = open_text(present(r, "question", "title", "prompt"))
-    forum_a = open_answer(present(r, "answers", "accepted_answer", "answer", "completion", "response"))
-    instruction, output = open_text(present(r, *INSTRUCTION_KEYS)), open_text(present(r, *OUTPUT_KEYS))
-    extra = open_text(F.try_variant_get(r, "$.input", "variant"))
     with_input = F.when(has("instruction") & (extra != "") & (extra != instruction), F.concat(tx.whitespace(instruction), F.lit("\n\nInput:\n"), tx.whitespace(extra))).otherwise(tx.whitespace(instruction))
-    generic_qa = (a == "generic") & (open_text(F.try_variant_get(r, "$.question", "variant")) != "") & (open_answer(present(r, "answer", "answers")) != "")
-    in_range = (question != "") & (F.size(options) > 0) & (gold >= 0) & (gold < F.size(options))
+    cases = {
+        "_choice": (a == "choice") & (question != "") & (F.size(options) > 0) & (gold >= 0) & (gold < F.size(options)), "_extractive": (a == "extractive") & (ctx != "") & (asked != "") & (answer != ""),
+        "_forum": (a == "forum") & (forum_q != "") & (forum_a != ""), "_qa": (a == "generic") & (F.col("_plain_q") != "") & (F.col("_plain_a") != ""),
+        "_pair": a.isin("instruction", "generic") & ~is_chat & (instruction != "") & (output != ""), "_chat": is_chat,
+    }
+    base = base.withColumns(cases)
+    generic_qa, is_chat = F.col("_qa"), F.col("_chat")
     made_prompt = (
-        F.when((a == "choice") & in_range, F.concat(F.lit(CHOICE_PROMPT), tx.whitespace(question), F.lit("\n\nOpzioni:\n"), F.array_join(lettered, "\n")))
-        .when((a == "extractive") & (ctx != "") & (asked != "") & (answer != ""), F.concat(F.lit(QA_PROMPT), tx.whitespace(ctx), F.lit("\n\nDomanda:\n"), tx.whitespace(asked)))
-        .when((a == "forum") & (forum_q != "") & (forum_a != ""), forum_q)
-        .when(generic_qa, asked)
-        .when(a.isin("instruction", "generic") & ~is_chat & (instruction != "") & (output != ""), with_input)
-    )
-    made_completion = (
-        F.when((a == "choice") & in_range, F.get(lettered, gold))
-        .when((a == "extractive") & (ctx != "") & (asked != "") & (answer != ""), answer)
-        .when((a == "forum") & (forum_q != "") & (forum_a != ""), forum_a)
-        .when(generic_qa, open_answer(present(r, "answer", "answers")))
-        .when(a.isin("instruction", "generic") & ~is_chat & (instruction != "") & (output != ""), output)
+        F.when(F.col("_choice"), F.concat(F.lit(CHOICE_PROMPT), tx.whitespace(question), F.lit("\n\nOpzioni:\n"), F.array_join(lettered, "\n")))
+        .when(F.col("_extractive"), F.concat(F.lit(QA_PROMPT), tx.whitespace(ctx), F.lit("\n\nDomanda:\n"), tx.whitespace(asked)))
+        .when(F.col("_forum"), forum_q)
+        .when(generic_qa, F.col("_plain_q"))
+        .when(F.col("_pair"), with_input)
     )
+    made_completion = F.when(F.col("_choice"), F.get(lettered, gold)).when(F.col("_extractive"), answer).when(F.col("_forum"), forum_a).when(generic_qa, F.col("_plain_a")).when(F.col("_pair"), output)
+    base = base.withColumns({"_prompt": made_prompt, "_completion": made_completion})
+    made_prompt, made_completion = F.col("_prompt"), F.col("_completion")
     own = lambda k, made: F.when(F.array_contains(listed, k), open_text(F.try_variant_get(r, f"$.{k}", "variant"))).otherwise(made)
     stated = F.lower(tx.strip(F.coalesce(scalar("format"), scalar("type"), F.when(generic_qa, F.lit("qa")).when(made_prompt.isNotNull(), F.lit("instruction")), F.lit(form))))
     shape = F.when(is_chat, F.lit("chat")).when(a == "choice", F.lit("choice_qa")).when(a.isin("extractive", "forum"), F.lit("qa")).otherwise(stated)
@@ -211,4 +219,5 @@ def normalized(df: DataFrame, column: str = "line", source: str | None = None, l
         "messages": F.when(is_chat, open_messages(turns)), "meta": F.map_concat(meta, F.coalesce(F.try_variant_get(r, "$.meta", "map<string,string>"), F.create_map().cast("map<string,string>"))),
         "bad": r.isNull(),
     }
-    return base.withColumns(result).drop("_row", "_keys", "_source", "_adapter")
+    made = base.withColumns(result)
+    return made.drop(*[c for c in made.columns if c.startswith("_")])

@@ -31,9 +31,12 @@ NOISE_SYMBOLS = "*=_~#|{}[]<>"
 ROLES = ("system", "user", "assistant", "context", "answer", "end")
 
 URL = rf"https?://{NS}+|www\.{NS}+"
-SEPARATOR_LINE = rf"^{S}*+(?:[*\-=~_#.]{S}*+){{8,}}+$"
-SYMBOL_RUN = rf"(?:[*\-=~_#.]{S}*+){{10,}}+"
-REPEATED_WORD = rf"(?iu)(?U)\b([A-Za-zÀ-ÿ]{{3,}})(?:{S}+\1\b){{5,}}"
+# A run is a symbol, a counted number of further ones, and then a class alone: no unbounded group, on which Java would recurse.
+_SYMBOL = r"[*\-=~_#.]"
+_REST = S.replace("[", r"[*\-=~_#.", 1)
+SEPARATOR_LINE = rf"^{S}*+{_SYMBOL}(?:{S}*+{_SYMBOL}){{7}}{_REST}*+$"
+SYMBOL_RUN = rf"{_SYMBOL}(?:{S}*+{_SYMBOL}){{9}}{_REST}*+"
+REPEATED_WORD = rf"(?iu)(?U)\b([A-Za-zÀ-ÿ]{{3,}})(?:{S}+\1\b){{5}}"
 ROLE_TOKEN = r"<\|(?:" + "|".join(ROLES) + r")\|>"
 _MEDIA = "(?:" + "|".join(MEDIA) + ")"
 
@@ -216,7 +219,7 @@ def wiki(text: Column, pure: bool = False) -> Column:
     )
     middle = without_separators(replace(head, *steps), pure)
     rest = (
-        (r"(?d)<(?!\|).*?>", " "), (URL, " "), (rf"(?i){NS}+\.{_MEDIA}\b", " "),
+        (r"(?d)<(?!\|).*?>", " "), (URL, " "), (rf"(?i)(?<!{NS}){NS}+\.{_MEDIA}\b", " "),
         (r"\b(?=[A-Za-z0-9]*\d)(?=[A-Za-z0-9]*[A-Za-z])[A-Za-z0-9]{8,}\b", " "), (r"\bCategoria:[^\n]+", " "),
         (rf"\{{\{{|\}}\}}|\[\[|\]\]|{S}\|[A-Za-zÀ-ÿ0-9 _-]{{1,40}}{S}*=", " "), (rf"{S}+([,.;:!?])", "$1"),
     )

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tramoggia.functions import samples as sm
 from tramoggia.functions import text as tx
 from tramoggia.operators.filters import COLLECTED, terms_pattern
+from tramoggia.session import stage
 
 LEAST_TEXT, LEAST_STRUCTURED = 200, 40
 TRUE = ("1", "true", "yes", "on")
@@ -82,7 +83,8 @@ def local_texts(spark: SparkSession, folder: str) -> DataFrame:
 def local_samples(spark: SparkSession, folder: str) -> DataFrame:
     """Local .jsonl rows as samples with text filled in; lines that are no JSON, or too short, are left out."""
     raw = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.jsonl").text(folder).withColumnRenamed("value", "line")
-    return long_enough(filled(sm.normalized(raw.where(tx.strip(F.col("line")) != ""), "line", "local_import", "it").where("not bad")))
+    samples = stage(sm.normalized(raw.where(tx.strip(F.col("line")) != ""), "line", "local_import", "it"), "local")
+    return long_enough(stage(filled(samples.where("not bad")), "filled"))
 
 
 def filled(samples: DataFrame) -> DataFrame:
