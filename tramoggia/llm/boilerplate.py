@@ -23,10 +23,12 @@ from pyspark.sql import functions as F
 from tramoggia.llm import furniture as fu
 from tramoggia.session import mapped, stage, table
 
-#: A token is bound to sites if pages of sites that have it carry it this much more often than all pages ...
+#: A token is bound to sites if its odds on the other pages of its sites are this many times those on all pages ...
 SITE_LIFT = 3.0
 #: ... and on at least this share of the other pages of its sites.
 SITE_RATE = 0.2
+#: A token on this share of all pages needs no comparison of sites.
+EVERYWHERE = 0.6
 #: A whole paragraph is taken for a site's only if its tokens are on this share of the site's other pages.
 PARAGRAPH_RATE = 0.5
 #: Template tokens up to this number (16 bytes each) are sent to all executors; more are joined by shuffle.
@@ -134,10 +136,12 @@ def template_tokens(pages: DataFrame) -> DataFrame:
         .withColumn("rate", F.col("rate") / F.col("hits"))
         .withColumn("mean", F.col("pos") / F.col("hits"))
         .withColumn("dev", F.sqrt(F.greatest(F.lit(0.0), F.col("pos2") / F.col("hits") - F.col("mean") * F.col("mean"))))
-        .withColumn("lift", F.col("rate") * F.lit(float(max(1, total))) / F.col("hits"))
+        .withColumn("all", F.col("hits") / F.lit(float(max(1, total))))
+        # Odds, not rates: a site that holds a third or half of all pages makes up much of both rates.
+        .withColumn("lift", F.col("rate") * (1.0 - F.col("all") + 1e-9) / ((1.0 - F.least("rate", F.lit(1.0)) + 1e-9) * F.col("all")))
         .join(valid, "tok", "left")
     )
-    bound = (F.col("rate") >= SITE_RATE) & (F.col("lift") >= SITE_LIFT) & (F.col("hits") >= 4)
+    bound = (F.col("rate") >= SITE_RATE) & ((F.col("lift") >= SITE_LIFT) | (F.col("all") >= EVERYWHERE)) & (F.col("hits") >= 4)
     edge = (F.col("sites") >= 5) & (F.col("hits") >= 20) & (F.col("mean") >= 0.82) & (F.col("dev") <= 0.16)
     klass = F.col("valid") & (F.col("rate") >= 0.1) & (F.col("lift") >= SITE_LIFT) & ((F.col("mean") <= 0.25) | (F.col("mean") >= 0.8))
     return stats.where(F.coalesce(bound | edge | klass, F.lit(False))).select("tok", ((F.col("rate") >= PARAGRAPH_RATE) & (F.col("hits") >= 5) | edge).alias("strong"))
