@@ -26,6 +26,8 @@ LEVELS = 5
 WEIGHTS = (0.45, 0.3, 0.2, 0.05)
 #: Graded documents used for the regression, a bounded sample by hash of the id.
 GRADED = 4_000
+#: Parts of the samples that are left out in turn.
+FOLDS = 5
 #: Texts are scored together until they have so many characters.
 CHARS_AT_ONCE = 2_000_000
 _TOKEN = re.compile(r"[^\W\d_]+|\d+|[.,;:!?]")
@@ -120,22 +122,24 @@ class Graded:
 
 
 def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The non-decreasing step function of least squares, as (from, value), by pooling adjacent violators."""
+    """The non-decreasing function of least squares, by pooling adjacent violators, as knots (place, value):
+    the two ends of each pool, between which it is flat; it is straight from a pool to the next."""
     order = np.argsort(x, kind="stable")
-    blocks: list[list[float]] = []  # value, weight, from
+    pools: list[list[float]] = []  # value, weight, first, last
     for at, value in zip(x[order].tolist(), y[order].tolist()):
-        blocks.append([value, 1.0, at])
-        while len(blocks) > 1 and blocks[-2][0] >= blocks[-1][0]:
-            v, w, _ = blocks.pop()
-            blocks[-1][0] = (blocks[-1][0] * blocks[-1][1] + v * w) / (blocks[-1][1] + w)
-            blocks[-1][1] += w
-    return np.array([b[2] for b in blocks]), np.array([b[0] for b in blocks])
+        pools.append([value, 1.0, at, at])
+        while len(pools) > 1 and pools[-2][0] >= pools[-1][0]:
+            v, w, _, last = pools.pop()
+            pools[-1][0] = (pools[-1][0] * pools[-1][1] + v * w) / (pools[-1][1] + w)
+            pools[-1][1] += w
+            pools[-1][3] = last
+    return np.array([e for p in pools for e in p[2:]]), np.array([p[0] for p in pools for _ in range(2)])
 
 
-def step(x: np.ndarray, steps: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-    """The step function at x, straight between the steps' beginnings; the first value below them."""
-    starts, values = steps
-    return np.interp(x, starts, values) if len(starts) else np.full(len(x), 0.5)
+def step(x: np.ndarray, knots: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """The function of `isotonic` at x; the outer values beyond its ends, 0.5 without any knot."""
+    places, values = knots
+    return np.interp(x, places, values) if len(places) else np.full(len(x), 0.5)
 
 
 _MEASURES = [f"above_{k}" for k in range(1, LEVELS)] + ["mean_bits", "bits_10", "bits_50", "bits_90"]
@@ -193,8 +197,13 @@ class Scale:
         found = measured(texts, model, "grade").where("above_1 is not null").collect()
         x = np.array([[r[f"above_{k}"] for k in range(1, LEVELS)] for r in found] or np.zeros((0, LEVELS - 1)))
         y = np.array([r.grade for r in found])
-        own = model.measures([tokens(t) for _, t in rows if t])[:, : LEVELS - 1]
-        x, y = np.concatenate([x, own]), np.concatenate([y, [g for g, t in rows if t]])
+        # Samples are scored by models of the other samples, else they would seem easier than new texts of their level.
+        for fold in range(FOLDS):
+            held = [(g, t) for k, (g, t) in enumerate(rows) if k % FOLDS == fold and t]
+            other = Graded.fit([row for k, row in enumerate(rows) if k % FOLDS != fold])
+            if held:
+                x = np.concatenate([x, other.measures([tokens(t) for _, t in held])[:, : LEVELS - 1]])
+                y = np.concatenate([y, [g for g, _ in held]])
         # A grade on a bound counts as half above it.
         steps = [isotonic(x[:, k - 1], np.where(y > k + 0.5, 1.0, np.where(y == k + 0.5, 0.5, 0.0))) for k in range(1, LEVELS)] if len(y) else [(np.zeros(0), np.zeros(0))] * (LEVELS - 1)
         return cls(model, steps)
