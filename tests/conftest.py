@@ -5,7 +5,7 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-from tramoggia.session import build_session  # noqa: E402
+from tramoggia.session import build_session, release  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -13,4 +13,5 @@ def spark():
     session = build_session("tests", "local[4]", **{"spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false", "spark.driver.memory": "4g", "spark.ui.showConsoleProgress": "false"})
     session.sparkContext.setLogLevel("OFF")
     yield session
+    release(session)
     session.stop()

@@ -3,6 +3,7 @@
 import bz2
 import json
 import os
+import uuid
 import zipfile
 
 import pytest
@@ -135,7 +136,7 @@ def test_metric_rules(spark):
 def test_stream_equals_batch(spark, tmp_path):
     history = spark.read.parquet(f"{DATA}/metrics_history.parquet")
     history.repartition(3).write.parquet(str(tmp_path / "in"))
-    log = stream_metrics.append_log(stream_metrics.log_stream(spark, str(tmp_path / "in"), history.schema), "test-" + tmp_path.name)
+    log = stream_metrics.append_log(stream_metrics.log_stream(spark, str(tmp_path / "in"), history.schema), "test-" + uuid.uuid4().hex)
     a, b = metrics.pivot(spark.read.parquet(log)), metrics.pivot(history)
     assert a.count() == b.count() and a.exceptAll(b).count() == 0
     query = stream_metrics.refreshed(stream_metrics.log_stream(spark, str(tmp_path / "in"), history.schema), str(tmp_path / "log"), metrics.pivot, str(tmp_path / "out"), 1)

@@ -46,16 +46,18 @@ def render_messages(made: Column, with_answers: bool = True) -> Column:
 
 def pair(form: Column, made: Column, prompt: Column, completion: Column, text: Column) -> Column:
     """struct(prompt, completion): the two sides of a sample as they are rendered; text has only the first."""
-    asked, given = (tx.whitespace(F.coalesce(c, F.lit(""))) for c in (prompt, completion))
-    asked = F.when((asked != "") & ~asked.startswith("<|user|>"), tagged("user", asked)).otherwise(asked)
-    given = F.when((given != "") & ~given.startswith("<|assistant|>"), tagged("assistant", given)).otherwise(given)
+    def side(raw: Column, name: str) -> Column:
+        named = lambda t: F.when((t != "") & ~t.startswith(f"<|{name}|>"), tagged(name, t)).otherwise(t)
+        return tx.strip(tx.bound(tx.whitespace(F.coalesce(raw, F.lit(""))), named))
+
+    asked, given = side(prompt, "user"), side(completion, "assistant")
     last = F.get(made, F.size(made) - 1)
     answered = (F.size(made) > 0) & (last["role"] == "assistant")
     chat_prompt = F.when(answered, render_messages(F.slice(made, F.lit(1), F.greatest(F.size(made) - 1, F.lit(0))))).otherwise(render_messages(made))
     chat_completion = F.when(answered, tagged("assistant", last["content"])).otherwise(F.lit(""))
     paired = form.isin(*PAIRED)
-    first = F.when(form == "chat", chat_prompt).when(paired, tx.strip(asked)).otherwise(tx.whitespace(F.coalesce(text, F.lit(""))))
-    second = F.when(form == "chat", chat_completion).when(paired, tx.strip(given)).otherwise(F.lit(""))
+    first = F.when(form == "chat", chat_prompt).when(paired, asked).otherwise(tx.whitespace(F.coalesce(text, F.lit(""))))
+    second = F.when(form == "chat", chat_completion).when(paired, given).otherwise(F.lit(""))
     return F.struct(first.alias("prompt"), second.alias("completion"))
 
 

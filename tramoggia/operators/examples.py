@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tramoggia.functions import samples as sm
+from tramoggia.functions.text import bound
 from tramoggia.operators.filters import profile_key
 from tramoggia.operators.ranking import rank_in_groups, seeded
 
@@ -52,18 +53,28 @@ def supervised(prompt: Column, completion: Column, longest: Column, keep: Column
 
     A completion that leaves no room drops the prompt and is cut itself.
     """
-    answer = F.slice(completion, F.lit(1), F.greatest(longest - 2, F.lit(1)).cast("int"))
-    question = F.when(F.size(completion) > longest - 2, F.array().cast("array<bigint>")).otherwise(clamp(prompt, longest - 2 - F.size(completion), keep))
-    ids = F.concat(F.array(F.lit(BOS).cast("bigint")), question, answer, F.array(F.lit(EOS).cast("bigint")))
-    hidden = F.array_repeat(F.lit(IGNORE).cast("bigint"), F.size(question) + 1)
-    return F.struct(ids.alias("input_ids"), F.concat(hidden, answer, F.array(F.lit(EOS).cast("bigint"))).alias("labels"))
+    none = F.array().cast("array<bigint>")
+    begin, end = F.array(F.lit(BOS).cast("bigint")), F.array(F.lit(EOS).cast("bigint"))
+
+    def fitted(sides: Column) -> Column:
+        asked, given = sides["p"], sides["c"]
+        question = F.when(F.size(given) > longest - 2, none).otherwise(clamp(asked, longest - 2 - F.size(given), keep))
+        return F.struct(question.alias("q"), F.slice(given, F.lit(1), F.greatest(longest - 2, F.lit(1)).cast("int")).alias("a"))
+
+    def joined(parts: Column) -> Column:
+        hidden = F.array_repeat(F.lit(IGNORE).cast("bigint"), F.size(parts["q"]) + 1)
+        return F.struct(F.concat(begin, parts["q"], parts["a"], end).alias("input_ids"), F.concat(hidden, parts["a"], end).alias("labels"))
+
+    # Each side is encoded once, however often its ids are named.
+    return bound(bound(F.struct(prompt.alias("p"), completion.alias("c")), fitted), joined)
 
 
 def blocks(ids: Column, longest: Column, stride: Column | None = None) -> Column:
     """The array of a text's blocks, BOS and EOS included, cut every `stride` ids (every block, by default)."""
     framed = F.concat(F.array(F.lit(BOS).cast("bigint")), ids, F.array(F.lit(EOS).cast("bigint")))
     step = stride if stride is not None else longest
-    return F.transform(F.sequence(F.lit(0), F.size(framed) - 1, step.cast("int")), lambda i: F.slice(framed, i + 1, longest.cast("int")))
+    # Encoded once, not once a block.
+    return bound(framed, lambda all_: F.transform(F.sequence(F.lit(0), F.size(all_) - 1, step.cast("int")), lambda i: F.slice(all_, i + 1, longest.cast("int"))))
 
 
 def lm_examples(df: DataFrame, ids: str = "ids", *keep: str) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tramoggia.functions import samples as sm
 from tramoggia.functions import text as tx
 from tramoggia.operators import dedup, dialogue, examples, filters, metrics, stages
-from tramoggia.session import table
+from tramoggia.session import spread, table
 from tramoggia.sources import files, sinks
 from tramoggia.streaming import metrics as stream_metrics
 
@@ -30,15 +30,15 @@ def separator_strip(s: SparkSession, d: str) -> DataFrame:
 
 
 def strip_html(s: SparkSession, d: str) -> DataFrame:
-    return table(s, d, "fineweb2_it").select("rec_id", tx.without_tags(F.col("text")).alias("clean"))
+    return spread(table(s, d, "fineweb2_it").select("rec_id", "text")).select("rec_id", tx.without_tags(F.col("text")).alias("clean"))
 
 
 def web_clean(s: SparkSession, d: str) -> DataFrame:
-    return table(s, d, "fineweb2_it").select("rec_id", tx.web(F.col("text")).alias("clean"))
+    return spread(table(s, d, "fineweb2_it").select("rec_id", "text")).select("rec_id", tx.web(F.col("text")).alias("clean"))
 
 
 def wiki_clean(s: SparkSession, d: str) -> DataFrame:
-    return table(s, d, "wikipedia_it").select("rec_id", tx.wiki(F.col("text")).alias("clean"))
+    return spread(table(s, d, "wikipedia_it").select("rec_id", "text")).select("rec_id", tx.wiki(F.col("text")).alias("clean"))
 
 
 def dump_clean(s: SparkSession, d: str) -> DataFrame:
@@ -79,7 +79,7 @@ def clean_pipeline(s: SparkSession, d: str) -> DataFrame:
     local = table(s, d, "local_import").select("rec_id", "source", "language", "format", "text", "prompt", "completion").withColumn("messages", F.lit(None).cast("array<struct<role:string,content:string>>"))
     web = table(s, d, "fineweb2_it").select("rec_id", "source", "language", "format", "text").withColumns({"prompt": F.lit(None).cast("string"), "completion": F.lit(None).cast("string"), "messages": F.lit(None).cast("array<struct<role:string,content:string>>")})
     wiki = table(s, d, "wikipedia_it").select("rec_id", "source", "language", "format", "text").withColumns({"prompt": F.lit(None).cast("string"), "completion": F.lit(None).cast("string"), "messages": F.lit(None).cast("array<struct<role:string,content:string>>")})
-    kept = filters.clean_samples(web.unionByName(wiki).unionByName(local))
+    kept = filters.clean_samples(spread(web.unionByName(wiki).unionByName(local)))
     first = dedup.first_by_key(kept, dedup.text_key(F.col("rendered")), ["rec_id"])
     return first.groupBy("source", "format").agg(F.count("*").alias("samples"), F.sum(F.length("rendered")).alias("characters"))
 
@@ -174,7 +174,7 @@ def training_examples(s: SparkSession, d: str) -> DataFrame:
     local = table(s, d, "local_import").select(F.col("rec_id").cast("string").alias("rid"), "source", "format", none.alias("messages"), "prompt", "completion", "text")
     evol = table(s, d, "evol_instruct_italian").dropDuplicates(["id"]).select(F.col("id").alias("rid"), "source", "format", "messages", "prompt", "completion", empty.alias("text"))
     squad = files.extractive(table(s, d, "squad_it").dropDuplicates(["id"])).select(F.col("id").alias("rid"), "source", "format", none.alias("messages"), "prompt", "completion", empty.alias("text"))
-    made = examples.training_examples(web[0].unionByName(web[1]).unionByName(local).unionByName(evol).unionByName(squad))
+    made = examples.training_examples(spread(web[0].unionByName(web[1]).unionByName(local).unionByName(evol).unionByName(squad)))
     return made.groupBy("source", "format", "loss_mode", "tokenization").agg(F.count("*").alias("examples"), F.sum(F.size("input_ids")).alias("ids"))
 
 

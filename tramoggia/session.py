@@ -72,14 +72,31 @@ def staging_root(spark: SparkSession) -> str:
     return f"file://{known}"
 
 
+def _staged(spark: SparkSession) -> list[str]:
+    context = spark.sparkContext
+    if not hasattr(context, "_tramoggia_staged"):
+        context._tramoggia_staged = []
+    return context._tramoggia_staged
+
+
+def release(spark: SparkSession) -> None:
+    """Deletes the tables this session has staged; to be called when no result that reads them is needed any more."""
+    paths = _staged(spark)
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    while paths:
+        path = jvm.org.apache.hadoop.fs.Path(paths.pop())
+        path.getFileSystem(conf).delete(path, True)
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Writes `df` to the shared folder and reads it again, which cuts its lineage.
 
     A written table survives the loss of any executor; a table used twice is computed once.
-    The caller's cluster owns the life time of the folder.
+    The tables stay until `release` is called, as results are read lazily.
     """
     spark = df.sparkSession
     path = f"{staging_root(spark)}/staged/{label}-{uuid.uuid4().hex}"
+    _staged(spark).append(path)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -94,4 +111,4 @@ def spread(df: DataFrame, least: int | None = None) -> DataFrame:
     return df.repartition(want) if df.rdd.getNumPartitions() < want else df
 
 
-__all__ = ["REQUIRED", "build_session", "mapped", "ship", "spread", "stage", "staging_root", "table"]
+__all__ = ["REQUIRED", "build_session", "mapped", "release", "ship", "spread", "stage", "staging_root", "table"]
