@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tramoggia.llm import furniture as fu
+from tramoggia.operators.joins import lookup
 from tramoggia.session import mapped, stage, table
 
 #: A token is bound to sites if its odds on the other pages of its sites are this many times those on all pages ...
@@ -129,7 +130,7 @@ def template_tokens(pages: DataFrame) -> DataFrame:
     valid = in_site.join(classes, ["site", "vector"], "left_semi").select("tok").distinct().withColumn("valid", F.lit(True))
     rate = F.col("hits") * (F.col("hits") - 1) / F.greatest(F.col("site_pages") - 1, F.lit(1))
     stats = (
-        in_site.join(sizes, "site")
+        lookup(in_site, sizes, "site", "inner")
         .groupBy("tok")
         .agg(F.sum("hits").alias("hits"), F.count("*").alias("sites"), F.sum(rate).alias("rate"), F.sum("pos").alias("pos"), F.sum("pos2").alias("pos2"))
         .where("hits >= 3")
