@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tramoggia.llm.encoding import TOKENIZERS, VOCABULARY, token_counts
+from tramoggia.operators.joins import BROADCAST_ROWS
 from tramoggia.operators.ranking import rank_in_groups, seeded
 from tramoggia.session import stage, table
 
@@ -141,8 +142,9 @@ def mix(documents: DataFrame, targets: DataFrame, seed: int = 17, vocabulary: st
     passes = spark.createDataFrame([(r["source"], r["passes"]) for r in rows], "source string, passes int")
     extra = spark.createDataFrame(partial, "source string, n_tokens bigint, take bigint")
     ranked = rank_in_groups(sized, ["source", "n_tokens"], [seeded(seed, "doc_id"), F.col("doc_id")], rows=rows_in)
-    # Both tables are made of the plan on the driver, as small as the histogram.
-    joined = ranked.join(F.broadcast(passes), "source").join(F.broadcast(extra), ["source", "n_tokens"], "left")
+    if len(partial) <= BROADCAST_ROWS:
+        extra = F.broadcast(extra)
+    joined = ranked.join(F.broadcast(passes), "source").join(extra, ["source", "n_tokens"], "left")  # passes: a row for each target
     repeats = F.col("passes") + F.when(F.col("rank") < F.coalesce("take", F.lit(0)), 1).otherwise(0)
     used = joined.select("doc_id", "source", "n_tokens", repeats.cast("int").alias("repeats")).where("repeats > 0")
     final = {r["source"]: r["passes"] * r["available"] + sum(n * k for n, k in r["partial"].items()) for r in rows}
