@@ -206,8 +206,12 @@ def train_validation_split(s: SparkSession, d: str) -> DataFrame:
 # ---- metrics
 
 
+#: Rates, and means of few numbers with few decimals, lie between two roundings at six digits too often.
+_MEANS = {"lr_start", "lr_end", "mean_loss", "avg_loss", "recent_avg", "previous_avg", "tokens_avg"}
+
+
 def _rounded(df: DataFrame) -> DataFrame:
-    return df.withColumns({c: F.round(c, 6) for c, t in df.dtypes if t == "double"})
+    return df.withColumns({c: F.round(c, 9 if c in _MEANS else 6) for c, t in df.dtypes if t == "double"})
 
 
 def _log(s: SparkSession, d: str) -> DataFrame:
@@ -215,7 +219,7 @@ def _log(s: SparkSession, d: str) -> DataFrame:
 
 
 def metric_pivot(s: SparkSession, d: str) -> DataFrame:
-    return _rounded(metrics.pivot(_log(s, d)))
+    return metrics.pivot(_log(s, d))
 
 
 def moving_average(s: SparkSession, d: str) -> DataFrame:
@@ -251,7 +255,7 @@ def metric_stream(s: SparkSession, d: str) -> DataFrame:
     """The pivot over a log that a stream has appended."""
     path = f"{d}/metrics_history.parquet"
     log = stream_metrics.append_log(stream_metrics.log_stream(s, path, s.read.parquet(path).schema), uuid.uuid4().hex)
-    return _rounded(metrics.pivot(s.read.parquet(log)))
+    return metrics.pivot(s.read.parquet(log))
 
 
 # ---- dialogue and stages

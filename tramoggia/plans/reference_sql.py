@@ -81,7 +81,7 @@ def _rate(source: str, n: int) -> str:
  FROM (SELECT *, max(back) OVER (PARTITION BY run_id) AS m FROM (SELECT *, row_number() OVER (PARTITION BY run_id ORDER BY step DESC, type DESC) AS back FROM {source} WHERE timestamp IS NOT NULL) WHERE back <= {n}) GROUP BY run_id HAVING count(*) >= 2)"""
 
 
-_PIVOT = f"WITH {_ROWS} SELECT run_id, step, round(train_loss, 6) AS train_loss, round(perplexity, 6) AS perplexity, round(learning_rate, 6) AS learning_rate, round(eval_loss, 6) AS eval_loss, round(eval_perplexity, 6) AS eval_perplexity FROM rows_"
+_PIVOT = f"WITH {_ROWS} SELECT run_id, step, train_loss, perplexity, learning_rate, eval_loss, eval_perplexity FROM rows_"
 _LINES = "lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS line_no FROM documents WHERE text IS NOT NULL)"
 
 SQL = {
@@ -133,7 +133,7 @@ SQL = {
  b AS (SELECT run_id, train_loss AS best_loss, step AS best_step FROM (SELECT *, row_number() OVER (PARTITION BY run_id ORDER BY train_loss, step) AS k FROM t) WHERE k = 1), tr AS (SELECT * FROM e WHERE type = 'train'),
  x AS (SELECT a.*, b.best_loss, b.best_step, CASE WHEN s.secs > 0 AND s.steps > 0 THEN s.steps / s.secs * 60 END AS steps_per_minute, g.eval_gap, CASE WHEN previous_avg <> 0 THEN (recent_avg - previous_avg) / previous_avg * 100 END AS trend_pct
   FROM a JOIN b ON a.run_id = b.run_id LEFT JOIN {_rate('tr', 80)} s ON s.run_id = a.run_id LEFT JOIN gaps g ON g.run_id = a.run_id AND g.latest)
- SELECT run_id, round(recent_avg, 6) AS recent_avg, round(previous_avg, 6) AS previous_avg, round(trend_pct, 6) AS trend_pct, round(volatility, 6) AS volatility, round(best_loss, 6) AS best_loss, best_step, round(steps_per_minute, 6) AS steps_per_minute, round(eval_gap, 6) AS eval_gap,
+ SELECT run_id, round(recent_avg, 9) AS recent_avg, round(previous_avg, 9) AS previous_avg, round(trend_pct, 6) AS trend_pct, round(volatility, 6) AS volatility, round(best_loss, 6) AS best_loss, best_step, round(steps_per_minute, 6) AS steps_per_minute, round(eval_gap, 6) AS eval_gap,
  CASE WHEN trend_pct < -3 THEN 'in miglioramento' WHEN trend_pct > 3 THEN 'peggiora' WHEN trend_pct IS NOT NULL THEN 'stabile' ELSE 'raccolgo dati' END || CASE WHEN volatility > 0.85 THEN ' / rumoroso' ELSE '' END AS verdict FROM x""",
     "period_analysis": f"""WITH {_GAPS}, t AS (SELECT * FROM rows_ WHERE train_loss IS NOT NULL),
  a AS (SELECT run_id, min(step) AS start_step, max(step) AS end_step, count(*) AS points, arg_min(train_loss, step) AS first_loss, arg_max(train_loss, step) AS last_loss, avg(train_loss) AS avg_loss, stddev_pop(train_loss) AS volatility, min(train_loss) AS best_loss, max(train_loss) AS worst_loss,
@@ -144,16 +144,16 @@ SQL = {
  g AS (SELECT run_id, count(*) AS eval_count, max(eval_gap) FILTER (latest) AS eval_gap FROM gaps GROUP BY run_id),
  x AS (SELECT a.*, k.best_step, k.worst_step, w.*, g.eval_count, g.eval_gap, CASE WHEN first_loss <> 0 THEN slope * (end_step - start_step) / first_loss * 100 END AS trend_pct, CASE WHEN first_loss <> 0 THEN (last_loss - first_loss) / first_loss * 100 END AS delta_pct
   FROM a JOIN k ON k.run_id = a.run_id LEFT JOIN w ON w.run_id = a.run_id LEFT JOIN g ON g.run_id = a.run_id)
- SELECT run_id, start_step, end_step, points, round(first_loss, 6) AS first_loss, round(last_loss, 6) AS last_loss, round(last_loss - first_loss, 6) AS delta_loss, round(delta_pct, 6) AS delta_pct, round(trend_pct, 6) AS trend_pct, round(avg_loss, 6) AS avg_loss, round(volatility, 6) AS volatility,
- round(best_loss, 6) AS best_loss, best_step, round(worst_loss, 6) AS worst_loss, worst_step, round(avg_perplexity, 6) AS avg_perplexity, round(lr_start, 6) AS lr_start, round(lr_end, 6) AS lr_end, round(CASE WHEN s1 <> s0 THEN t1 - t0 END, 6) AS duration_seconds,
- round(CASE WHEN t1 - t0 > 0 AND s1 - s0 > 0 THEN (s1 - s0) / (t1 - t0) * 60 END, 6) AS steps_per_minute, round(tokens_avg, 6) AS tokens_avg, tokens_total, coalesce(eval_count, 0) AS eval_count, round(eval_gap, 6) AS eval_gap, round(cpu_optimizer_share, 6) AS cpu_optimizer_share,
+ SELECT run_id, start_step, end_step, points, round(first_loss, 6) AS first_loss, round(last_loss, 6) AS last_loss, round(last_loss - first_loss, 6) AS delta_loss, round(delta_pct, 6) AS delta_pct, round(trend_pct, 6) AS trend_pct, round(avg_loss, 9) AS avg_loss, round(volatility, 6) AS volatility,
+ round(best_loss, 6) AS best_loss, best_step, round(worst_loss, 6) AS worst_loss, worst_step, round(avg_perplexity, 6) AS avg_perplexity, round(lr_start, 9) AS lr_start, round(lr_end, 9) AS lr_end, round(CASE WHEN s1 <> s0 THEN t1 - t0 END, 6) AS duration_seconds,
+ round(CASE WHEN t1 - t0 > 0 AND s1 - s0 > 0 THEN (s1 - s0) / (t1 - t0) * 60 END, 6) AS steps_per_minute, round(tokens_avg, 9) AS tokens_avg, tokens_total, coalesce(eval_count, 0) AS eval_count, round(eval_gap, 6) AS eval_gap, round(cpu_optimizer_share, 6) AS cpu_optimizer_share,
  CASE WHEN coalesce(trend_pct, delta_pct) < -5 THEN 'migliora netto' WHEN coalesce(trend_pct, delta_pct) < -1 THEN 'migliora leggero' WHEN coalesce(trend_pct, delta_pct) > 5 THEN 'peggiora netto' WHEN coalesce(trend_pct, delta_pct) > 1 THEN 'peggiora leggero' ELSE 'stabile' END
  || CASE WHEN avg_loss <> 0 AND volatility / avg_loss > 0.12 THEN ' / instabile' ELSE '' END AS behavior FROM x""",
     "asof_eval_gap": f"WITH {_GAPS} SELECT run_id, step, round(eval_loss, 6) AS eval_loss, train_step, round(train_loss, 6) AS train_loss, round(eval_gap, 6) AS eval_gap, latest FROM gaps",
     "eta_rate": f"""WITH {_ENTRIES}, n AS (SELECT run_id, max(global_step) AS current_step, max(total_steps) AS total_steps FROM metrics_history WHERE global_step <> 0 GROUP BY run_id)
  SELECT n.run_id, current_step, total_steps, round(CASE WHEN total_steps > 0 THEN least(100.0, greatest(0.0, current_step / total_steps * 100)) END, 6) AS progress_pct,
  round(CASE WHEN secs > 0 AND steps > 0 AND total_steps > 0 AND current_step < total_steps THEN (total_steps - current_step) / steps * secs END, 6) AS eta_seconds FROM n LEFT JOIN {_rate('e', 30)} r ON r.run_id = n.run_id""",
-    "epoch_means": """SELECT run_id, epoch, type, count(*) AS entries, round(avg(f), 6) AS mean_loss, round(exp(least(avg(f), 20.0)), 6) AS perplexity FROM (SELECT run_id, epoch, type, CASE WHEN isnan(loss) THEN NULL ELSE loss END AS f,
+    "epoch_means": """SELECT run_id, epoch, type, count(*) AS entries, round(avg(f), 9) AS mean_loss, round(exp(least(avg(f), 20.0)), 6) AS perplexity FROM (SELECT run_id, epoch, type, CASE WHEN isnan(loss) THEN NULL ELSE loss END AS f,
  row_number() OVER (PARTITION BY run_id, global_step, type, epoch ORDER BY received_at DESC, loss DESC NULLS LAST) AS k FROM metrics_history WHERE global_step <> 0) WHERE k = 1 GROUP BY run_id, epoch, type""",
     "slow_steps": f"WITH {_ENTRIES} SELECT run_id, step, round(optimizer_step_seconds, 6) AS optimizer_step_seconds FROM e WHERE type = 'train' AND optimizer_step_seconds >= 1.0 AND NOT isnan(optimizer_step_seconds)",
     "interval_merge": f"""WITH {_LINES}, n AS (SELECT doc_id, max(line_no) + 1 AS n FROM lines GROUP BY doc_id), w AS (SELECT l.doc_id, greatest(0, line_no - 2) AS s, least(n, line_no + 4) AS e FROM lines l JOIN n ON n.doc_id = l.doc_id WHERE contains(line, 'ponte')),
