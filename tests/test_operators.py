@@ -1,8 +1,11 @@
 """Packing, similarity, ranks, series and joins, against brute force and on hard cases."""
 
+import inspect
+import math
 import random
 from itertools import combinations
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -85,6 +88,32 @@ def test_similar_pairs_equal_brute_force(spark, records, monkeypatch, node, leve
     assert got == _brute(records, 0.6, 3)
 
 
+@pytest.mark.parametrize("threshold", [0.6, 0.8])
+def test_similar_recall_counts_levels_and_repeated_choices(threshold):
+    recall = inspect.signature(similarity.similar).parameters["recall"].default
+    choices = math.ceil(1 / threshold)
+    trees = similarity.trees_for(threshold, choices, recall)
+    assert recall >= 0.9999 and trees > math.log(1 - recall) / (choices * math.log(1 - threshold))
+    assert similarity.missed(threshold, choices, trees) <= 1 - recall < similarity.missed(threshold, choices, trees - 1)
+    assert np.unique(similarity._places(trees, choices, 11)).size == trees * choices
+    # Followed through all levels as if every node were large, for pairs that agree in each token with the threshold's probability.
+    rng, rounds = np.random.default_rng(1), 20_000
+    few = max(1, trees // 3)
+    roots = np.array(similarity._roots(few, 11), np.int64).view(np.uint64)
+    a = rng.integers(0, 256, (rounds, similarity.SIGNATURE)).astype(np.uint64)
+    agree = rng.random(a.shape) < threshold
+    b = np.where(agree, a, a + np.uint64(1))
+    pair, node, places = np.repeat(np.arange(rounds), few), np.tile(roots, rounds), np.tile(similarity._places(few, choices, 11), (rounds, 1))
+    for level in range(similarity.LEVELS + 1):
+        x, y = (similarity._chosen(node, t[pair], places) for t in (a, b))
+        pair, node = np.repeat(pair, places.shape[1])[(x == y).ravel()], x[x == y].view(np.uint64)
+        places = similarity._below(node, choices + 1)
+    kept = np.zeros(rounds, bool)
+    kept[pair] = True
+    lost = 1 - (kept & (agree.sum(axis=1) >= similarity._close(threshold))).mean()
+    assert lost <= similarity.missed(threshold, choices, few) * 1.1 + 1e-3
+
+
 def test_similar_classes(spark, records):
     made = {r.rec_id: r for r in similarity.similar(spark.createDataFrame(records, "rec_id long, text string"), 0.6, 3).classes().collect()}
     assert made[1003].copies == made[1024].copies >= 25 and made[1003].class_id == made[1024].class_id <= 1000

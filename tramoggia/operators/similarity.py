@@ -31,7 +31,7 @@ NODE = 300
 #: Levels below the root.
 LEVELS = 4
 #: The signatures of a pair may fall short of the threshold by so many standard deviations.
-SLACK = 3.7
+SLACK = 4.5
 _WORD = re.compile(r"[^\W_]+")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -86,7 +86,7 @@ def sketches(df: DataFrame, n: int, seed: int, trees: int, choices: int) -> Data
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = _multipliers(SIGNATURE, seed)
-        roots = np.array(_roots(trees, seed), np.int64).view(np.uint64)
+        roots, places = np.array(_roots(trees, seed), np.int64).view(np.uint64), _places(trees, choices, seed)
         for batch in batches:
             ids, classes, sizes, nodes, bits = [], [], [], [], []
             for rec_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -97,7 +97,7 @@ def sketches(df: DataFrame, n: int, seed: int, trees: int, choices: int) -> Data
                         classes.append(int((np.bitwise_xor.reduce(items * _MIX) + items.sum()).view(np.int64)))
                     sizes.append(len(items))
                     tokens = signature(items, a, b)
-                    nodes.append(_chosen(roots, np.broadcast_to(tokens, (trees, SIGNATURE)), choices).ravel())
+                    nodes.append(_chosen(roots, np.broadcast_to(tokens, (trees, SIGNATURE)), places).ravel())
                     bits.append(tokens.astype(np.uint8).tobytes())
             chosen = pa.ListArray.from_arrays(pa.array(np.arange(len(ids) + 1) * trees * choices, pa.int32()), pa.array(np.concatenate(nodes) if nodes else np.zeros(0, np.int64)))
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(classes, pa.int64()), pa.array(sizes, pa.int32()), chosen, pa.array(bits, pa.binary())], names=["rec_id", "class", "size", "nodes", "bits"])
@@ -105,24 +105,52 @@ def sketches(df: DataFrame, n: int, seed: int, trees: int, choices: int) -> Data
     return df.select("rec_id", "text").transform(mapped, run, "rec_id bigint, class bigint, size int, nodes array<bigint>, bits binary")
 
 
+def missed(threshold: float, choices: int, trees: int) -> float:
+    """The probability, at most, that a pair at the threshold isn't found.
+
+    Counted over the m coordinates of the signature where the pair agrees, as all trees draw from
+    the same ones: too few for the comparison, or a share of the roots' coordinates (drawn without
+    repetition) none of which leads to a common path through all LEVELS.
+    """
+    rounds, rest = divmod(trees * choices, SIGNATURE)
+    out = 0.0
+    for m in range(SIGNATURE + 1):
+        p = math.comb(SIGNATURE, m) * threshold**m * (1 - threshold) ** (SIGNATURE - m)
+        if m >= _close(threshold):
+            q, apart = m / SIGNATURE, 0.0
+            for _ in range(LEVELS):
+                apart = (1 - q + q * apart) ** (choices + 1)
+            p *= sum(math.comb(m, h) * math.comb(SIGNATURE - m, rest - h) * apart ** (rounds * m + h) for h in range(min(m, rest) + 1)) / math.comb(SIGNATURE, rest)
+        out += p
+    return out
+
+
 def trees_for(threshold: float, choices: int, recall: float) -> int:
-    """The trees after which a pair at the threshold has shared a path of one level with this probability."""
-    return max(1, math.ceil(math.log(1 - recall) / (choices * math.log(1 - threshold))))
+    """The trees after which a pair at the threshold has shared a path through all levels with this probability."""
+    for trees in range(1, 4 * SIGNATURE + 1):
+        if missed(threshold, choices, trees) <= 1 - recall:
+            return trees
+    raise ValueError(f"{SIGNATURE} minwise tokens don't give recall {recall} at threshold {threshold}")
 
 
-def _chosen(node: np.ndarray, tokens: np.ndarray, choices: int) -> np.ndarray:
-    """For each row the children it goes to: `choices` coordinates, by a hash of the node, and the tokens there."""
+def _chosen(node: np.ndarray, tokens: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """For each row the children it goes to, by the tokens at its `places` (rows × choices)."""
     rows, out = np.arange(len(node)), []
     with np.errstate(over="ignore"):
-        first = (node * _MIX) >> np.uint64(33)
-        for k in range(choices):
-            at = ((first + np.uint64(k * (SIGNATURE // choices))) % np.uint64(SIGNATURE)).astype(np.int64)
+        for at in places.T:
             h = (node ^ (node >> np.uint64(31))) * _MIX + (at.astype(np.uint64) << np.uint64(32)) + tokens[rows, at]
             h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
             out.append((h ^ (h >> np.uint64(27))).view(np.int64))
     return np.stack(out, axis=1)
 
 
+def _below(node: np.ndarray, choices: int) -> np.ndarray:
+    """The coordinates (rows × choices) that nodes below the root choose, by a hash of the node."""
+    with np.errstate(over="ignore"):
+        first = (node * _MIX) >> np.uint64(33)
+    return ((first[:, None] + np.arange(choices, dtype=np.uint64) * np.uint64(SIGNATURE // choices)) % np.uint64(SIGNATURE)).astype(np.int64)
+
+
 def _children(choices: int):
     """Rows (class, node, bits) to (class, node) of the chosen children; a node's name is a hash of its tree and path."""
 
@@ -130,7 +158,8 @@ def _children(choices: int):
         for batch in batches:
             if batch.num_rows:
                 bits = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint8).reshape(-1, SIGNATURE).astype(np.uint64)
-                out = _chosen(batch.column(1).to_numpy().view(np.uint64), bits, choices)
+                node = batch.column(1).to_numpy().view(np.uint64)
+                out = _chosen(node, bits, _below(node, choices))
                 yield pa.RecordBatch.from_arrays([pa.array(np.repeat(batch.column(0).to_numpy(), choices)), pa.array(out.ravel())], names=["class", "node"])
 
     return run
@@ -141,6 +170,13 @@ def _roots(trees: int, seed: int) -> list[int]:
     return [int(x) for x in rng.integers(-(1 << 62), 1 << 62, trees)]
 
 
+def _places(trees: int, choices: int, seed: int) -> np.ndarray:
+    """The roots' coordinates (trees × choices); none comes again before all have been drawn."""
+    rng, need = np.random.default_rng(seed + 2), trees * choices
+    drawn = np.concatenate([rng.permutation(SIGNATURE) for _ in range(-(-need // SIGNATURE))])
+    return drawn[:need].reshape(trees, choices)
+
+
 def _close(threshold: float):
     """The least number of equal minwise tokens of a pair that is compared exactly."""
     least = SIGNATURE * threshold - SLACK * math.sqrt(SIGNATURE * threshold * (1 - threshold))
@@ -304,13 +340,14 @@ class Similar:
         return self.members.join(size, "class").join(ends, "class", "left").select("rec_id", F.col("first").alias("class_id"), "copies", F.coalesce("links", F.lit(0)).cast("bigint").alias("links"))
 
 
-def similar(df: DataFrame, threshold: float = 0.8, words: int = 5, recall: float = 0.9998, seed: int = 11) -> Similar:
+def similar(df: DataFrame, threshold: float = 0.8, words: int = 5, recall: float = 0.9999, seed: int = 11) -> Similar:
     """The near-duplicates among records (rec_id, text); other columns are ignored.
 
     Sets of runs of `words` words are compared by intersection ÷ union. Null texts and those of
     fewer words are in no pair. Records with equal rec_ids must have equal texts. No limit on
     copies, partners or sizes of groups; pairs at the threshold are found with probability
-    `recall` or a little more, others with higher, and every pair is checked exactly.
+    `recall` or more, the levels below the roots and the comparison by signature counted in, others
+    with higher, and every pair is checked exactly.
     """
     records = df.select("rec_id", "text")
     choices = math.ceil(1 / threshold)
