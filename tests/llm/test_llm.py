@@ -84,6 +84,22 @@ def test_quality_hard_inputs(spark):
     assert quality.quality(hard(spark).where("false"), "doc_id").count() == 0
 
 
+def test_body_is_less_the_sites_template(spark, model):
+    # A menu that no phrase list names, and the same pages without it.
+    menu = "\n".join(["Bacheca dei lettori", "Rubriche del mattino", "Sezione speciale", "Mappa delle botteghe"] * 6)
+    body = "Il mulino è vicino al fiume e non si ferma mai."
+    assert dict(zip(quality.COLUMNS, quality.statistics(f"{menu}\n{body}")))["body_chars"] > len(body)
+    rng = random.Random(2)
+    words = "mulino fiume ponte museo porto treno libro campo motore vento".split()
+    rows = [(k, f"www.sito{k % 4}.example", f"{menu if k % 4 == 0 else ''}\nIl {rng.choice(words)} {k} è vicino al {rng.choice(words)} e non si ferma mai.") for k in range(80)]
+    pages = boilerplate.with_furniture(spark.createDataFrame(rows, "rec_id long, site string, text string"))
+    made = {r.rec_id: r for r in quality.quality(pages, "rec_id", gone="gone").collect()}
+    assert len(made) == 80
+    for k, _, text in rows:
+        assert made[k].kind == "prose" and made[k].body_chars == len(text.split("\n")[-1])
+    assert language.segments(pages, model, "rec_id", gone="gone").where("words > 12").count() == 0
+
+
 # ---- languages
 
 

@@ -274,6 +274,23 @@ def remove_with(spark: SparkSession, pages: DataFrame, keys: DataFrame, broadcas
     return joined.transform(mapped, _decide_joined, "rec_id bigint, line_no bigint")
 
 
+def with_furniture(df: DataFrame) -> DataFrame:
+    """`df` with the column gone, array<bigint>: the numbers of each page's furniture lines, empty if it has none.
+
+    `df` needs unique rec_ids, site and text. The lists are written once; the join keeps every row.
+    """
+    lines = furniture_lines(df).groupBy("rec_id").agg(F.collect_set("line_no").alias("gone"))
+    return df.join(stage(lines, "furniture"), "rec_id", "left").withColumn("gone", F.coalesce("gone", F.array().cast("array<bigint>")))
+
+
+def taken_away(bits: list[int], plains: list[str], numbers: list[int], gone: list[int] | None) -> list[bool]:
+    """Which lines of a text are furniture: those of `gone`, by number; without a site (None) those that their phrases tell."""
+    if gone is not None:
+        known = set(gone)
+        return [k in known for k in numbers]
+    return removable(bits, [1.0 if fu.site_line(p, b) else 0.0 for p, b in zip(plains, bits)], [0.0] * len(bits))
+
+
 def p1_found(spark: SparkSession, directory: str) -> DataFrame:
     """The furniture lines of all pages of fineweb2_it."""
     return furniture_lines(table(spark, directory, "fineweb2_it"))

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tramoggia.llm import furniture as fu
-from tramoggia.llm.boilerplate import removable
+from tramoggia.llm.boilerplate import taken_away, with_furniture
 from tramoggia.llm.quality import PROSE_SHARE, prose_line
 from tramoggia.session import mapped, table
 
@@ -158,18 +158,19 @@ def stated(label: Column) -> Column:
     return F.when(label.isNotNull(), F.try_element_at(names, plain))
 
 
-def body_sentences(text: str, skip_unprosaic: bool) -> list[list[str]]:
+def body_sentences(text: str, skip_unprosaic: bool, lines: list[int] | None = None) -> list[list[str]]:
     """The sentences of the prose lines of a text's main body, as lower-case words, without the shortest.
 
-    None if the body isn't prose and that matters.
+    None if the body isn't prose and that matters; `lines` are the furniture's as in `taken_away`.
     """
-    plains, bits = [], []
-    for line in text.split("\n"):
+    plains, bits, numbers = [], [], []
+    for number, line in enumerate(text.split("\n"), 1):
         if line.strip():
             plain, mark = fu.marks(line)
             plains.append(plain)
             bits.append(mark)
-    away = removable(bits, [1.0 if fu.site_line(p, b) else 0.0 for p, b in zip(plains, bits)], [0.0] * len(bits))
+            numbers.append(number)
+    away = taken_away(bits, plains, numbers, lines)
     out, body, prose = [], 0, 0
     for plain, mark, gone in zip(plains, bits, away):
         if gone or not plain or plain.startswith("<|"):
@@ -193,7 +194,7 @@ def _sampled(df: DataFrame, counts: dict[str, int]) -> DataFrame:
 
 
 def train(df: DataFrame) -> Classifier:
-    """A classifier from rows (key, label, text), of which a bounded sample goes to the driver.
+    """A classifier from rows (key, label, text, gone), of which a bounded sample goes to the driver.
 
     Labels may be wrong: a classifier of the seed sentences first judges the sampled sentences, and
     those that it clearly takes for another language than their label are left out. Languages
@@ -202,14 +203,14 @@ def train(df: DataFrame) -> Classifier:
     seeds = [(_WORD.findall(s.lower()), k) for k, lang in enumerate(LANGUAGES) for s in sentences(SEEDS[lang])]
     texts, labels = [t for t, _ in seeds], [k for _, k in seeds]
     first = Classifier.fit(texts, labels)
-    rows = df.select("key", stated(F.col("label")).alias("lang"), "text").where("lang is not null and text is not null")
+    rows = df.select("key", stated(F.col("label")).alias("lang"), "text", "gone").where("lang is not null and text is not null")
     counts = {r.lang: r["count"] for r in rows.groupBy("lang").count().collect()}  # one row a language
     taken: dict[str, int] = {}
     known = Ngrams()
     for row in sorted(_sampled(rows, counts).collect(), key=lambda r: (r.lang, str(r.key))):
         if taken.get(row.lang, 0) >= SAMPLE_SENTENCES:
             continue
-        words = body_sentences(row.text, False)
+        words = body_sentences(row.text, False, row.gone)
         at = LANGUAGES.index(row.lang)
         for w, s in zip(words, first.scores(words, known)):
             if taken.get(row.lang, 0) < SAMPLE_SENTENCES and s[at] >= s.max() - 0.05:
@@ -228,12 +229,13 @@ def _confidence(scores: np.ndarray) -> np.ndarray:
 CHARS_AT_ONCE = 2_000_000
 
 
-def segments(df: DataFrame, model: Classifier, *keep: str, unprosaic: str | None = None, text: str = "text") -> DataFrame:
+def segments(df: DataFrame, model: Classifier, *keep: str, unprosaic: str | None = None, text: str = "text", gone: str | None = None) -> DataFrame:
     """(keep…, segment, lang, confidence, lead, words): runs of sentences of one language in each text's main body.
 
     `lead` is how far the segment's best sentence leads the language next to it; sentences of fewer
     than LEAST_WORDS words go with the sentence before. `unprosaic` names a boolean column; where
-    it is true, a text whose body isn't prose has no segments. Null, empty and blank texts have none.
+    it is true, a text whose body isn't prose has no segments. `gone` names a column with the numbers
+    of each text's furniture lines; where it is null, phrases alone tell them. Null, empty and blank texts have none.
     """
     weights = df.sparkSession.sparkContext.broadcast(model.weights)  # SPACE × 5 numbers, 2.6 MB
     n = len(keep)
@@ -263,11 +265,11 @@ def segments(df: DataFrame, model: Classifier, *keep: str, unprosaic: str | None
             return pa.RecordBatch.from_arrays([*columns, pa.array(seg, pa.int32()), pa.array(lang, pa.string()), pa.array(conf, pa.float64()), pa.array(led, pa.float64()), pa.array(count, pa.int32())], names=[*keep, "segment", "lang", "confidence", "lead", "words"])
 
         for batch in batches:
-            texts, flags = batch.column(n).to_pylist(), batch.column(n + 1).to_pylist()
+            texts, flags, gones = (batch.column(n + k).to_pylist() for k in range(3))
             rows, spans, words, chars = [], [], [], 0
-            for row, (text_, flag) in enumerate(zip(texts, flags)):
+            for row, (text_, flag, lines) in enumerate(zip(texts, flags, gones)):
                 if text_ and not text_.isspace():
-                    found = body_sentences(text_, bool(flag))
+                    found = body_sentences(text_, bool(flag), lines)
                     if found:
                         rows.append(row)
                         spans.append((len(words), len(words) + len(found)))
@@ -280,30 +282,34 @@ def segments(df: DataFrame, model: Classifier, *keep: str, unprosaic: str | None
 
     kinds = ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keep)
     flag = F.col(unprosaic) if unprosaic else F.lit(False)
-    taken = df.select(*[F.col(k) for k in keep], F.col(text), flag.alias("_unprosaic"))
+    taken = df.select(*[F.col(k) for k in keep], F.col(text), flag.alias("_unprosaic"), (F.col(gone) if gone else F.lit(None)).cast("array<bigint>").alias("_gone"))
     return taken.transform(mapped, run, f"{kinds}, segment int, lang string, confidence double, lead double, words int")
 
 
 def labelled(spark: SparkSession, directory: str) -> DataFrame:
-    """(source, rec_id, label, text) of fineweb2_it and local_import."""
-    parts = [table(spark, directory, t).select(F.lit(t).alias("source"), "rec_id", F.col("language").alias("label"), "text") for t in ("fineweb2_it", "local_import")]
+    """(source, rec_id, label, text, gone) of fineweb2_it, less its sites' furniture, and local_import, which has no sites."""
+    web = with_furniture(table(spark, directory, "fineweb2_it").select("rec_id", "site", "language", "text"))
+    local = table(spark, directory, "local_import").withColumn("gone", F.lit(None).cast("array<bigint>"))
+    parts = [df.select(F.lit(t).alias("source"), "rec_id", F.col("language").alias("label"), "text", "gone") for t, df in (("fineweb2_it", web), ("local_import", local))]
     return parts[0].unionAll(parts[1])
 
 
-def model_for(spark: SparkSession, directory: str) -> Classifier:
-    return train(labelled(spark, directory).withColumnRenamed("rec_id", "key"))
+def model_for(spark: SparkSession, directory: str, rows: DataFrame | None = None) -> Classifier:
+    return train((rows or labelled(spark, directory)).withColumnRenamed("rec_id", "key"))
 
 
 def p3_found(spark: SparkSession, directory: str) -> DataFrame:
     """Each language of a whole sentence of a record's main body that the record's label doesn't state."""
-    rows = labelled(spark, directory).withColumns({"claim": stated(F.col("label")), "strict": F.col("source") == "fineweb2_it"})
-    parts = segments(rows, model_for(spark, directory), "source", "rec_id", "claim", unprosaic="strict")
+    rows = labelled(spark, directory)
+    judged = rows.withColumns({"claim": stated(F.col("label")), "strict": F.col("source") == "fineweb2_it"})
+    parts = segments(judged, model_for(spark, directory, rows), "source", "rec_id", "claim", unprosaic="strict", gone="gone")
     return parts.where((F.col("claim").isNull() | (F.col("claim") != F.col("lang"))) & (F.col("lead") >= LEAD)).select("source", "rec_id", "lang").distinct()
 
 
 def p3_segments(spark: SparkSession, directory: str) -> DataFrame:
     """The language segments of every record of both tables, with confidence."""
-    return segments(labelled(spark, directory), model_for(spark, directory), "source", "rec_id").drop("lead")
+    rows = labelled(spark, directory)
+    return segments(rows, model_for(spark, directory, rows), "source", "rec_id", gone="gone").drop("lead")
 
 
 def p3_documents(spark: SparkSession, directory: str) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tramoggia.llm import furniture as fu
 from tramoggia.llm.answers import FUNCTION_WORDS
-from tramoggia.llm.boilerplate import removable
+from tramoggia.llm.boilerplate import taken_away, with_furniture
 from tramoggia.session import mapped, table
 
 COMMON = frozenset(w for words in FUNCTION_WORDS.values() for w in words.split())
@@ -91,21 +91,20 @@ def prose_line(plain: str, bits: int, words: list[str]) -> bool:
     return fu.digits_in(plain) <= 0.15 * len(plain)
 
 
-def statistics(text: str) -> tuple:
-    """The values of COLUMNS for a text with anything but white space."""
-    lines, bits, plains = [], [], []
-    for line in text.split("\n"):
+def statistics(text: str, gone: list[int] | None = None) -> tuple:
+    """The values of COLUMNS for a text with anything but white space; `gone` as in `taken_away`."""
+    lines, bits, plains, numbers = [], [], [], []
+    for number, line in enumerate(text.split("\n"), 1):
         stripped = line.strip()
         if stripped:
             plain, mark = fu.marks(line)
             lines.append(stripped)
             bits.append(mark)
             plains.append(plain)
-    nothing = [0.0] * len(lines)
-    gone = removable(bits, [1.0 if fu.site_line(p, b) else 0.0 for p, b in zip(plains, bits)], nothing)
+            numbers.append(number)
     words: list[str] = []
     body = prose = listed = ended = 0
-    for line, plain, mark, away in zip(lines, plains, bits, gone):
+    for line, plain, mark, away in zip(lines, plains, bits, taken_away(bits, plains, numbers, gone)):
         found = _WORD.findall(plain.lower())
         words += found
         ended += line[-1] in ".!?…"
@@ -141,39 +140,43 @@ def statistics(text: str) -> tuple:
 
 def _run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts = batch.column(batch.num_columns - 1).to_pylist()
-        rows = [statistics(t) if t and not t.isspace() else (None,) * len(COLUMNS) for t in texts]
+        texts, gone = (batch.column(batch.num_columns - k).to_pylist() for k in (2, 1))
+        rows = [statistics(t, g) if t and not t.isspace() else (None,) * len(COLUMNS) for t, g in zip(texts, gone)]
         columns = list(zip(*rows)) if rows else [()] * len(COLUMNS)
         arrays = [pa.array(c, kind) for c, kind in zip(columns, COLUMNS.values())]
-        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *arrays], names=[*batch.schema.names[:-1], *COLUMNS])
+        yield pa.RecordBatch.from_arrays([*batch.columns[:-2], *arrays], names=[*batch.schema.names[:-2], *COLUMNS])
 
 
-def quality(df: DataFrame, *keep: str, text: str = "text") -> DataFrame:
+def quality(df: DataFrame, *keep: str, text: str = "text", gone: str | None = None) -> DataFrame:
     """The columns `keep` and the statistics of each row's whole text; null for null and blank texts.
 
     No row is dropped and nothing is shuffled; other columns are ignored, `keep` must not clash with
     the names of COLUMNS. Ratios are of characters or lines; `kind` is prose, list or table, junk,
-    or no body, by the share of prose lines in what isn't page furniture.
+    or no body, by the share of prose lines in what isn't page furniture. `gone` names a column with
+    the numbers of each text's furniture lines; where it is null (or not given) phrases alone tell them.
     """
     spark_type = {pa.int64(): "bigint", pa.float64(): "double", pa.string(): "string"}
     kinds = [f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keep] + [f"{c} {spark_type[k]}" for c, k in COLUMNS.items()]
-    return df.select(*[F.col(k) for k in keep], F.col(text)).transform(mapped, _run, ", ".join(kinds))
+    lines = F.col(gone) if gone else F.lit(None)
+    return df.select(*[F.col(k) for k in keep], F.col(text), lines.cast("array<bigint>").alias("_gone")).transform(mapped, _run, ", ".join(kinds))
 
 
 def records(spark: SparkSession, directory: str) -> DataFrame:
-    """(source, rec_id, text) of fineweb2_it and wikipedia_it."""
-    parts = [table(spark, directory, t).select(F.lit(t).alias("source"), "rec_id", "text") for t in ("fineweb2_it", "wikipedia_it")]
+    """(source, rec_id, text, gone) of fineweb2_it, less its sites' furniture, and wikipedia_it, which has no sites."""
+    web = with_furniture(table(spark, directory, "fineweb2_it").select("rec_id", "site", "text"))
+    wiki = table(spark, directory, "wikipedia_it").withColumn("gone", F.lit(None).cast("array<bigint>"))
+    parts = [df.select(F.lit(t).alias("source"), "rec_id", "text", "gone") for t, df in (("fineweb2_it", web), ("wikipedia_it", wiki))]
     return parts[0].unionAll(parts[1])
 
 
 def p2_found(spark: SparkSession, directory: str) -> DataFrame:
     """The records with non-blank text that are lists, tables or junk, or have no main body."""
-    return quality(records(spark, directory), "source", "rec_id").where("kind <> 'prose'").select("source", "rec_id").distinct()
+    return quality(records(spark, directory), "source", "rec_id", gone="gone").where("kind <> 'prose'").select("source", "rec_id").distinct()
 
 
 def p2_statistics(spark: SparkSession, directory: str) -> DataFrame:
     """The statistics of every record of both tables."""
-    return quality(records(spark, directory), "source", "rec_id")
+    return quality(records(spark, directory), "source", "rec_id", gone="gone")
 
 
 __all__ = ["COLUMNS", "p2_found", "p2_statistics", "quality", "statistics"]
