@@ -133,6 +133,20 @@ def test_segments_of_a_mixed_text(spark, model):
     assert [r.lang for r in rows] == ["it", "en", "it", "de"] and all(r.confidence > 0.5 for r in rows)
 
 
+def test_all_lines_of_a_body_are_classified(spark, model, monkeypatch):
+    items = "15 cose da sapere su Valmore\n1) La fortezza industriale di Salcello\n2) Il mercato del pesce sul porto vecchio\n- Il filtro (1929)"
+    foreign = "Il treno parte alle nove dalla stazione vecchia e arriva al mare.\n• The council owns the old bridge near the town.\n1. Die Stadt liegt am Fluss und ist sehr alt."
+    rows = [(1, "it", items, None), (2, "it", foreign, None), (3, "it", "Ciao", None), (4, "it", None, None)]
+    df = spark.createDataFrame(rows, "rec_id long, label string, text string, gone array<bigint>").withColumn("source", F.lit("local_import"))
+    made = language.segments(df, model, "rec_id").orderBy("rec_id", "segment").collect()
+    assert [(r.rec_id, r.lang) for r in made] == [(1, "it"), (2, "it"), (2, "en"), (2, "de")]
+    assert made[0].words == 19 and made[0].lead == 0 and all(r.lead > language.LEAD for r in made[1:])
+    monkeypatch.setattr(language, "labelled", lambda *_: df)
+    monkeypatch.setattr(language, "model_for", lambda *_: model)
+    assert {r.rec_id: r.lang for r in language.p3_documents(spark, "").collect()} == {1: "it", 2: "it", 3: None, 4: None}
+    assert {(r.rec_id, r.lang) for r in language.p3_found(spark, "").collect()} == {(2, "en"), (2, "de")}
+
+
 def test_language_hard_inputs(spark, model):
     assert {r.doc_id for r in language.segments(hard(spark), model, "doc_id").collect()} <= {4, 5}
 

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -158,10 +159,22 @@ def stated(label: Column) -> Column:
     return F.when(label.isNotNull(), F.try_element_at(names, plain))
 
 
-def body_sentences(text: str, skip_unprosaic: bool, lines: list[int] | None = None) -> list[list[str]]:
-    """The sentences of the prose lines of a text's main body, as lower-case words, without the shortest.
+class Unit(NamedTuple):
+    """Words of a body that are judged together: a sentence, or the short, listed and unended lines between sentences."""
 
-    None if the body isn't prose and that matters; `lines` are the furniture's as in `taken_away`.
+    words: list[str]
+    #: Whether it is a whole sentence, and whether its line is prose.
+    whole: bool
+    prose: bool
+    #: Words after it, too few to be judged.
+    more: int = 0
+
+
+def body_units(text: str, skip_unprosaic: bool, lines: list[int] | None = None) -> list[Unit]:
+    """All words of a text's main body, lower-case, in units; one of fewer than LEAST_WORDS words goes with its neighbour.
+
+    None if the body isn't prose and that matters, or has fewer than LEAST_WORDS words; `lines` are
+    the furniture's as in `taken_away`.
     """
     plains, bits, numbers = [], [], []
     for number, line in enumerate(text.split("\n"), 1):
@@ -171,17 +184,32 @@ def body_sentences(text: str, skip_unprosaic: bool, lines: list[int] | None = No
             bits.append(mark)
             numbers.append(number)
     away = taken_away(bits, plains, numbers, lines)
-    out, body, prose = [], 0, 0
+    out: list[Unit] = []
+    pending: list[str] = []
+    body, prose = 0, 0
     for plain, mark, gone in zip(plains, bits, away):
         if gone or not plain or plain.startswith("<|"):
             continue
         body += len(plain)
-        if plain.count(" ") < LEAST_WORDS - 1:
-            continue
-        found = [_WORD.findall(s) for s in sentences(plain.lower())]
-        if prose_line(plain, mark, [w for s in found for w in s]):
+        found = [w for s in sentences(plain.lower()) if (w := _WORD.findall(s))]
+        n = sum(map(len, found))
+        if prosaic := prose_line(plain, mark, [w for s in found for w in s]):
             prose += len(plain)
-            out += [w for w in found if len(w) >= LEAST_WORDS]
+        if n < 15 and (n < LEAST_WORDS or not fu.ends_sentence(plain)):
+            pending += [w for s in found for w in s]
+            continue
+        for words in found:
+            if len(words) < LEAST_WORDS:
+                pending += words
+                continue
+            if len(pending) >= LEAST_WORDS:
+                out.append(Unit(pending, False, False))
+                pending = []
+            out.append(Unit(words, True, prosaic))
+    if len(pending) >= LEAST_WORDS:
+        out.append(Unit(pending, False, False))
+    elif pending and out:
+        out[-1] = out[-1]._replace(more=len(pending))
     return [] if skip_unprosaic and prose < PROSE_SHARE * body else out
 
 
@@ -210,7 +238,7 @@ def train(df: DataFrame) -> Classifier:
     for row in sorted(_sampled(rows, counts).collect(), key=lambda r: (r.lang, str(r.key))):
         if taken.get(row.lang, 0) >= SAMPLE_SENTENCES:
             continue
-        words = body_sentences(row.text, False, row.gone)
+        words = [u.words for u in body_units(row.text, False, row.gone) if u.prose]
         at = LANGUAGES.index(row.lang)
         for w, s in zip(words, first.scores(words, known)):
             if taken.get(row.lang, 0) < SAMPLE_SENTENCES and s[at] >= s.max() - 0.05:
@@ -232,8 +260,9 @@ CHARS_AT_ONCE = 2_000_000
 def segments(df: DataFrame, model: Classifier, *keep: str, unprosaic: str | None = None, text: str = "text", gone: str | None = None) -> DataFrame:
     """(keep…, segment, lang, confidence, lead, words): runs of sentences of one language in each text's main body.
 
-    `lead` is how far the segment's best sentence leads the language next to it; sentences of fewer
-    than LEAST_WORDS words go with the sentence before. `unprosaic` names a boolean column; where
+    `lead` is how far the segment's best whole sentence leads the language next to it, 0 if it has
+    none: short, listed and unended lines are judged too, but together. Bodies of fewer than
+    LEAST_WORDS words have no segments. `unprosaic` names a boolean column; where
     it is true, a text whose body isn't prose has no segments. `gone` names a column with the numbers
     of each text's furniture lines; where it is null, phrases alone tell them. Null, empty and blank texts have none.
     """
@@ -243,16 +272,18 @@ def segments(df: DataFrame, model: Classifier, *keep: str, unprosaic: str | None
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classifier, known = Classifier(weights.value), Ngrams()
 
-        def judged(rows: list[int], batch: pa.RecordBatch, spans: list[tuple[int, int]], words: list[list[str]]) -> pa.RecordBatch:
+        def judged(rows: list[int], batch: pa.RecordBatch, spans: list[tuple[int, int]], units: list[Unit]) -> pa.RecordBatch:
+            words = [u.words for u in units]
             scores = classifier.scores(words, known)
             order = np.sort(scores, axis=1)
-            best, lead, sure = scores.argmax(axis=1), order[:, -1] - order[:, -2], _confidence(scores) if len(scores) else np.zeros(0)
+            lead = (order[:, -1] - order[:, -2]) * np.array([u.whole for u in units], bool)
+            best, sure = scores.argmax(axis=1), _confidence(scores) if len(scores) else np.zeros(0)
             at, seg, lang, conf, led, count = [], [], [], [], [], []
             for row, (lo, hi) in zip(rows, spans):
                 k = number = 0
                 for k in range(lo, hi):
                     if k > lo and lang[-1] == LANGUAGES[best[k]]:
-                        conf[-1], led[-1], count[-1] = max(conf[-1], float(sure[k])), max(led[-1], float(lead[k])), count[-1] + len(words[k])
+                        conf[-1], led[-1], count[-1] = max(conf[-1], float(sure[k])), max(led[-1], float(lead[k])), count[-1] + len(words[k]) + units[k].more
                         continue
                     number += 1
                     at.append(row)
@@ -260,25 +291,25 @@ def segments(df: DataFrame, model: Classifier, *keep: str, unprosaic: str | None
                     lang.append(LANGUAGES[best[k]])
                     conf.append(float(sure[k]))
                     led.append(float(lead[k]))
-                    count.append(len(words[k]))
+                    count.append(len(words[k]) + units[k].more)
             columns = [batch.column(c).take(pa.array(at, pa.int64())) for c in range(n)]
             return pa.RecordBatch.from_arrays([*columns, pa.array(seg, pa.int32()), pa.array(lang, pa.string()), pa.array(conf, pa.float64()), pa.array(led, pa.float64()), pa.array(count, pa.int32())], names=[*keep, "segment", "lang", "confidence", "lead", "words"])
 
         for batch in batches:
             texts, flags, gones = (batch.column(n + k).to_pylist() for k in range(3))
-            rows, spans, words, chars = [], [], [], 0
+            rows, spans, units, chars = [], [], [], 0
             for row, (text_, flag, lines) in enumerate(zip(texts, flags, gones)):
                 if text_ and not text_.isspace():
-                    found = body_sentences(text_, bool(flag), lines)
+                    found = body_units(text_, bool(flag), lines)
                     if found:
                         rows.append(row)
-                        spans.append((len(words), len(words) + len(found)))
-                        words += found
+                        spans.append((len(units), len(units) + len(found)))
+                        units += found
                         chars += len(text_)
                 if chars > CHARS_AT_ONCE:
-                    yield judged(rows, batch, spans, words)
-                    rows, spans, words, chars = [], [], [], 0
-            yield judged(rows, batch, spans, words)
+                    yield judged(rows, batch, spans, units)
+                    rows, spans, units, chars = [], [], [], 0
+            yield judged(rows, batch, spans, units)
 
     kinds = ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keep)
     flag = F.col(unprosaic) if unprosaic else F.lit(False)
@@ -313,7 +344,9 @@ def p3_segments(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def p3_documents(spark: SparkSession, directory: str) -> DataFrame:
-    """The main language of every record with a main body, by words, with its share and confidence."""
-    by = p3_segments(spark, directory).groupBy("source", "rec_id", "lang").agg(F.sum("words").alias("words"), F.max("confidence").alias("confidence"))
+    """The main language of every record, by words, with its share and confidence; nulls where the body has too few words to tell."""
+    rows = labelled(spark, directory)
+    by = segments(rows, model_for(spark, directory, rows), "source", "rec_id", gone="gone").groupBy("source", "rec_id", "lang").agg(F.sum("words").alias("words"), F.max("confidence").alias("confidence"))
     best = by.groupBy("source", "rec_id").agg(F.max(F.struct("words", "lang", "confidence")).alias("b"), F.sum("words").alias("total"))
-    return best.select("source", "rec_id", F.col("b.lang").alias("lang"), (F.col("b.words") / F.col("total")).alias("share"), F.col("b.confidence").alias("confidence"))
+    told = best.select("source", "rec_id", F.col("b.lang").alias("lang"), (F.col("b.words") / F.col("total")).alias("share"), F.col("b.confidence").alias("confidence"))
+    return rows.select("source", "rec_id").join(told, ["source", "rec_id"], "left")
