@@ -38,6 +38,20 @@ def test_template_lines(spark):
     assert got == {(k, line) for k in range(24) for line in (1, 2, 9, 10)}
 
 
+def test_template_sentences_with_changing_parts(spark):
+    # A sentence of the site with the article's author in it, and a fixed one beside a changing one, in no phrase list.
+    rng = random.Random(4)
+    names, rows = "Anna Bruno Carla Dario Elena Fabio Gino Irma".split(), []
+    nouns = "mulino ponte fiume museo porto treno libro campo motore vento".split()
+    for k in range(40):
+        body = [" ".join(f"Il {rng.choice(nouns)} guarda {rng.choice(nouns)} e poi {rng.choice(nouns)} con {rng.choice(nouns)} del {rng.choice(nouns)}." for _ in range(3)) for _ in range(4)]
+        by = f"Questo pezzo della bottega è stato scritto da {rng.choice(names)} {rng.choice(names)} per i lettori del foglio." if k % 2 else "La redazione del foglio parla di molte cose."
+        end = f"Il prossimo numero parla di {rng.choice(nouns)} e di {rng.choice(nouns)} come sempre. Chi scrive alla bottega riceve il foglio a casa ogni mese." if k % 2 else "La piazza del paese resta sempre vuota la sera."
+        rows.append((k, f"www.sito{k % 4}.example", "\n".join([*body, by, end])))
+    got = {tuple(r) for r in boilerplate.furniture_lines(spark.createDataFrame(rows, "rec_id long, site string, text string")).collect()}
+    assert {(k, line) for k in range(1, 40, 2) for line in (5, 6)} <= got and not any(line < 5 for _, line in got)
+
+
 def test_template_join_equals_broadcast(spark):
     df = table(spark, DATA, "fineweb2_it").withColumn("tok", F.lit(1))
     a = boilerplate.furniture_lines(df)

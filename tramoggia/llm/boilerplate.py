@@ -37,14 +37,12 @@ BROADCAST_KEYS = 500_000
 
 _SCHEMA = "rec_id bigint, site string, line_no array<int>, bits array<int>, tok array<bigint>, tok_line array<int>, tok_pos array<float>"
 _MASK = re.compile(r"\d+|[^\W\d_]+(?:['’](?=\w))?|[^\w\s]")
-_DIGIT = re.compile(r"[1-9]")
 _HOST = re.compile(r"[a-z]{4,}")
 
 
 def tokens_of(text: str, bits: int, host: frozenset[str]) -> list[str]:
-    """The masked tokens of a line without tags; a paragraph is one token, with digits masked only."""
-    if bits & fu.PROSE and not bits & fu.CUE:
-        return [_DIGIT.sub("0", text).lower()]
+    """The masked tokens of a line without tags, one for each of its pieces; a paragraph's sentences are told from lines of the same words."""
+    inside = "¶ " if bits & fu.PROSE and not bits & fu.CUE else ""
     shout = text.isupper()
     out = []
     for piece in fu.pieces(text):
@@ -61,7 +59,7 @@ def tokens_of(text: str, bits: int, host: frozenset[str]) -> list[str]:
             if not (w == "@" and words and words[-1] in ("@", "§")):
                 words.append(w)
         if sum(len(w) for w in words if w[0].isalpha()) > 1:
-            out.append(" ".join(words))
+            out.append(inside + " ".join(words))
     return out
 
 
@@ -151,7 +149,11 @@ def template_tokens(pages: DataFrame) -> DataFrame:
 def removable(bits: list[int], share: list[float], strong: list[float]) -> list[bool]:
     """Which lines of one page are furniture, from their marks and the share of template tokens of each."""
     n = len(bits)
-    share = [g if b & fu.PROSE and not b & fu.CUE else s for b, s, g in zip(bits, share, strong)]
+    prose = [bool(b & fu.PROSE) and not b & fu.CUE for b in bits]
+    # Where most paragraphs are known from other pages of the site the page is a copy: they are its article.
+    repeated = [s for s, p in zip(share, prose) if p]
+    copied = len(repeated) >= 3 and 2 * sum(s >= 0.5 for s in repeated) > len(repeated)
+    share = [(0.0 if copied else g) if p else s for p, s, g in zip(prose, share, strong)]
     tagged = any(b & fu.BODY_TAG for b in bits) or sum(bool(b & fu.SITE_TAG) for b in bits) * 2 > n
     if tagged:
         return [bool(b & fu.SITE_TAG) or not b & fu.BODY_TAG and (s >= 0.5 or bool(b & (fu.CUE | fu.LINK))) for b, s in zip(bits, share)]
