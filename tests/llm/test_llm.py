@@ -52,6 +52,20 @@ def test_template_sentences_with_changing_parts(spark):
     assert {(k, line) for k in range(1, 40, 2) for line in (5, 6)} <= got and not any(line < 5 for _, line in got)
 
 
+def test_notice_between_paragraphs(spark):
+    # A notice of one site between the paragraphs, in no phrase list.
+    rng = random.Random(6)
+    nouns = "mulino ponte fiume museo porto treno libro campo motore vento".split()
+    rows = []
+    for k in range(40):
+        body = [" ".join(f"Il {rng.choice(nouns)} guarda {rng.choice(nouns)} e poi {rng.choice(nouns)} con {rng.choice(nouns)} del {rng.choice(nouns)}." for _ in range(3)) for _ in range(4)]
+        if k % 4 == 0:
+            body.insert(2, "Il foglio della bottega vive delle quote dei soci e di chi lo compra ogni mese.")
+        rows.append((k, f"www.sito{k % 4}.example", "\n".join(body)))
+    got = {tuple(r) for r in boilerplate.furniture_lines(spark.createDataFrame(rows, "rec_id long, site string, text string")).collect()}
+    assert got == {(k, 3) for k in range(0, 40, 4)}
+
+
 def test_template_join_equals_broadcast(spark):
     df = table(spark, DATA, "fineweb2_it").withColumn("tok", F.lit(1))
     a = boilerplate.furniture_lines(df)

@@ -158,12 +158,7 @@ def removable(bits: list[int], share: list[float], strong: list[float]) -> list[
     if tagged:
         return [bool(b & fu.SITE_TAG) or not b & fu.BODY_TAG and (s >= 0.5 or bool(b & (fu.CUE | fu.LINK))) for b, s in zip(bits, share)]
     out = [s >= 0.5 or bool(b & (fu.CUE | fu.LINK)) for b, s in zip(bits, share)]
-    # A paragraph among others belongs to the article, also where copies of it make it frequent on a site.
     text = [k for k, (b, f) in enumerate(zip(bits, out)) if b & fu.PROSE and not b & fu.TEASER and not f]
-    if text:
-        for k in range(text[0] + 1, text[-1]):
-            if out[k] and bits[k] & fu.PROSE and not bits[k] & (fu.CUE | fu.LINK | fu.TEASER):
-                out[k] = False
     prose = [bool(b & fu.PROSE) and not b & fu.TEASER and not f for b, f in zip(bits, out)]
     seen = False
     k = 0
