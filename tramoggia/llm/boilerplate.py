@@ -1,12 +1,13 @@
-"""Main content of web pages by equivalence classes of page tokens (ExAlg-like template deduction).
+"""Main content of web pages by tokens bound to sites and page edges, with equivalence classes of page tokens added.
 
 A token is a piece of a line between separators or sentence ends, with digits, names and the
 site's own name masked, hashed to 64 bits. Over the pages of one site every token has an
 occurrence vector; tokens with equal vectors form an equivalence class. Vectors are never built:
 their order-free signature, the xor of hash(page), is aggregated map-side, so the pages of
-one site, however many, are never gathered in a task. Valid classes (of several tokens, on several
-pages) and tokens bound to certain sites or page edges make the template; nested in it are slots
-(titles in link boxes, links between paragraphs). What lies in no class and no slot is body.
+one site, however many, are never gathered in a task. Tokens bound to certain sites or page edges
+make the template, as copies of an article form classes too; valid classes (of several tokens, on
+several pages) add tokens at page edges, and are neither ordered nor nested. Link boxes and links
+between paragraphs are told by phrases and the look of lines.
 """
 
 from __future__ import annotations
