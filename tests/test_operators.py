@@ -3,6 +3,7 @@
 import inspect
 import math
 import random
+from collections import Counter
 from itertools import combinations
 
 import numpy as np
@@ -14,6 +15,23 @@ from pyspark.sql import functions as F
 from tramoggia.operators import joins, packing, ranking, series, similarity
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.dictionaries(st.integers(1, 30), st.integers(1, 6), min_size=1, max_size=8))
+def test_completion_is_the_best_filling(counts):
+    left, room = Counter(counts), 31
+    sums = {0}
+    for k, n in counts.items():
+        sums = {s + k * j for s in sums for j in range(n + 1) if s + k * j <= room}
+    fill = packing.completion(left, sorted(counts), room, 600)
+    assert sum(fill) == max(sums) and not Counter(fill) - left
+
+
+def test_completion_leaves_branches_that_cannot_win():
+    # Many fillings of equal sums; the best, 2040, takes 40 items of 51.
+    left = Counter({50 * k: 9 for k in range(1, 37)} | {51: 40})
+    assert sum(packing.completion(left, sorted(left), 2047)) == 2040
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.dictionaries(st.integers(1, 30), st.integers(1, 6), min_size=1, max_size=8))
 def test_bin_completion_packs_everything(counts):

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from bisect import bisect_right
 from collections import Counter
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,6 +59,10 @@ def completion(left: Counter, lengths: list[int], room: int, nodes: int = NODES)
     budget = nodes
     # (room left, highest index + 1 that may be used, items); greedy fillings come first.
     stack: list[tuple[int, int, tuple[int, ...]]] = [(room, bisect_right(lengths, room), ())]
+    # All items up to each length; and the states looked at: another filling of the same sum, from the same lengths on
+    # and with as many of the last one left, is dominated by the first.
+    reach = [0, *accumulate(k * left[k] for k in lengths)]
+    seen: set[tuple[int, int, int]] = set()
     while stack and budget > 0:
         budget -= 1
         space, top, items = stack.pop()
@@ -69,9 +74,13 @@ def completion(left: Counter, lengths: list[int], room: int, nodes: int = NODES)
         if top == 0:
             continue
         item = lengths[top - 1]
+        taken = items.count(item)
+        if room - space + min(space, reach[top] - taken * item) <= best_sum or (space, top, taken) in seen:
+            continue
+        seen.add((space, top, taken))
         if top > 1:
             stack.append((space, top - 1, items))
-        if items.count(item) < left[item]:
+        if taken < left[item]:
             stack.append((space - item, top, (*items, item)))
     return best
 
