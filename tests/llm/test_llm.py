@@ -81,7 +81,62 @@ def test_furniture_hard_inputs(spark):
 def test_tagged_pages():
     lines = ['<li><a href="/1">Da non perdere</a></li>', "<p>Un titolo</p>", "<p>Testo che resta.</p>", "<div>Altro del sito</div>", "Pubblicità"]
     bits = [furniture.marks(line)[1] for line in lines]
-    assert boilerplate.removable(bits, [0.0] * 5, [0.0] * 5) == [True, False, False, True, True]
+    assert boilerplate.removable(bits, [boilerplate.Line(0.0, 1.0)] * 5) == [True, False, False, True, True]
+
+
+def _lines_of(spark, rows):
+    return {tuple(r) for r in boilerplate.furniture_lines(spark.createDataFrame(rows, "rec_id long, site string, text string")).collect()}
+
+
+def test_pages_delivered_again(spark):
+    df = _pages(spark)
+    once, twice = boilerplate.furniture_lines(df), boilerplate.furniture_lines(df.unionAll(df).unionAll(df.where("rec_id < 9")))
+    assert once.count() == twice.count() == 96 and once.exceptAll(twice).count() == 0
+
+
+def test_small_sites_use_the_pool(spark):
+    # Sites of one to three pages with the footer that valid classes of larger sites have, and one of their own.
+    rng = random.Random(8)
+    nouns = "mulino ponte fiume museo porto treno libro campo motore vento".split()
+    text = lambda: " ".join(f"Il {rng.choice(nouns)} guarda {rng.choice(nouns)} e poi {rng.choice(nouns)} con {rng.choice(nouns)} numero {rng.choice(nouns)}." for _ in range(4))
+    rows, k = [], 0
+    for site, n in [(f"grande{j}.test", 30) for j in range(6)] + [(f"piccolo{j}.test", 1 + j) for j in range(3)] + [(f"altro{j}.test", 30) for j in range(12)]:
+        for page in range(n):
+            end = "Bottega dei lettori, via delle Rose" if site[0] in "gp" and (page % 3 == 0 or n < 4) else "Fine della pagina qui"
+            rows.append((k, site, "\n".join([text(), text(), end] if end[0] == "B" else [text(), text()])))
+            k += 1
+    want = {(k, 3) for k, _, t in rows if t.count("\n") == 2}
+    assert any(rows[k][1].startswith("piccolo") for k, _ in want) and _lines_of(spark, rows) == want
+
+
+def test_copies_of_an_article_are_no_template(spark):
+    # An article on eight of a site's eighty pages, each copy with one sentence changed, and the site's own footer.
+    rng = random.Random(9)
+    nouns = "mulino ponte fiume museo porto treno libro campo motore vento scuola chiesa".split()
+    sentence = lambda: f"Il {rng.choice(nouns)} guarda {rng.choice(nouns)} e poi {rng.choice(nouns)} con {rng.choice(nouns)} del {rng.choice(nouns)} di {rng.choice(nouns)}."
+    article, rows = [sentence() for _ in range(10)], []
+    for k in range(240):
+        body = [sentence() for _ in range(10)]
+        if k % 3 == 0 and k < 24:
+            body = list(article)
+            body[rng.randrange(10)] = sentence()
+        lines = ["Il ponte vecchio del paese", " ".join(body[:5]), " ".join(body[5:])] if k % 3 == 0 and k < 24 else [" ".join(body[:5]), " ".join(body[5:])]
+        rows.append((k, f"www.sito{k % 3}.example", "\n".join([*lines, *(["Bottega dei lettori, via delle Rose"] if k % 6 == 0 else [])])))
+    got = _lines_of(spark, rows)
+    assert got == {(k, t.count("\n") + 1) for k, _, t in rows if k % 6 == 0}
+
+
+def test_classes_keep_their_order_and_nest():
+    bits, tok = [0] * 6, [10, 20, 30, 40, 50, 60]
+    own = [(boilerplate.TEMPLATE, 9, 1, 0.1), (0, 0, 0, 0.0), (boilerplate.TEMPLATE, 9, 1, 0.3), (boilerplate.TEMPLATE, 5, 2, 0.5), (0, 0, 0, 0.0), (boilerplate.TEMPLATE, 5, 2, 0.2)]
+    lines, slots = boilerplate.taken_apart(bits, tok, list(range(6)), own, [(0, 0)] * 6)
+    # The second class's last token stands before its first one in the template.
+    assert [s.template for s in lines] == [1, 0, 1, 1, 0, 0] and slots == [(0, 2)]
+    assert boilerplate.removable(bits, lines, slots) == [True, True, True, True, False, False]
+    own[2], own[5] = own[5], (boilerplate.TEMPLATE, 9, 1, 0.9)
+    own[2] = (boilerplate.TEMPLATE, 5, 2, 0.1)
+    crossing = boilerplate.taken_apart(bits, tok, [0, 1, 2, 5, 4, 3], own, [(0, 0)] * 6)[1]
+    assert crossing == [(0, 3)]
 
 
 # ---- quality

@@ -1,88 +1,116 @@
-"""Main content of web pages by tokens bound to sites and page edges, with equivalence classes of page tokens added.
-
-A token is a piece of a line between separators or sentence ends, with digits, names and the
-site's own name masked, hashed to 64 bits. Over the pages of one site every token has an
-occurrence vector; tokens with equal vectors form an equivalence class. Vectors are never built:
-their order-free signature, the xor of hash(page), is aggregated map-side, so the pages of
-one site, however many, are never gathered in a task. Tokens bound to certain sites or page edges
-make the template, as copies of an article form classes too; valid classes (of several tokens, on
-several pages) add tokens at page edges, and are neither ordered nor nested. Link boxes and links
-between paragraphs are told by phrases and the look of lines.
+"""Main content of web pages by template deduction from equivalence classes of tokens.
+
+A token is a piece of a line between separators or sentence ends, with digits, names and the site's
+own name masked, hashed; it stands for a run of fixed words, whose number it carries. Over the pages of
+one site every token has an occurrence vector, and tokens with equal vectors form an equivalence class.
+Vectors are never built: their signature (number of pages and xor of the pages' hashes) is aggregated
+map-side, so the pages of one site, however many, are never gathered in a task.
+
+A class is valid if it is large (words) and frequent (pages), bound to its site rather than to the language
+(its rate among the pages of other sites is far lower), and no article delivered several times.
+The valid classes of a site are its template. On a page, a class's tokens must stand in the class's order, classes
+must nest (crossing ones give way to the more frequent), and what the template leaves open are slots: a slot
+without prose inside a class is the site's, titles behind a class that opens such a slot are its
+links, the rest is the body. Tokens of sites with too few pages for classes of their own are looked up in the
+pool: tokens that form valid classes wherever they are frequent, hold the page's end on many sites, or name
+the site. Phrases break ties only: between tokens that recur on all sites alike, of titles and of links.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tramoggia.llm import furniture as fu
 from tramoggia.operators.joins import lookup
 from tramoggia.session import mapped, stage, table
 
-#: A token is bound to sites if its odds on the other pages of its sites are this many times those on all pages ...
-SITE_LIFT = 3.0
-#: ... and on at least this share of the other pages of its sites.
-SITE_RATE = 0.2
-#: A token on this share of all pages needs no comparison of sites.
+#: A valid class has this many words (masks don't count) on this many pages, or fewer words on more pages.
+CLASS_WORDS, CLASS_PAGES, SMALL_CLASS_PAGES = 3, 3, 5
+#: It is bound to its site if its pages exceed what the other sites' rate lets expect by so many deviations, and so many times ...
+BOUND_Z, BOUND_LIFT = 5.0, 2.5
+#: ... more deviations if its words are few.
+SMALL_CLASS_Z = 6.0
+#: ... or if it is on this share of the site's pages.
 EVERYWHERE = 0.6
-#: A whole paragraph is taken for a site's only if its tokens are on this share of the site's other pages.
-PARAGRAPH_RATE = 0.5
-#: Template tokens up to this number (16 bytes each) are sent to all executors; more are joined by shuffle.
+#: A class of more words, or of so many sentences of paragraphs, is an article delivered several times.
+ARTICLE_WORDS, ARTICLE_SENTENCES = 60, 3
+#: A token is pooled if this share of its pages is on sites where its class is valid, and these are so many.
+POOL_SHARE, POOL_SITES = 0.5, 3
+#: ... or if, over all sites, it is on this share of the other pages of its sites, at such a ratio of odds to all pages ...
+POOL_RATE, POOL_LIFT = 0.2, 3.0
+#: ... or if it stands in the last part of its pages everywhere, by mean and deviation of its place.
+LAST_PLACE, LAST_SPREAD = 0.82, 0.16
+#: A page with so many sentences of paragraphs that other pages of its site have too, at least half of all, holds a delivered-again article ...
+COPIED_SENTENCES = 6
+#: ... and classes of its site on at most so many times the pages of such a sentence (the median) are the article's.
+COPIES = 3
+#: Keys up to this number (20 bytes each) are sent to all executors; more are joined by shuffle.
 BROADCAST_KEYS = 500_000
 
-_SCHEMA = "rec_id bigint, site string, line_no array<int>, bits array<int>, tok array<bigint>, tok_line array<int>, tok_pos array<float>"
-_MASK = re.compile(r"\d+|[^\W\d_]+(?:['’](?=\w))?|[^\w\s]")
+# Kinds of keys: in a valid class of the site; pooled; a sentence on several pages of the site, in no valid class; recurring on any sites.
+TEMPLATE, POOLED, REPEATED, RECURRING = 1, 2, 4, 8
+# The lowest byte of a token: a sentence of a paragraph, names the site, its words.
+_PARAGRAPH, _NAMED, _WORDS = 0x80, 0x40, 0x3F
+
+_SCHEMA = "rec_id bigint, site bigint, line_no array<int>, bits array<int>, tok array<bigint>, tok_line array<int>, tok_pos array<float>"
+_DIGITS = re.compile(r"\d+")
+_NAME = re.compile(r"(?<=[\w,;'’§@] )[^\W\d_a-zß-öø-ÿ][\w'’]*")
+_NAMES = re.compile(r"[§@](?: [§@])+")
+# A label before the text of a line is a piece of its own.
+_LABEL = re.compile(r"^(\[[^\[\]]+\]|[^\W\d][^\W\d ]*(?: [^\W\d ]+){0,3} ?>|→)\s+")
 _HOST = re.compile(r"[a-z]{4,}")
 
 
-def tokens_of(text: str, bits: int, host: frozenset[str]) -> list[str]:
-    """The masked tokens of a line without tags, one for each of its pieces; a paragraph's sentences are told from lines of the same words."""
-    inside = "¶ " if bits & fu.PROSE and not bits & fu.CUE else ""
-    shout = text.isupper()
+def _signed(h: int) -> int:
+    return h - (1 << 64) if h >> 63 else h
+
+
+def host_pattern(site: str | None) -> re.Pattern | None:
+    """The words of a site's address, by which its own name is known."""
+    words = set(_HOST.findall((site or "").lower())) - {"http", "https", "test", "example", "invalid"}
+    return re.compile("|".join(sorted(words, key=len, reverse=True)), re.I) if words else None
+
+
+def tokens_of(text: str, bits: int, host: re.Pattern | None) -> list[int]:
+    """The tokens of a line without tags, one for each of its masked pieces; a paragraph's sentences are told from lines of the same words."""
+    kind = _PARAGRAPH if bits & fu.PROSE and not bits & fu.CUE else 0
+    text = _LABEL.sub(r"\1 | ", text)
+    if host is not None:
+        text = host.sub("§", text)
+    if not text.isupper():
+        text = _NAME.sub("@", text)
+    text = _NAMES.sub(lambda m: "§" if "§" in m[0] else "@", _DIGITS.sub("#", text)).lower().replace("’", "'")
     out = []
     for piece in fu.pieces(text):
-        words = []
-        for k, w in enumerate(_MASK.findall(piece)):
-            if w[0].isdigit():
-                w = "#"
-            elif w.lower() in host:
-                w = "§"
-            elif k and not shout and w[0].isupper():
-                w = "@"
-            else:
-                w = w.lower().replace("’", "'")
-            if not (w == "@" and words and words[-1] in ("@", "§")):
-                words.append(w)
-        if sum(len(w) for w in words if w[0].isalpha()) > 1:
-            out.append(inside + " ".join(words))
+        words = piece.split()
+        plain = " ".join(words)
+        if "# #" in plain or plain == "→" or sum(map(str.isalpha, plain)) > 1:
+            h = xxhash.xxh64_intdigest(plain)
+            out.append(_signed(h & ~0xFF | kind | (_NAMED if "§" in plain else 0) | min(sum(w[0].isalpha() or w[-1].isalpha() for w in words), _WORDS)))
     return out
 
 
-def _signed(s: str) -> int:
-    h = xxhash.xxh64_intdigest(s)
-    return h - (1 << 64) if h >> 63 else h
-
-
 def _tokenize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pages to their lines' marks and tokens."""
-    hosts: dict[str, frozenset[str]] = {}
+    """Pages to their lines' marks and tokens; a token's place on its page is -1 where it comes again."""
+    hosts: dict[str, re.Pattern | None] = {}
     known: dict[object, list[int]] = {}
-    types = [pa.int64(), pa.string(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.float32())]
+    types = [pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.float32())]
     names = ["rec_id", "site", "line_no", "bits", "tok", "tok_line", "tok_pos"]
     for batch in batches:
         cols: list[list] = [[] for _ in names]
         for rec_id, site, text in zip(*(batch.column(k).to_pylist() for k in range(3))):
-            host = hosts.get(site)
-            if host is None:
+            if site not in hosts:
                 if len(hosts) > 10_000:
                     hosts.clear()
-                host = hosts[site] = frozenset(_HOST.findall((site or "").lower())) - {"http", "https", "test", "example", "invalid"}
+                hosts[site] = host_pattern(site)
+            host = hosts[site]
             numbers, bits, tok, tok_line = [], [], [], []
             for number, line in enumerate((text or "").split("\n"), 1):
                 if not line.strip():
@@ -92,82 +120,114 @@ def _tokenize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 numbers.append(number)
                 bits.append(mark)
                 if len(plain) > 120:
-                    got = [_signed(t) for t in tokens_of(plain, mark, host)]
+                    got = tokens_of(plain, mark, host)
                 else:
                     # Short lines recur; those that name the site are known by site.
-                    low = plain.lower()
-                    key = (plain, host) if any(h in low for h in host) else plain
+                    key = (plain, host) if host is not None and host.search(plain) else plain
                     got = known.get(key)
                     if got is None:
                         if len(known) > 200_000:
                             known.clear()
-                        got = known[key] = [_signed(t) for t in tokens_of(plain, mark, host)]
+                        got = known[key] = tokens_of(plain, mark, host)
                 tok.extend(got)
                 tok_line.extend([row] * len(got))
             last, seen, tok_pos = max(1, len(numbers) - 1), set(), []
             for t, k in zip(tok, tok_line):
                 tok_pos.append(-1.0 if t in seen else k / last)
                 seen.add(t)
-            for col, value in zip(cols, (rec_id, site, numbers, bits, tok, tok_line, tok_pos)):
+            for col, value in zip(cols, (rec_id, _signed(xxhash.xxh64_intdigest(site or "")), numbers, bits, tok, tok_line, tok_pos)):
                 col.append(value)
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=names)
 
 
-def template_tokens(pages: DataFrame) -> DataFrame:
-    """(tok, strong): the tokens of valid equivalence classes, from tokenized pages; strong ones hold for paragraphs too."""
-    sizes = pages.groupBy("site").agg(F.count("*").alias("site_pages"))
-    total = pages.count()
-    # One row for a token of a page: its first place.
-    each = pages.select("site", "rec_id", F.explode(F.arrays_zip("tok", "tok_pos")).alias("t")).select("site", "rec_id", F.col("t.tok").alias("tok"), F.col("t.tok_pos").alias("pos")).where("pos >= 0")
-    in_site = each.groupBy("site", "tok").agg(
-        F.count("*").alias("hits"),
-        F.bit_xor(F.xxhash64("rec_id")).alias("vector"),
-        F.sum("pos").alias("pos"),
-        F.sum(F.col("pos") * F.col("pos")).alias("pos2"),
+def _sums() -> list[Column]:
+    return [F.count("*").alias("hits"), F.sum("pos").alias("pos"), F.sum(F.col("pos") * F.col("pos")).alias("pos2")]
+
+
+def template(pages: DataFrame) -> DataFrame:
+    """(site, tok, kind, support, class, place): the keys by which pages are taken apart, from tokenized pages.
+
+    A null site stands for all sites. The order of a class is that of its tokens' mean places.
+    """
+    page = F.xxhash64("rec_id", "site", "tok")
+    total, distinct = pages.select(F.count("*"), F.count_distinct(page)).first()
+    if distinct < total:
+        # Pages delivered several times count once.
+        pages = stage(pages.dropDuplicates(["rec_id", "site", "tok"]), "distinct-pages")
+        total = distinct
+    sizes = pages.groupBy("site").agg(F.count("*").alias("pages"))
+    each = pages.select("site", page.alias("page"), F.explode(F.arrays_zip("tok", "tok_pos")).alias("t")).select("site", "page", F.col("t.tok").alias("tok"), F.col("t.tok_pos").alias("pos")).where("pos >= 0")
+    words, paragraph, named = F.col("tok").bitwiseAND(_WORDS), F.col("tok").bitwiseAND(_PARAGRAPH) != 0, F.col("tok").bitwiseAND(_NAMED) != 0
+    # Tokens of several pages of a site; those of one page don't count for any class.
+    in_site = stage(each.groupBy("site", "tok").agg(*_sums(), F.bit_xor("page").alias("vector")).where("hits > 1"), "site-tokens")
+    overall = stage(each.groupBy("tok").agg(*_sums()).where("hits >= 3"), "all-tokens")
+    rated = lookup(in_site.where("hits >= 3"), sizes, "site", "inner").join(overall.select("tok", F.col("hits").alias("all_hits")), "tok")
+    others = F.lit(float(total)) - F.col("pages")
+    outside = F.when(others > 0, (F.col("all_hits") - F.col("hits")) / others).otherwise(F.lit(0.0))
+    rated = rated.select("site", "tok", "hits", "vector", "pages", outside.alias("outside"), (F.col("pos") / F.col("hits")).alias("place"))
+    classes = rated.groupBy("site", "vector", "hits").agg(
+        F.sum(words).alias("words"), F.sum(paragraph.cast("int")).alias("sentences"), F.avg("outside").alias("outside"), F.first("pages").alias("pages")
     )
-    classes = in_site.groupBy("site", "vector").agg(F.count("*").alias("class_size"), F.max("hits").alias("support")).where("class_size >= 3 and support >= 3")
-    valid = in_site.join(classes, ["site", "vector"], "left_semi").select("tok").distinct().withColumn("valid", F.lit(True))
-    rate = F.col("hits") * (F.col("hits") - 1) / F.greatest(F.col("site_pages") - 1, F.lit(1))
-    stats = (
-        lookup(in_site, sizes, "site", "inner")
-        .groupBy("tok")
-        .agg(F.sum("hits").alias("hits"), F.count("*").alias("sites"), F.sum(rate).alias("rate"), F.sum("pos").alias("pos"), F.sum("pos2").alias("pos2"))
-        .where("hits >= 3")
-        .withColumn("rate", F.col("rate") / F.col("hits"))
-        .withColumn("mean", F.col("pos") / F.col("hits"))
-        .withColumn("dev", F.sqrt(F.greatest(F.lit(0.0), F.col("pos2") / F.col("hits") - F.col("mean") * F.col("mean"))))
-        .withColumn("all", F.col("hits") / F.lit(float(max(1, total))))
-        # Odds, not rates: a site that holds a third or half of all pages makes up much of both rates.
-        .withColumn("lift", F.col("rate") * (1.0 - F.col("all") + 1e-9) / ((1.0 - F.least("rate", F.lit(1.0)) + 1e-9) * F.col("all")))
-        .join(valid, "tok", "left")
+    article = (F.col("words") > ARTICLE_WORDS) | (F.col("sentences") >= ARTICLE_SENTENCES)
+    expected = F.col("pages") * F.col("outside")
+    bound = ((F.col("hits") - expected) / F.sqrt(expected + 0.25) >= F.when(F.col("words") >= CLASS_WORDS, BOUND_Z).otherwise(SMALL_CLASS_Z)) & (F.col("hits") >= BOUND_LIFT * expected)
+    frequent = F.when(F.col("words") >= CLASS_WORDS, CLASS_PAGES).otherwise(SMALL_CLASS_PAGES)
+    # Without other pages to compare with, only what is on most pages is bound.
+    valid = (F.col("hits") >= frequent) & (F.when(F.col("pages") < total, bound).otherwise(F.lit(False)) | (F.col("hits") >= EVERYWHERE * F.col("pages")))
+    kind = F.when(article & (F.col("hits") < EVERYWHERE * F.col("pages")), REPEATED).when(valid, TEMPLATE)
+    classes = classes.select("site", "vector", "hits", kind.alias("kind"), F.xxhash64("vector", "hits").bitwiseAND(0x7FFFFFFF).cast("int").alias("class")).where("kind is not null")
+    own = stage(rated.join(classes, ["site", "vector", "hits"]).select("site", "tok", "kind", F.col("hits").alias("support"), "class", F.col("place").cast("float").alias("place")), "site-classes")
+    # The pool: how the pages of a token lie over sites. A token's sites with one page aren't in in_site, but follow from the sums.
+    apart = F.col("hits") * (F.col("hits") - 1) / F.greatest(F.col("pages") - 1, F.lit(1))
+    spread = lookup(in_site, sizes, "site", "inner").groupBy("tok").agg(F.sum("hits").alias("gathered"), F.count("*").alias("sites"), F.sum(apart).alias("rate"))
+    made = own.where(F.col("kind") == TEMPLATE).groupBy("tok").agg(F.sum("support").alias("valid"), F.count("*").alias("valid_sites"))
+    rows = overall.join(spread, "tok", "left").join(made, "tok", "left").fillna(0, ["gathered", "sites", "rate", "valid", "valid_sites"])
+    hits, mean, share = F.col("hits"), F.col("pos") / F.col("hits"), F.col("hits") / F.lit(float(max(1, total)))
+    sites, rate = hits - F.col("gathered") + F.col("sites"), F.least(F.col("rate") / hits, F.lit(1.0))
+    deviation = F.sqrt(F.greatest(F.lit(0.0), F.col("pos2") / hits - mean * mean))
+    shared = (F.col("valid") >= POOL_SHARE * hits) & (F.col("valid_sites") >= POOL_SITES)
+    lift = rate * (1.0 - share + 1e-9) / ((1.0 - rate + 1e-9) * share)
+    alike = (rate >= POOL_RATE) & (lift >= POOL_LIFT) & (hits >= 4) & (sites >= POOL_SITES)
+    last = (sites >= 5) & (hits >= 20) & (mean >= LAST_PLACE) & (deviation <= LAST_SPREAD)
+    names = (sites >= 5) & (hits >= 10) & named
+    pool = rows.select(
+        F.lit(None).cast("bigint").alias("site"), "tok", F.when(shared | alike | last | names, POOLED).otherwise(RECURRING).alias("kind"), hits.alias("support"), F.lit(0).alias("class"), mean.cast("float").alias("place")
     )
-    bound = (F.col("rate") >= SITE_RATE) & ((F.col("lift") >= SITE_LIFT) | (F.col("all") >= EVERYWHERE)) & (F.col("hits") >= 4)
-    edge = (F.col("sites") >= 5) & (F.col("hits") >= 20) & (F.col("mean") >= 0.82) & (F.col("dev") <= 0.16)
-    klass = F.col("valid") & (F.col("rate") >= 0.1) & (F.col("lift") >= SITE_LIFT) & ((F.col("mean") <= 0.25) | (F.col("mean") >= 0.8))
-    return stats.where(F.coalesce(bound | edge | klass, F.lit(False))).select("tok", ((F.col("rate") >= PARAGRAPH_RATE) & (F.col("hits") >= 5) | edge).alias("strong"))
+    again = in_site.where(paragraph).join(own, ["site", "tok"], "left_anti").select("site", "tok", F.lit(REPEATED).alias("kind"), F.col("hits").alias("support"), F.lit(0).alias("class"), F.lit(0.0).cast("float").alias("place"))
+    return own.unionByName(again).unionByName(pool.where(~paragraph | (F.col("kind") == POOLED)))
+
+
+class Line:
+    """What the keys say about a line of a page: the shares of its tokens that are the template's, or recur anywhere."""
 
+    __slots__ = ("template", "recurring")
 
-def removable(bits: list[int], share: list[float], strong: list[float]) -> list[bool]:
-    """Which lines of one page are furniture, from their marks and the share of template tokens of each."""
+    def __init__(self, template: float = 0.0, recurring: float = 0.0):
+        self.template, self.recurring = template, recurring
+
+
+def removable(bits: list[int], lines: list[Line], slots: Sequence[tuple[int, int]] = ()) -> list[bool]:
+    """Which lines of one page are furniture: those of the template and its slots. `slots` are (first, last) lines of classes."""
     n = len(bits)
-    prose = [bool(b & fu.PROSE) and not b & fu.CUE for b in bits]
-    # Where most paragraphs are known from other pages of the site the page is a copy: they are its article.
-    repeated = [s for s, p in zip(share, prose) if p]
-    copied = len(repeated) >= 3 and 2 * sum(s >= 0.5 for s in repeated) > len(repeated)
-    share = [(0.0 if copied else g) if p else s for p, s, g in zip(prose, share, strong)]
-    tagged = any(b & fu.BODY_TAG for b in bits) or sum(bool(b & fu.SITE_TAG) for b in bits) * 2 > n
-    if tagged:
-        return [bool(b & fu.SITE_TAG) or not b & fu.BODY_TAG and (s >= 0.5 or bool(b & (fu.CUE | fu.LINK))) for b, s in zip(bits, share)]
-    out = [s >= 0.5 or bool(b & (fu.CUE | fu.LINK)) for b, s in zip(bits, share)]
-    text = [k for k, (b, f) in enumerate(zip(bits, out)) if b & fu.PROSE and not b & fu.TEASER and not f]
+    # A phrase breaks the tie of what recurs on all sites alike, as both headings and some notices do.
+    out = [s.template >= 0.5 or bool(b & (fu.CUE | fu.LINK)) and s.recurring >= 0.5 for s, b in zip(lines, bits)]
+    if any(b & fu.BODY_TAG for b in bits) or sum(bool(b & fu.SITE_TAG) for b in bits) * 2 > n:
+        return [bool(b & fu.SITE_TAG) or not b & fu.BODY_TAG and f for b, f in zip(bits, out)]
     prose = [bool(b & fu.PROSE) and not b & fu.TEASER and not f for b, f in zip(bits, out)]
+    for first, last in slots:
+        inside = range(first + 1, last)
+        if not any(prose[k] for k in inside) and 2 * sum(not out[k] for k in inside) <= last - first + 1:
+            for k in inside:
+                out[k] = True
+    text = [k for k in range(n) if prose[k]]
     seen = False
     k = 0
     while k < n:
         seen |= prose[k]
-        if not bits[k] & fu.BOX:
+        if not (bits[k] & fu.BOX and out[k]):
             k += 1
             continue
+        # The slot that a class of links opens.
         end = k + 1
         numbered = end < n and bits[end] >> fu.NUMBER_SHIFT == 1
         while end < n and not out[end] and not prose[end] and bits[end] & (fu.TITLE | fu.TEASER):
@@ -197,46 +257,116 @@ def removable(bits: list[int], share: list[float], strong: list[float]) -> list[
     return out
 
 
-def _decide(keys: np.ndarray, strong: np.ndarray):
+def taken_apart(bits: list[int], tok: list[int], tok_line: list[int], own: list[tuple[int, int, int, float]], pooled: list[tuple[int, int]]) -> tuple[list[Line], list[tuple[int, int]]]:
+    """The lines of one page and the slots of its classes.
+
+    `own` has (kind, support, class, place) of each token on its site (kind 0: none), `pooled` its kind and support in the pool.
+    """
+    n = len(bits)
+    total, known, recurring = [0] * n, [0] * n, [0] * n
+    sentences = sum(t & _PARAGRAPH != 0 for t in tok)
+    repeated = sorted(support for t, (kind, support, _, _) in zip(tok, own) if kind and t & _PARAGRAPH)
+    copies = COPIES * repeated[len(repeated) // 2] + 1 if len(repeated) >= COPIED_SENTENCES and 2 * len(repeated) >= sentences else 0
+    spans: dict[int, list] = {}
+    seen: set[int] = set()
+    for t, line, (kind, support, name, place), (pool, pages) in zip(tok, tok_line, own, pooled):
+        total[line] += 1
+        mine = kind == TEMPLATE and support > copies
+        if mine:
+            span = spans.get(name)
+            if span is None:
+                spans[name] = [line, line, place, support]
+            elif t not in seen:
+                # Out of the class's order it isn't that class's token.
+                mine = place >= span[2] - 1e-6
+                if mine:
+                    span[1], span[2] = line, place
+        seen.add(t)
+        if mine or pool == POOLED and pages > copies:
+            known[line] += 1
+        if mine or pool or kind:
+            recurring[line] += 1
+    slots: list[tuple[int, int]] = []
+    for first, last, _, _ in sorted(spans.values(), key=lambda s: -s[3]):
+        # Classes nest: one that crosses a more frequent one opens no slot.
+        if last > first + 1 and not any(a < first < b < last or first < a < last < b for a, b in slots):
+            slots.append((first, last))
+    return [Line(k / t if t else 0.0, r / t if t else 0.0) for k, r, t in zip(known, recurring, total)], slots
+
+
+_M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
+
+
+def _mixed(site: np.ndarray, tok: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        h = site.view(np.uint64) * _M1 ^ tok.view(np.uint64) * _M2
+        return h ^ (h >> np.uint64(29))
+
+
+class Keys:
+    """The keys as sorted arrays, to look up many tokens at once."""
+
+    def __init__(self, keys: pa.Table):
+        site, tok, kind, support, name, place = (keys.column(c).combine_chunks() for c in ("site", "tok", "kind", "support", "class", "place"))
+        mine = site.is_valid().to_numpy(zero_copy_only=False)
+        tokens, kinds = tok.to_numpy(zero_copy_only=False), kind.to_numpy(zero_copy_only=False).astype(np.uint8)
+        mixed = _mixed(site.fill_null(0).to_numpy(zero_copy_only=False)[mine], tokens[mine])
+        order = np.argsort(mixed)
+        self.own = mixed[order]
+        values = [kinds, support.to_numpy(zero_copy_only=False), name.to_numpy(zero_copy_only=False), place.to_numpy(zero_copy_only=False)]
+        # A last entry for tokens that aren't there.
+        self.values = [np.append(v[mine][order], v.dtype.type(0)) for v in values]
+        order = np.argsort(tokens[~mine])
+        self.pool = tokens[~mine][order]
+        self.pooled = [np.append(v[~mine][order], v.dtype.type(0)) for v in values[:2]]
+
+    @staticmethod
+    def _at(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+        if not len(keys):
+            return np.zeros(len(wanted), np.int64)
+        at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+        return np.where(keys[at] == wanted, at, len(keys))
+
+    def find(self, site: np.ndarray, tok: np.ndarray) -> tuple[list[tuple], list[tuple]]:
+        at, pool = self._at(self.own, _mixed(site, tok)), self._at(self.pool, tok)
+        return list(zip(*(v[at].tolist() for v in self.values))), list(zip(*(v[pool].tolist() for v in self.pooled)))
+
+
+def _decide(sent):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys = sent.value
         for batch in batches:
-            tok = batch.column(3)
-            flat = tok.flatten().to_numpy(zero_copy_only=False)
-            if len(keys):
-                at = np.minimum(np.searchsorted(keys, flat), len(keys) - 1)
-                hit = np.where(keys[at] == flat, 1 + strong[at], 0)
-            else:
-                hit = np.zeros(len(flat), np.int64)
-            yield _lines(batch, tok.offsets.to_numpy() - tok.offsets[0].as_py(), hit)
+            tok = batch.column(4)
+            off, flat = tok.offsets.to_numpy() - tok.offsets[0].as_py(), tok.flatten().to_numpy(zero_copy_only=False)
+            site = np.repeat(batch.column(1).to_numpy(zero_copy_only=False), np.diff(off))
+            yield _lines(batch, off, *keys.find(site, flat))
 
     return run
 
 
 def _decide_joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        tok = batch.column(3)
+        tok = batch.column(4)
         off = tok.offsets.to_numpy() - tok.offsets[0].as_py()
-        flat = np.zeros(off[-1], np.int64)
-        for k, hits in enumerate(batch.column(5).to_pylist()):
+        own, pooled = [(0, 0, 0, 0.0)] * int(off[-1]), [(0, 0)] * int(off[-1])
+        for k, hits in enumerate(batch.column(6).to_pylist()):
             for h in hits or ():
-                flat[off[k] + h["k"]] = 1 + h["strong"]
-        yield _lines(batch, off, flat)
+                at = off[k] + h["k"]
+                own[at] = (h["kind"] or 0, h["support"] or 0, h["class"] or 0, h["place"] or 0.0)
+                pooled[at] = (h["pooled"] or 0, h["pages"] or 0)
+        yield _lines(batch, off, own, pooled)
 
 
-def _lines(batch: pa.RecordBatch, off: np.ndarray, hit: np.ndarray) -> pa.RecordBatch:
-    """The rows (rec_id, line_no) to remove; columns: rec_id, line_no, bits, tok, tok_line."""
+def _lines(batch: pa.RecordBatch, off: np.ndarray, own: list[tuple], pooled: list[tuple]) -> pa.RecordBatch:
+    """The rows (rec_id, line_no) to remove; columns: rec_id, site, line_no, bits, tok, tok_line."""
     ids, numbers = [], []
-    for k, (rec_id, no, bits, line) in enumerate(zip(*(batch.column(j).to_pylist() for j in (0, 1, 2, 4)))):
-        if not no:
-            continue
-        line, mine = np.asarray(line, np.int64), hit[off[k] : off[k + 1]]
-        all_ = np.maximum(np.bincount(line, minlength=len(no)), 1)
-        share = np.bincount(line[mine > 0], minlength=len(no)) / all_
-        strong = np.bincount(line[mine > 1], minlength=len(no)) / all_
-        for number, gone in zip(no, removable(bits, share.tolist(), strong.tolist())):
-            if gone:
-                ids.append(rec_id)
-                numbers.append(number)
+    for k, (rec_id, no, bits, tok, line) in enumerate(zip(*(batch.column(j).to_pylist() for j in (0, 2, 3, 4, 5)))):
+        if no:
+            part = slice(off[k], off[k + 1])
+            for number, gone in zip(no, removable(bits, *taken_apart(bits, tok, line, own[part], pooled[part]))):
+                if gone:
+                    ids.append(rec_id)
+                    numbers.append(number)
     return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(numbers, pa.int64())], names=["rec_id", "line_no"])
 
 
@@ -245,30 +375,28 @@ def furniture_lines(df: DataFrame, broadcast_keys: int = BROADCAST_KEYS) -> Data
 
     `df` needs rec_id, site and text; other columns are ignored. Lines lie between line feeds and
     count from 1; blank lines are never returned. Null, empty and blank texts have no lines; a null
-    site counts as one site; repeated rec_ids give their lines once each page (distinct rows).
-    An empty table gives an empty result.
+    site counts as one site. Rows delivered again (same rec_id and text) count once, for the template and
+    in the result (distinct rows). An empty table gives an empty result.
     """
     spark = df.sparkSession
-    pages = stage(df.select("rec_id", F.coalesce("site", F.lit("")).alias("site"), "text").transform(mapped, _tokenize, _SCHEMA), "page-tokens")
-    keys = stage(template_tokens(pages), "template-tokens")
+    pages = stage(df.select("rec_id", "site", "text").transform(mapped, _tokenize, _SCHEMA), "page-tokens")
+    keys = stage(template(pages), "template-keys")
     return remove_with(spark, pages, keys, broadcast_keys).distinct()
 
 
 def remove_with(spark: SparkSession, pages: DataFrame, keys: DataFrame, broadcast_keys: int) -> DataFrame:
-    """The removable lines of tokenized pages, given the template tokens."""
-    rows = pages.select("rec_id", "line_no", "bits", "tok", "tok_line")
+    """The removable lines of tokenized pages, given the template's keys."""
+    rows = pages.select("rec_id", "site", "line_no", "bits", "tok", "tok_line")
     if keys.count() <= broadcast_keys:
-        got = sorted((r.tok, r.strong) for r in keys.collect())
-        decide = _decide(np.array([t for t, _ in got], np.int64), np.array([s for _, s in got], np.int64))
-        return rows.transform(mapped, decide, "rec_id bigint, line_no bigint")
-    page = rows.withColumn("page", F.xxhash64("rec_id", "tok"))
-    hit = (
-        page.select("rec_id", "page", F.posexplode("tok").alias("k", "tok"))
-        .join(keys, "tok")
-        .groupBy("rec_id", "page")
-        .agg(F.collect_list(F.struct("k", "strong")).alias("hit"))
-    )
-    joined = page.join(hit, ["rec_id", "page"], "left").select("rec_id", "line_no", "bits", "tok", "tok_line", "hit")
+        sent = spark.sparkContext.broadcast(Keys(keys.toArrow()))
+        return rows.transform(mapped, _decide(sent), "rec_id bigint, line_no bigint")
+    page = rows.withColumn("page", F.xxhash64("rec_id", "site", "tok"))
+    each = page.select("rec_id", "page", "site", F.posexplode("tok").alias("k", "tok")).withColumn("key", F.xxhash64("site", "tok"))
+    own = keys.where("site is not null").withColumn("key", F.xxhash64("site", "tok")).drop("site", "tok")
+    pool = keys.where("site is null").select("tok", F.col("kind").alias("pooled"), F.col("support").alias("pages"))
+    found = lookup(lookup(each, own, "key"), pool, "tok").where("kind is not null or pooled is not null")
+    hit = found.groupBy("rec_id", "page").agg(F.collect_list(F.struct("k", "kind", "support", "class", "place", "pooled", "pages")).alias("hit"))
+    joined = page.join(hit, ["rec_id", "page"], "left").select("rec_id", "site", "line_no", "bits", "tok", "tok_line", "hit")
     return joined.transform(mapped, _decide_joined, "rec_id bigint, line_no bigint")
 
 
@@ -286,7 +414,7 @@ def taken_away(bits: list[int], plains: list[str], numbers: list[int], gone: lis
     if gone is not None:
         known = set(gone)
         return [k in known for k in numbers]
-    return removable(bits, [1.0 if fu.site_line(p, b) else 0.0 for p, b in zip(plains, bits)], [0.0] * len(bits))
+    return removable(bits, [Line(1.0) if fu.site_line(p, b) else Line() for p, b in zip(plains, bits)])
 
 
 def p1_found(spark: SparkSession, directory: str) -> DataFrame:
