@@ -132,10 +132,9 @@ def truncated(df: DataFrame, longest: int = 1536, keep: str = "tail") -> DataFra
 
 def batched(df: DataFrame, key: str, size: int, seed: int = 42, drop_last: bool = False) -> DataFrame:
     """`df` with batch (number) and slot, in a seeded order of `key` that doesn't depend on partitions."""
-    rows = df.count()
-    ranked = rank_in_groups(df.withColumn("_all", F.lit(0)), ["_all"], [seeded(seed, key), F.col(key)], "_rank", rows)
+    ranked = rank_in_groups(df.withColumn("_all", F.lit(0)), ["_all"], [seeded(seed, key), F.col(key)], "_rank")
     out = ranked.withColumns({"batch": F.floor(F.col("_rank") / size), "slot": (F.col("_rank") % size).cast("int")}).drop("_all", "_rank")
-    return out.where(F.col("batch") < rows // size) if drop_last else out
+    return out.where(F.col("batch") < df.count() // size) if drop_last else out
 
 
 def padded(df: DataFrame) -> DataFrame:
@@ -149,7 +148,7 @@ def padded(df: DataFrame) -> DataFrame:
 def split(df: DataFrame, key: str, ratio: float = 0.02, seed: int = 42) -> DataFrame:
     """`df` with is_validation: exactly ceil(ratio · n) rows, by a seeded order of `key`."""
     rows = df.count()
-    ranked = rank_in_groups(df.withColumn("_all", F.lit(0)), ["_all"], [seeded(seed, key), F.col(key)], "_rank", rows)
+    ranked = rank_in_groups(df.withColumn("_all", F.lit(0)), ["_all"], [seeded(seed, key), F.col(key)], "_rank")
     return ranked.withColumn("is_validation", F.col("_rank") < -(-rows * round(ratio * 10_000) // 10_000)).drop("_all", "_rank")
 
 
