@@ -12,44 +12,46 @@ from __future__ import annotations
 from collections import Counter
 from random import Random
 
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tramoggia.llm.encoding import TOKENIZERS, VOCABULARY, token_counts
 from tramoggia.operators.joins import BROADCAST_ROWS
-from tramoggia.operators.ranking import rank_in_groups, seeded
+from tramoggia.operators.ranking import BUCKET_ROWS, rank_in_groups, seeded
 from tramoggia.session import stage, table
 
-#: Tokens up to which the rest of a budget is fitted exactly.
+#: The rest of a budget that is fitted exactly is at least so many tokens wide, and twice the longest document.
 EXACT = 1 << 16
 
 
 def fill_exactly(counts: dict[int, int], budget: int) -> dict[int, int]:
     """Counts of lengths whose sum comes as near to `budget` from below as possible (bounded knapsack).
 
-    Reachable sums are bits of one integer, a length's count is split into powers of two, and the
-    choice is read back from the sets before each step.
+    A length's count is split into powers of two; of every sum the first step that reaches it is kept, from which
+    the choice is read back.
     """
     lengths = sorted((k for k, v in counts.items() if 0 < k <= budget and v > 0), reverse=True)
-    steps: list[tuple[int, int, int]] = []
-    mask, reach = (1 << (budget + 1)) - 1, 1
+    steps: list[tuple[int, int]] = []
+    first = np.full(budget + 1, -1, np.int32)
+    reached = np.zeros(budget + 1, bool)
+    reached[0] = True
     for length in lengths:
         left, part = min(counts[length], budget // length), 1
-        while left > 0:
+        while left > 0 and not reached[budget]:
             n = min(part, left)
-            more = reach | (reach << (n * length)) & mask
-            if more != reach:
-                steps.append((length, n, reach))
-                reach = more
+            new = np.flatnonzero(reached[: budget + 1 - n * length] & ~reached[n * length :]) + n * length
+            if len(new):
+                first[new] = len(steps)
+                reached[new] = True
+                steps.append((length, n))
             left -= n
             part *= 2
-        if reach >> budget & 1:
-            break
-    total, out = reach.bit_length() - 1, Counter()
-    for length, n, before in reversed(steps):
-        if not before >> total & 1:
-            out[length] += n
-            total -= n * length
+    total, out = int(np.flatnonzero(reached)[-1]), Counter()
+    while total:
+        length, n = steps[first[total]]
+        out[length] += n
+        total -= n * length
     return dict(out)
 
 
@@ -58,32 +60,39 @@ def fit(counts: dict[int, int], budget: int, seed: int = 17) -> dict[int, int]:
 
     `budget` is less than all tokens. Every length first gives its share of documents, a fraction of a
     document by seeded chance, so that lengths are taken as they occur; lengths in seeded order then
-    give back or add documents until the rest is small enough to be fitted exactly.
+    give back or add documents until the rest lies in the window that is fitted exactly. The window is twice the longest
+    document at least, so the rest always gets there. If tokens are still missing of a budget no wider than the window, it is
+    fitted as a whole.
     """
     size = sum(k * v for k, v in counts.items())
     if size <= 0 or budget <= 0:
         return {}
     chance = Random(f"{seed}:{budget}:{size}")
     lengths = sorted(k for k, v in counts.items() if k > 0 and v > 0)
+    window = max(EXACT, 2 * lengths[-1])
     taken = {}
     for k in lengths:
         whole, part = divmod(counts[k] * budget, size)
         taken[k] = whole + (chance.random() < part / size)
     rest = budget - sum(k * v for k, v in taken.items())
     chance.shuffle(lengths)
-    slack = min(EXACT // 2, budget // 4)
+    slack = min(window // 2, budget // 4)
     for k in lengths:
         if rest < slack and taken[k]:
             back = min(taken[k], -((rest - slack) // k))
             taken[k] -= back
             rest += back * k
-        elif rest > EXACT and k <= rest:
-            more = min(counts[k] - taken[k], (rest - EXACT) // k + 1, rest // k)
+        elif rest > window and k <= rest:
+            more = min(counts[k] - taken[k], (rest - window) // k + 1, rest // k)
             taken[k] += more
             rest -= more * k
-    left = {k: counts[k] - taken[k] for k in taken}
-    for length, n in fill_exactly(left, min(rest, EXACT)).items():
+    for length, n in fill_exactly({k: counts[k] - taken[k] for k in taken}, rest).items():
         taken[length] += n
+        rest -= n * length
+    if rest and budget <= window:
+        whole = fill_exactly(counts, budget)
+        if budget - sum(k * v for k, v in whole.items()) < rest:
+            taken = whole
     return {k: v for k, v in taken.items() if v > 0}
 
 
@@ -137,24 +146,28 @@ def mix(documents: DataFrame, targets: DataFrame, seed: int = 17, vocabulary: st
     for r in sized.groupBy("source", "n_tokens").count().collect():
         histogram.setdefault(r.source, {})[r.n_tokens] = r["count"]
     rows = plan(histogram, aims)
-    rows_in = sum(sum(v.values()) for v in histogram.values())
     partial = [(r["source"], n, k) for r in rows for n, k in r["partial"].items()]
     passes = spark.createDataFrame([(r["source"], r["passes"]) for r in rows], "source string, passes int")
     extra = spark.createDataFrame(partial, "source string, n_tokens bigint, take bigint")
-    ranked = rank_in_groups(sized, ["source", "n_tokens"], [seeded(seed, "doc_id"), F.col("doc_id")], rows=rows_in)
+    large = [(s, k, n) for s, v in histogram.items() for k, n in v.items() if n > BUCKET_ROWS]
+    sizes = spark.createDataFrame(large, "source string, n_tokens bigint, _size bigint")
+    ranked = rank_in_groups(sized, ["source", "n_tokens"], [seeded(seed, "doc_id"), F.col("doc_id")], sizes=sizes)
     if len(partial) <= BROADCAST_ROWS:
         extra = F.broadcast(extra)
     joined = ranked.join(F.broadcast(passes), "source").join(extra, ["source", "n_tokens"], "left")  # passes: a row for each target
     repeats = F.col("passes") + F.when(F.col("rank") < F.coalesce("take", F.lit(0)), 1).otherwise(0)
     used = joined.select("doc_id", "source", "n_tokens", repeats.cast("int").alias("repeats")).where("repeats > 0")
-    final = {r["source"]: r["passes"] * r["available"] + sum(n * k for n, k in r["partial"].items()) for r in rows}
-    whole = sum(final.values())
-    report = [
-        (r["source"], r["target_share"], r["present_share"], final[r["source"]] / whole if whole else 0.0, final[r["source"]], r["budget"], r["available"], final[r["source"]] / r["available"] if r["available"] else 0.0, r["max_repeats"])
-        for r in rows
-    ]
-    schema = "source string, target_share double, present_share double, actual_share double, tokens bigint, budget bigint, available_tokens bigint, mean_repeats double, max_repeats int"
-    return Mix(used, spark.createDataFrame(report, schema))
+    # The shares reported are those of the documents used.
+    counted = used.groupBy("source").agg(F.sum(F.col("n_tokens") * F.col("repeats")).alias("tokens"), F.count("*").alias("documents"), F.max("repeats").alias("most_repeats"))
+    aimed = spark.createDataFrame(
+        [(r["source"], r["target_share"], r["present_share"], r["budget"], r["available"], r["max_repeats"]) for r in rows],
+        "source string, target_share double, present_share double, budget bigint, available_tokens bigint, max_repeats int",
+    )
+    joined = aimed.join(counted, "source", "left").fillna(0, ["tokens", "documents", "most_repeats"])
+    whole = F.sum("tokens").over(Window.partitionBy(F.lit(0)))  # a row for each target
+    share = F.when(whole > 0, F.col("tokens") / whole).otherwise(0.0)
+    mean = F.when(F.col("available_tokens") > 0, F.col("tokens") / F.col("available_tokens")).otherwise(0.0)
+    return Mix(used, joined.select("source", "target_share", "present_share", share.alias("actual_share"), "tokens", "budget", "available_tokens", mean.alias("mean_repeats"), "max_repeats", "documents", "most_repeats"))
 
 
 def _mix(spark: SparkSession, directory: str) -> Mix:
@@ -168,7 +181,4 @@ def p8_mix(spark: SparkSession, directory: str) -> DataFrame:
 
 def p8_report(spark: SparkSession, directory: str) -> DataFrame:
     """Target and actual shares of the mix, counted from the documents used."""
-    made = _mix(spark, directory)
-    actual = made.used.groupBy("source").agg(F.sum(F.col("n_tokens") * F.col("repeats")).alias("used_tokens"), F.count("*").alias("documents"), F.max("repeats").alias("most_repeats"))
-    zero = {"used_tokens": 0, "documents": 0, "most_repeats": 0}
-    return made.report.join(actual, "source", "left").fillna(zero)
+    return _mix(spark, directory).report
