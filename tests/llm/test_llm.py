@@ -297,6 +297,20 @@ def test_fill_exactly_equals_brute_force():
         assert all(taken[k] <= counts[k] for k in taken) and sum(k * v for k, v in taken.items()) == max(s for s in sums if s <= budget)
 
 
+def test_budgets_of_long_documents_are_filled():
+    total = lambda counts, budget: sum(k * v for k, v in mixing.fit(counts, budget).items())
+    assert total({90_000: 3}, 100_000) == 90_000 and total({70_000: 10, 3: 2}, 150_000) == 140_006
+    assert total({200_000: 50, 150_001: 50, 7: 3}, 9_000_000) > 8_850_000
+    for seed in range(60):
+        rng = random.Random(seed)
+        counts = {rng.randint(1, 40) * 10_000 + rng.randint(0, 3): rng.randint(1, 3) for _ in range(4)}
+        budget = rng.randint(1, sum(k * v for k, v in counts.items()) - 1)
+        sums = (sum(n * k for n, k in zip(take, counts)) for take in itertools.product(*[range(v + 1) for v in counts.values()]))
+        best = max(s for s in sums if s <= budget)
+        got = mixing.fit(counts, budget)
+        assert all(got[k] <= counts[k] for k in got) and (sum(k * v for k, v in got.items()) == best if budget <= 2 * max(counts) else True)
+
+
 def test_mix_shares_and_caps(spark):
     rng = random.Random(5)
     rows = [(k, s, "parola " * rng.randint(1, 60)) for s, n in (("a", 300), ("b", 40), ("c", 200), ("other", 50)) for k in range(n)] + [(1, "a", None), (2, "a", "")]
