@@ -59,7 +59,7 @@ TEMPLATE, POOLED, REPEATED, RECURRING = 1, 2, 4, 8
 # The lowest byte of a token: a sentence of a paragraph, names the site, its words.
 _PARAGRAPH, _NAMED, _WORDS = 0x80, 0x40, 0x3F
 
-_SCHEMA = "rec_id bigint, site bigint, line_no array<int>, bits array<int>, tok array<bigint>, tok_line array<int>, tok_pos array<float>"
+_SCHEMA = "rec_id bigint, page bigint, site bigint, line_no array<int>, bits array<int>, tok array<bigint>, tok_line array<int>, tok_pos array<float>"
 _DIGITS = re.compile(r"\d+")
 _NAME = re.compile(r"(?<=[\w,;'’§@] )[^\W\d_a-zß-öø-ÿ][\w'’]*")
 _NAMES = re.compile(r"[§@](?: [§@])+")
@@ -72,44 +72,50 @@ def _signed(h: int) -> int:
     return h - (1 << 64) if h >> 63 else h
 
 
-def host_pattern(site: str | None) -> re.Pattern | None:
+class Host:
     """The words of a site's address, by which its own name is known."""
-    words = set(_HOST.findall((site or "").lower())) - {"http", "https", "test", "example", "invalid"}
-    return re.compile("|".join(sorted(words, key=len, reverse=True)), re.I) if words else None
 
+    def __init__(self, site: str | None):
+        self.words = tuple(sorted(set(_HOST.findall((site or "").lower())) - {"http", "https", "test", "example", "invalid"}, key=len, reverse=True))
+        self._pattern = re.compile("|".join(self.words), re.I)
 
-def tokens_of(text: str, bits: int, host: re.Pattern | None) -> list[int]:
+    def named(self, text: str) -> bool:
+        low = text.lower()
+        return any(w in low for w in self.words)
+
+    def masked(self, text: str) -> str:
+        return self._pattern.sub("§", text) if self.named(text) else text
+
+
+def tokens_of(text: str, bits: int, host: Host) -> list[int]:
     """The tokens of a line without tags, one for each of its masked pieces; a paragraph's sentences are told from lines of the same words."""
     kind = _PARAGRAPH if bits & fu.PROSE and not bits & fu.CUE else 0
-    text = _LABEL.sub(r"\1 | ", text)
-    if host is not None:
-        text = host.sub("§", text)
+    text = host.masked(_LABEL.sub(r"\1 | ", text))
     if not text.isupper():
         text = _NAME.sub("@", text)
     text = _NAMES.sub(lambda m: "§" if "§" in m[0] else "@", _DIGITS.sub("#", text)).lower().replace("’", "'")
     out = []
     for piece in fu.pieces(text):
-        words = piece.split()
-        plain = " ".join(words)
-        if "# #" in plain or plain == "→" or sum(map(str.isalpha, plain)) > 1:
-            h = xxhash.xxh64_intdigest(plain)
-            out.append(_signed(h & ~0xFF | kind | (_NAMED if "§" in plain else 0) | min(sum(w[0].isalpha() or w[-1].isalpha() for w in words), _WORDS)))
+        if len(piece) > 8 or "# #" in piece or piece == "→" or sum(map(str.isalpha, piece)) > 1:
+            named = piece.count("§")
+            words = piece.count(" ") + 1 - named - piece.count("@") - piece.count("#")
+            out.append(_signed(xxhash.xxh64_intdigest(piece) & ~0xFF | kind | (_NAMED if named else 0) | min(max(words, 0), _WORDS)))
     return out
 
 
 def _tokenize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pages to their lines' marks and tokens; a token's place on its page is -1 where it comes again."""
-    hosts: dict[str, re.Pattern | None] = {}
+    hosts: dict[str, Host] = {}
     known: dict[object, list[int]] = {}
-    types = [pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.float32())]
-    names = ["rec_id", "site", "line_no", "bits", "tok", "tok_line", "tok_pos"]
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.float32())]
+    names = ["rec_id", "page", "site", "line_no", "bits", "tok", "tok_line", "tok_pos"]
     for batch in batches:
         cols: list[list] = [[] for _ in names]
         for rec_id, site, text in zip(*(batch.column(k).to_pylist() for k in range(3))):
             if site not in hosts:
                 if len(hosts) > 10_000:
                     hosts.clear()
-                hosts[site] = host_pattern(site)
+                hosts[site] = Host(site)
             host = hosts[site]
             numbers, bits, tok, tok_line = [], [], [], []
             for number, line in enumerate((text or "").split("\n"), 1):
@@ -123,7 +129,7 @@ def _tokenize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     got = tokens_of(plain, mark, host)
                 else:
                     # Short lines recur; those that name the site are known by site.
-                    key = (plain, host) if host is not None and host.search(plain) else plain
+                    key = (plain, host) if host.named(plain) else plain
                     got = known.get(key)
                     if got is None:
                         if len(known) > 200_000:
@@ -135,7 +141,8 @@ def _tokenize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for t, k in zip(tok, tok_line):
                 tok_pos.append(-1.0 if t in seen else k / last)
                 seen.add(t)
-            for col, value in zip(cols, (rec_id, _signed(xxhash.xxh64_intdigest(site or "")), numbers, bits, tok, tok_line, tok_pos)):
+            page = xxhash.xxh64_intdigest(f"{rec_id} {site} {text}")
+            for col, value in zip(cols, (rec_id, _signed(page), _signed(xxhash.xxh64_intdigest(site or "")), numbers, bits, tok, tok_line, tok_pos)):
                 col.append(value)
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=names)
 
@@ -149,14 +156,13 @@ def template(pages: DataFrame) -> DataFrame:
 
     A null site stands for all sites. The order of a class is that of its tokens' mean places.
     """
-    page = F.xxhash64("rec_id", "site", "tok")
-    total, distinct = pages.select(F.count("*"), F.count_distinct(page)).first()
+    total, distinct = pages.select(F.count("*"), F.count_distinct("page")).first()
     if distinct < total:
         # Pages delivered several times count once.
-        pages = stage(pages.dropDuplicates(["rec_id", "site", "tok"]), "distinct-pages")
+        pages = stage(pages.dropDuplicates(["page"]), "distinct-pages")
         total = distinct
     sizes = pages.groupBy("site").agg(F.count("*").alias("pages"))
-    each = pages.select("site", page.alias("page"), F.explode(F.arrays_zip("tok", "tok_pos")).alias("t")).select("site", "page", F.col("t.tok").alias("tok"), F.col("t.tok_pos").alias("pos")).where("pos >= 0")
+    each = pages.select("site", "page", F.explode(F.arrays_zip("tok", "tok_pos")).alias("t")).select("site", "page", F.col("t.tok").alias("tok"), F.col("t.tok_pos").alias("pos")).where("pos >= 0")
     words, paragraph, named = F.col("tok").bitwiseAND(_WORDS), F.col("tok").bitwiseAND(_PARAGRAPH) != 0, F.col("tok").bitwiseAND(_NAMED) != 0
     # Tokens of several pages of a site; those of one page don't count for any class.
     in_site = stage(each.groupBy("site", "tok").agg(*_sums(), F.bit_xor("page").alias("vector")).where("hits > 1"), "site-tokens")
@@ -390,13 +396,13 @@ def remove_with(spark: SparkSession, pages: DataFrame, keys: DataFrame, broadcas
     if keys.count() <= broadcast_keys:
         sent = spark.sparkContext.broadcast(Keys(keys.toArrow()))
         return rows.transform(mapped, _decide(sent), "rec_id bigint, line_no bigint")
-    page = rows.withColumn("page", F.xxhash64("rec_id", "site", "tok"))
-    each = page.select("rec_id", "page", "site", F.posexplode("tok").alias("k", "tok")).withColumn("key", F.xxhash64("site", "tok"))
+    page = pages.select("rec_id", "page", "site", "line_no", "bits", "tok", "tok_line").dropDuplicates(["page"])
+    each = page.select("page", "site", F.posexplode("tok").alias("k", "tok")).withColumn("key", F.xxhash64("site", "tok"))
     own = keys.where("site is not null").withColumn("key", F.xxhash64("site", "tok")).drop("site", "tok")
     pool = keys.where("site is null").select("tok", F.col("kind").alias("pooled"), F.col("support").alias("pages"))
     found = lookup(lookup(each, own, "key"), pool, "tok").where("kind is not null or pooled is not null")
-    hit = found.groupBy("rec_id", "page").agg(F.collect_list(F.struct("k", "kind", "support", "class", "place", "pooled", "pages")).alias("hit"))
-    joined = page.join(hit, ["rec_id", "page"], "left").select("rec_id", "site", "line_no", "bits", "tok", "tok_line", "hit")
+    hit = found.groupBy("page").agg(F.collect_list(F.struct("k", "kind", "support", "class", "place", "pooled", "pages")).alias("hit"))
+    joined = page.join(hit, "page", "left").select("rec_id", "site", "line_no", "bits", "tok", "tok_line", "hit")
     return joined.transform(mapped, _decide_joined, "rec_id bigint, line_no bigint")
 
 
