@@ -1,4 +1,8 @@
-"""Statistics of the text quality of each document, and the records that are no prose."""
+"""Statistics of the text quality of each document, and the records that are no prose.
+
+Prose is a body of which lines of prose, each counted once, make up more than a third, and that doesn't repeat
+itself: neither its lines and paragraphs nor the n-grams that cover most of it.
+"""
 
 from __future__ import annotations
 
@@ -22,6 +26,10 @@ COMMON_SHARE, PROSE_WORDS = 0.2, 5
 PROSE_SHARE = 0.36
 #: n-grams of words of these lengths are looked at for repetition.
 NGRAMS = (2, 3, 4)
+#: A text repeats itself if more than these shares of its characters are covered by its most frequent n-gram of each length ...
+TOP_COVERAGE = (0.20, 0.18, 0.16)
+#: ... or if more than this share of its lines, or of its paragraphs, repeats an earlier one.
+DUPLICATES = 0.3
 
 COLUMNS = {
     "n_chars": pa.int64(), "n_lines": pa.int64(), "n_words": pa.int64(), "mean_word_length": pa.float64(), "symbol_ratio": pa.float64(), "digit_ratio": pa.float64(),
@@ -103,6 +111,7 @@ def statistics(text: str, gone: list[int] | None = None) -> tuple:
             plains.append(plain)
             numbers.append(number)
     words: list[str] = []
+    seen: set[str] = set()
     body = prose = listed = ended = 0
     for line, plain, mark, away in zip(lines, plains, bits, taken_away(bits, plains, numbers, gone)):
         found = _WORD.findall(plain.lower())
@@ -111,8 +120,10 @@ def statistics(text: str, gone: list[int] | None = None) -> tuple:
         listed += bool(mark & fu.LISTED)
         if not away and plain:
             body += len(plain)
-            if prose_line(plain, mark, found):
+            # Only its first time a line is prose.
+            if plain not in seen and prose_line(plain, mark, found):
                 prose += len(plain)
+            seen.add(plain)
     n, size = len(words), len(text)
     letters = sum(map(len, words))
     digits = fu.digits_in(text)
@@ -122,10 +133,11 @@ def statistics(text: str, gone: list[int] | None = None) -> tuple:
     duplicate, top = repeated_share(lines), top_ngrams(words)
     share = prose / body if body else 0.0
     listed_share = listed / len(lines)
-    if share >= PROSE_SHARE:
-        kind = "prose"
-    elif not body:
+    repeats = duplicate > DUPLICATES or repeated_share(paragraphs) > DUPLICATES or any(t > most for t, most in zip(top, TOP_COVERAGE))
+    if not body:
         kind = "no body"
+    elif share >= PROSE_SHARE and not repeats:
+        kind = "prose"
     elif sum(map(COMMON.__contains__, words)) < 0.02 * n or n * 4 < size * 0.2:
         kind = "junk"
     elif listed_share >= 0.3 or digits > 0.08 * size or ended < 0.3 * len(lines):
@@ -152,7 +164,7 @@ def quality(df: DataFrame, *keep: str, text: str = "text", gone: str | None = No
 
     No row is dropped and nothing is shuffled; other columns are ignored, `keep` must not clash with
     the names of COLUMNS. Ratios are of characters or lines; `kind` is prose, list or table, junk,
-    or no body, by the share of prose lines in what isn't page furniture. `gone` names a column with
+    or no body, by the share of prose lines in what isn't page furniture and by repetition. `gone` names a column with
     the numbers of each text's furniture lines; where it is null (or not given) phrases alone tell them.
     """
     spark_type = {pa.int64(): "bigint", pa.float64(): "double", pa.string(): "string"}
