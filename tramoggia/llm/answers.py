@@ -1,7 +1,8 @@
 """Defects of prompt and response pairs: empty, refusing, copied, truncated, foreign-language answers.
 
-Copies are found by compressing the answer with the prompt as a zstandard dictionary; refusals and
-languages by dictionaries; breaks by a terminal-context model counted over all answers: how often
+Copies are found by compressing the answer with the prompt as a zstandard dictionary, and the prompt with
+the answer: neither may tell much that the other doesn't. Refusals and
+languages are found by dictionaries; breaks by a terminal-context model counted over all answers: how often
 a word is followed by an end (of a sentence or line) rather than by another word.
 """
 
@@ -38,7 +39,7 @@ REFUSALS = (
 )
 # Common function words by language.
 FUNCTION_WORDS = {
-    "it": "il lo la l gli le un uno una di del dello della dell dei degli delle da dal dalla dall dai in nel nello nella nell nei negli nelle con su sul sullo sulla sull sui sugli sulle per tra fra e ed o ma anche che chi cui non come se si è sono era ha hanno ho al allo alla all ai agli alle questo questa quello quella più molto sua suo loro mi ti ci vi ne durante dopo prima senza circa anni secondo ogni quando dove perché quindi",
+    "it": "sì no a ad il lo la l gli le un uno una di del dello della dell dei degli delle da dal dalla dall dai in nel nello nella nell nei negli nelle con su sul sullo sulla sull sui sugli sulle per tra fra e ed o ma anche che chi cui non come se si è sono era ha hanno ho al allo alla all ai agli alle questo questa quello quella più molto sua suo loro mi ti ci vi ne durante dopo prima senza circa anni secondo ogni quando dove perché quindi",
     "en": "the a an of and or but to in on at by for with from is are was were be been has have had not no it its this that these those which who when where because as than then there their his her he she they we you i about before after without during often usually most",
     "fr": "le la les l un une des de du d au aux et ou mais dans en sur sous par pour avec sans est sont était a ont ne pas plus que qui quoi dont où ce cet cette ces son sa ses leur il elle ils elles nous vous je selon pendant depuis avant après parce comme très à",
     "de": "der die das den dem des ein eine einen einem einer eines und oder aber in im am an auf aus bei mit nach von vom zu zum zur für über unter ohne gegen ist sind war waren hat haben nicht kein keine es sie er wir ihr ich dass weil wenn als wie auch nur noch sehr seit während vor",
@@ -58,6 +59,9 @@ _BLANK = re.compile(r"^[\s.\-–—_…·•*~=]*$")
 _LIST = re.compile(r"^\s*(?:[-–—•*]|\d{1,3}[.)])(?:\s|$)")
 _LAST = re.compile(r"([^\W_]+)\W*$")
 _SENTENCE = re.compile(r"[.!?…]+(?=\s|$)")
+_PARTS = re.compile(r"(?<=[.!?…:])\s+|\n")
+_FRAME = 9
+_PLAIN = zstandard.ZstdCompressor(level=3, write_content_size=False)
 _SCORES: dict[str, dict[str, float]] = {}
 for _lang, _words in FUNCTION_WORDS.items():
     for _w in _words.split():
@@ -66,12 +70,12 @@ for _by in _SCORES.values():
     for _lang in _by:
         _by[_lang] = 1.0 / len(_by)
 
-#: A refusal stands in an answer of at most so many sentences.
-REFUSAL_SENTENCES = 3
-#: An answer is looked at as a copy if the prompt's dictionary leaves at most this share of its compressed size ...
-COPY_RATIO = 0.8
-#: ... and is one if at most this share of its words (or three) is new and it has this share of the prompt's words.
-COPY_NEW, COPY_COVERED = 0.2, 0.6
+#: A refusal is declared in one of the answer's first sentences.
+REFUSAL_SENTENCES = 2
+#: An answer is a copy if the compressed size of it and of the prompt, each given the other, is at most this share of that without.
+COPY_SHARE = 0.65
+#: Words of the shortest prompt that can be restated (a greeting returned is none).
+COPY_WORDS = 3
 #: A word of which less than this share is followed by an end doesn't end an answer.
 TERMINAL_SHARE = 0.02
 
@@ -96,7 +100,9 @@ def is_empty(answer: str | None) -> bool:
 
 
 def is_refusal(answer: str) -> bool:
-    return bool(_REFUSAL.search(answer.lower().replace("’", "'"))) and len(_SENTENCE.findall(answer)) <= REFUSAL_SENTENCES and "\n" not in answer.strip()
+    """Whether the answer declines at its beginning, whatever follows; a refusal told of later is content."""
+    opening = [p for p in _PARTS.split(answer.lower().replace("’", "'")) if _WORD.search(p)][:REFUSAL_SENTENCES]
+    return bool(_REFUSAL.search(" ".join(opening)))
 
 
 def is_foreign(answer: str, wanted: str) -> bool:
@@ -109,26 +115,25 @@ def is_foreign(answer: str, wanted: str) -> bool:
     return best != wanted and scores[best] >= 0.5 and scores[best] > 2 * scores[wanted]
 
 
-def compressed_share(answer: str, prompt: str) -> float:
-    """The answer's compressed size with the prompt as dictionary ÷ that without, less the frame's own bytes."""
-    a, p = " ".join(_WORD.findall(answer.lower())).encode(), " ".join(_WORD.findall(prompt.lower())).encode()
-    if len(p) < 8:
-        return 1.0
-    d = zstandard.ZstdCompressionDict(p, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-    with_ = len(zstandard.ZstdCompressor(level=19, dict_data=d, write_content_size=False).compress(a))
-    without = len(zstandard.ZstdCompressor(level=19, write_content_size=False).compress(a))
-    return max(0, with_ - 9) / max(1, without - 9)
+def _compressed(data: bytes, given: bytes | None = None) -> int:
+    """The compressed size, less the frame's own bytes."""
+    if given is None:
+        return max(1, len(_PLAIN.compress(data)) - _FRAME)
+    d = zstandard.ZstdCompressionDict(given.rjust(8), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+    return max(0, len(zstandard.ZstdCompressor(level=3, dict_data=d, write_content_size=False).compress(data)) - _FRAME)
+
+
+def compressed_share(text: str, given: str) -> float:
+    """The compressed size of a text's words with the other's as dictionary ÷ that without."""
+    a, b = (" ".join(_WORD.findall(t.lower())).encode() for t in (text, given))
+    return _compressed(a, b) / _compressed(a)
 
 
 def is_copy(answer: str, prompt: str) -> bool:
-    """Whether the answer restates the prompt and adds nothing."""
-    words, asked = _WORD.findall(answer.lower()), _WORD.findall(prompt.lower())
-    if len(asked) < 3 or len(words) < 2 or len(words) > 2 * len(asked) + 6 or compressed_share(answer, prompt) > COPY_RATIO:
+    """Whether the answer restates the prompt and adds nothing: each tells nearly all of the other."""
+    if len(_WORD.findall(prompt)) < COPY_WORDS or not _WORD.search(answer):
         return False
-    known = set(asked)
-    new = sum(w not in known for w in words)
-    shared = sum((Counter(words) & Counter(asked)).values())
-    return new <= max(3, COPY_NEW * len(words)) and new < 0.5 * len(words) and shared >= COPY_COVERED * len(asked)
+    return compressed_share(answer, prompt) <= COPY_SHARE and compressed_share(prompt, answer) <= COPY_SHARE
 
 
 def last_context(answer: str) -> tuple[str, bool]:
@@ -150,7 +155,8 @@ def last_context(answer: str) -> tuple[str, bool]:
     if text[-1] in ".!?\"»”)]}" and not text.endswith("..."):
         return "end", True
     listed, dots = bool(_LIST.match(line)), text.endswith(("…", "..."))
-    if not dots and not listed and len(words) >= 5:
+    # A sentence that doesn't end, rather than a bare value: it follows on others, or has several function words.
+    if not dots and not listed and (_SENTENCE.search(text) or sum(w.lower() in _SCORES for w in words) > 1):
         return "cut", True
     m = _LAST.search(line)
     if not m:
