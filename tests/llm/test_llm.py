@@ -145,12 +145,21 @@ def test_classes_keep_their_order_and_nest():
 def test_statistics():
     prose = "Il mulino è vicino al fiume e non si ferma mai.\nLa ruota gira con l'acqua che arriva dal monte.\n"
     s = dict(zip(quality.COLUMNS, quality.statistics(prose * 2)))
-    assert s["kind"] == "prose" and s["n_lines"] == 4 and s["duplicate_lines"] == 0.5 and s["punctuated_lines"] == 1.0 and s["prose_share"] == 1.0 and s["top_2gram"] > 0
+    assert s["kind"] != "prose" and s["n_lines"] == 4 and s["duplicate_lines"] == 0.5 and s["punctuated_lines"] == 1.0 and s["prose_share"] == 0.5 and s["top_2gram"] > 0
+    assert dict(zip(quality.COLUMNS, quality.statistics(prose)))["kind"] == "prose"
     table_ = "\n".join(f"| Nome{k} | {k * 37} | {k * 11} |" for k in range(20))
     assert dict(zip(quality.COLUMNS, quality.statistics(table_)))["kind"] != "prose"
     assert dict(zip(quality.COLUMNS, quality.statistics("Home\nLogin")))["kind"] == "no body"
 
 
+def test_repetition_is_no_prose():
+    kind = lambda t: dict(zip(quality.COLUMNS, quality.statistics(t)))["kind"]
+    sentence = "Il mulino è vicino al fiume e non si ferma mai quando la ruota gira con l'acqua che arriva dal monte."
+    other = "La piazza del paese resta vuota la sera perché tutti sono a casa. Il treno per il mare parte prima delle nove."
+    assert kind(f"{sentence}\n{other}") == "prose"
+    assert kind("\n".join([sentence] * 400)) != "prose" and kind(" ".join([sentence] * 400)) != "prose" and kind("\n\n".join([sentence, other] * 3)) != "prose"
+
+
 def test_top_ngrams_equal_brute_force():
     rng = random.Random(0)
     words = [rng.choice("aa bbb c dddd ee".split()) for _ in range(60)]
@@ -222,11 +231,11 @@ def test_all_lines_of_a_body_are_classified(spark, model, monkeypatch):
     rows = [(1, "it", items, None), (2, "it", foreign, None), (3, "it", "Ciao", None), (4, "it", None, None)]
     df = spark.createDataFrame(rows, "rec_id long, label string, text string, gone array<bigint>").withColumn("source", F.lit("local_import"))
     made = language.segments(df, model, "rec_id").orderBy("rec_id", "segment").collect()
-    assert [(r.rec_id, r.lang) for r in made] == [(1, "it"), (2, "it"), (2, "en"), (2, "de")]
-    assert made[0].words == 19 and made[0].lead == 0 and all(r.lead > language.LEAD for r in made[1:])
+    assert [(r.rec_id, r.lang) for r in made] == [(1, "it"), (2, "it"), (2, "en"), (2, "de"), (3, "it")]
+    assert made[0].words == 19 and made[0].lead == made[4].lead == 0 and all(r.lead > language.LEAD for r in made[1:4])
     monkeypatch.setattr(language, "labelled", lambda *_: df)
     monkeypatch.setattr(language, "model_for", lambda *_: model)
-    assert {r.rec_id: r.lang for r in language.p3_documents(spark, "").collect()} == {1: "it", 2: "it", 3: None, 4: None}
+    assert {r.rec_id: r.lang for r in language.p3_documents(spark, "").collect()} == {1: "it", 2: "it", 3: "it", 4: None}
     assert {(r.rec_id, r.lang) for r in language.p3_found(spark, "").collect()} == {(2, "en"), (2, "de")}
 
 
@@ -249,6 +258,9 @@ CASES = [
     ("Definisci il ponte in due frasi brevi.", "Definisci il ponte in due frasi brevi.\nIl ponte unisce due sponde del fiume e regge il peso dei carri.", None),
     ("Definisci il ponte.", "The bridge joins the two banks of the river.", "language"), ("Traduci in inglese: il ponte è vecchio.", "The bridge is old and the river is wide.", None), ("Rispondi in tedesco: dove?", "Il ponte si trova vicino alla casa.", "language"),
     ("Definisci il ponte.", "Il ponte unisce le due sponde del fiume e regge il", "truncated"), ("Definisci il ponte.", "```python\ndef a():\n    return", "truncated"), ("Elenca i passi.", "Ecco:\n1. Monta il ponte\n2.", "truncated"),
+    ("Definisci il ponte in due frasi brevi.", " ".join(["Definisci il ponte in due frasi brevi."] * 3), "copy"), ("Dimmi dove si trova.", "A Borgo Vilsarna.", None), ("Dimmi se è vero.", "No.", None),
+    ("Chi ha aperto il museo di Torre?", "Mi dispiace.\nNon posso aiutarti con questa richiesta. Prova altrove. Ci sono altre fonti. Buona giornata. A presto.", "refusal"),
+    ("Racconta.", "Il custode aprì la porta. La piazza era vuota. Poi disse: non posso aiutarti con questa richiesta. E se ne andò.", None),
     ("Elenca i passi.", "Ecco i passi:\n- Monta il ponte\n- Controlla il ponte", None), ("Quanti?", "738", None), ("Chi?", "Anna Verdi", None), ("È vero?", "Sì.", None), (None, "Una risposta intera.", None),
 ]
 

@@ -29,8 +29,8 @@ LANGUAGES = ("it", "en", "fr", "de", "es")
 NGRAMS, SPACE, LANDMARKS, RIDGE = (3, 4), 1 << 17, 400, 0.05
 #: Labelled rows looked at for each language (a bounded sample by a hash of the id), and sentences taken of them.
 SAMPLE_ROWS, SAMPLE_SENTENCES = 250, 700
-#: Words of the shortest sentence that is judged, and how far its language must lead the stated ones.
-LEAST_WORDS, LEAD = 4, 0.5
+#: Words of the shortest sentence that is judged by itself, and how far its language must lead the next one to count as another than the label's.
+LEAST_WORDS, LEAD = 2, 0.5
 
 # Names of the languages, codes first.
 NAMES = {
@@ -173,7 +173,8 @@ class Unit(NamedTuple):
 def body_units(text: str, skip_unprosaic: bool, lines: list[int] | None = None) -> list[Unit]:
     """All words of a text's main body, lower-case, in units; one of fewer than LEAST_WORDS words goes with its neighbour.
 
-    None if the body isn't prose and that matters, or has fewer than LEAST_WORDS words; `lines` are
+    A body of fewer words is one unit; a text without body (all of it furniture) is judged as a whole, but holds no whole
+    sentence. Empty if the text has no words, or its body isn't prose and that matters; `lines` are
     the furniture's as in `taken_away`.
     """
     plains, bits, numbers = [], [], []
@@ -206,10 +207,12 @@ def body_units(text: str, skip_unprosaic: bool, lines: list[int] | None = None)
                 out.append(Unit(pending, False, False))
                 pending = []
             out.append(Unit(words, True, prosaic))
-    if len(pending) >= LEAST_WORDS:
+    if len(pending) >= LEAST_WORDS or pending and not out:
         out.append(Unit(pending, False, False))
-    elif pending and out:
+    elif pending:
         out[-1] = out[-1]._replace(more=len(pending))
+    if not out and (words := [w for plain in plains for w in _WORD.findall(plain.lower())]):
+        out.append(Unit(words, False, False))
     return [] if skip_unprosaic and prose < PROSE_SHARE * body else out
 
 
@@ -261,8 +264,8 @@ def segments(df: DataFrame, model: Classifier, *keep: str, unprosaic: str | None
     """(keep…, segment, lang, confidence, lead, words): runs of sentences of one language in each text's main body.
 
     `lead` is how far the segment's best whole sentence leads the language next to it, 0 if it has
-    none: short, listed and unended lines are judged too, but together. Bodies of fewer than
-    LEAST_WORDS words have no segments. `unprosaic` names a boolean column; where
+    none: short, listed and unended lines are judged too, but together. `confidence` is the mean over its words. A
+    text without body is one segment, judged as a whole. `unprosaic` names a boolean column; where
     it is true, a text whose body isn't prose has no segments. `gone` names a column with the numbers
     of each text's furniture lines; where it is null, phrases alone tell them. Null, empty and blank texts have none.
     """
@@ -283,7 +286,9 @@ def segments(df: DataFrame, model: Classifier, *keep: str, unprosaic: str | None
                 k = number = 0
                 for k in range(lo, hi):
                     if k > lo and lang[-1] == LANGUAGES[best[k]]:
-                        conf[-1], led[-1], count[-1] = max(conf[-1], float(sure[k])), max(led[-1], float(lead[k])), count[-1] + len(words[k]) + units[k].more
+                        n_words = len(words[k]) + units[k].more
+                        conf[-1] += (float(sure[k]) - conf[-1]) * n_words / (count[-1] + n_words)
+                        led[-1], count[-1] = max(led[-1], float(lead[k])), count[-1] + n_words
                         continue
                     number += 1
                     at.append(row)
@@ -344,9 +349,9 @@ def p3_segments(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def p3_documents(spark: SparkSession, directory: str) -> DataFrame:
-    """The main language of every record, by words, with its share and confidence; nulls where the body has too few words to tell."""
+    """The main language of every record, by words, with its share and confidence (of its words' segments); nulls where the text has no words."""
     rows = labelled(spark, directory)
-    by = segments(rows, model_for(spark, directory, rows), "source", "rec_id", gone="gone").groupBy("source", "rec_id", "lang").agg(F.sum("words").alias("words"), F.max("confidence").alias("confidence"))
+    by = segments(rows, model_for(spark, directory, rows), "source", "rec_id", gone="gone").groupBy("source", "rec_id", "lang").agg(F.sum("words").alias("words"), (F.sum(F.col("confidence") * F.col("words")) / F.sum("words")).alias("confidence"))
     best = by.groupBy("source", "rec_id").agg(F.max(F.struct("words", "lang", "confidence")).alias("b"), F.sum("words").alias("total"))
     told = best.select("source", "rec_id", F.col("b.lang").alias("lang"), (F.col("b.words") / F.col("total")).alias("share"), F.col("b.confidence").alias("confidence"))
     return rows.select("source", "rec_id").join(told, ["source", "rec_id"], "left")
