@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import json
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from tramoggia.functions import text as tx
 
@@ -83,6 +87,25 @@ def trimmed_completion(text: Column) -> Column:
     return tx.strip(tx.replace(tx.kept_lines(cut, lambda line: ~line.rlike(tx.SEPARATOR_LINE)), (tx.SYMBOL_RUN, " ")))
 
 
+@F.pandas_udf(StringType())
+def _strict(lines: pd.Series) -> pd.Series:
+    """Lines that only a lenient reader takes, with numbers such as NaN as text and the last of equal keys; null where they are no JSON."""
+
+    def one(line):
+        try:
+            return None if line is None else json.dumps(json.loads(line, parse_constant=lambda c: {"NaN": "nan", "Infinity": "inf", "-Infinity": "-inf"}[c]), ensure_ascii=False)
+        except (ValueError, RecursionError):
+            return None
+
+    return lines.map(one)
+
+
+def json_line(line: Column) -> Column:
+    """The line as JSON that Spark parses: itself as a rule; one with NaN or repeated keys is written anew, outside the JVM."""
+    good = F.try_parse_json(line).isNotNull()
+    return F.when(good, line).otherwise(_strict(F.when(~good, line)))
+
+
 def open_text(value: Column) -> Column:
     """A VARIANT as text: strings as they are, numbers spelled, lists joined by line feeds, objects by their text key."""
 
@@ -91,7 +114,7 @@ def open_text(value: Column) -> Column:
         item = lambda x: F.coalesce(F.try_variant_get(x, "$", "string"), F.try_variant_get(x, "$.text", "string"), F.lit(""))
         listed = F.array_join(F.filter(F.transform(F.try_variant_get(v, "$", "array<variant>"), item), lambda t: t != ""), "\n")
         keyed = F.coalesce(*[F.try_variant_get(v, f"$.{k}", "string") for k in ("text", "content", "value", "answer", "output")], F.to_json(v))
-        return F.when(v.isNull() | F.is_variant_null(v), F.lit("")).when(kind.startswith("ARRAY"), listed).when(kind.startswith("OBJECT"), keyed).otherwise(F.try_variant_get(v, "$", "string"))
+        return F.when(v.isNull() | F.is_variant_null(v), F.lit("")).when(kind.startswith("ARRAY"), listed).when(kind.startswith("OBJECT"), keyed).when(kind == "BOOLEAN", F.initcap(F.try_variant_get(v, "$", "string"))).otherwise(F.try_variant_get(v, "$", "string"))
 
     return tx.bound(value, spelled)
 
@@ -158,10 +181,9 @@ def normalized(df: DataFrame, column: str = "line", source: str | None = None, l
     itself win over adapted ones. Columns of `df` must not begin with an underscore. `bad` marks lines that are no JSON; a row that isn't an object is a
     text. Rows are kept whatever they hold.
     """
-    row = F.try_parse_json(F.col(column))
     listed = F.col("_keys")
-    keys = F.json_object_keys(F.col(column))
-    base = df.withColumns({"_row": row, "_keys": F.coalesce(keys, F.array().cast("array<string>"))})
+    base = df.withColumn("_line", json_line(F.col(column)))
+    base = base.withColumns({"_row": F.try_parse_json("_line"), "_keys": F.coalesce(F.json_object_keys("_line"), F.array().cast("array<string>"))})
     r = F.col("_row")
     has = lambda *ks: F.arrays_overlap(listed, F.array(*[F.lit(k) for k in ks]))
     scalar = lambda k: F.try_variant_get(r, f"$.{k}", "string")
@@ -192,7 +214,7 @@ def normalized(df: DataFrame, column: str = "line", source: str | None = None, l
     with_input = F.when(has("instruction") & (extra != "") & (extra != instruction), F.concat(tx.whitespace(instruction), F.lit("\n\nInput:\n"), tx.whitespace(extra))).otherwise(tx.whitespace(instruction))
     cases = {
         "_choice": (a == "choice") & (question != "") & (F.size(options) > 0) & (gold >= 0) & (gold < F.size(options)), "_extractive": (a == "extractive") & (ctx != "") & (asked != "") & (answer != ""),
-        "_forum": (a == "forum") & (forum_q != "") & (forum_a != ""), "_qa": (a == "generic") & (F.col("_plain_q") != "") & (F.col("_plain_a") != ""),
+        "_forum": (a == "forum") & (forum_q != "") & (forum_a != ""), "_qa": (a == "generic") & ~(has("prompt") & has("completion")) & (F.col("_plain_q") != "") & present(r, "answer", "answers").isNotNull(),
         "_pair": a.isin("instruction", "generic") & ~is_chat & (instruction != "") & (output != ""), "_chat": is_chat,
     }
     base = base.withColumns(cases)
@@ -213,8 +235,12 @@ def normalized(df: DataFrame, column: str = "line", source: str | None = None, l
     tongue = F.coalesce(scalar("language"), F.lit(language), F.when(a == "forum", F.lit("en")).when(a.isin("choice", "extractive") | (low == "evol_instruct_italian"), F.lit("it")))
     known = {"choice": "piqa_italian", "extractive": "squad_it", "forum": "stackexchange_auto"}
     named = F.coalesce(F.col("_source"), *[F.when(a == k, F.lit(v)) for k, v in known.items()])
-    whole = F.when(F.col("_keys").isNull() | (F.size("_keys") == 0) & r.isNotNull(), open_text(r)).otherwise(F.lit(None))
-    meta = F.map_filter(F.create_map(F.lit("id"), scalar("id"), F.lit("task"), F.coalesce(F.try_variant_get(r, "$.metadata.category", "string"), scalar("task")), F.lit("schema_adapter"), F.create_map(*[F.lit(x) for kv in known.items() for x in kv])[a]), lambda k, v: v.isNotNull())
+    whole = F.when(~F.schema_of_variant(r).startswith("OBJECT"), open_text(r))
+    tasks = {"choice": "physical_reasoning", "extractive": "extractive_qa", "forum": "automotive_qa"}
+    by_adapter = lambda values: F.create_map(*[F.lit(x) for kv in values.items() for x in kv])[a]
+    task = F.coalesce(F.when(a == "choice", F.try_variant_get(r, "$.metadata.category", "string")), scalar("task"), by_adapter(tasks))
+    entries = F.create_map(F.lit("id"), F.when(a != "forum", scalar("id")), F.lit("task"), task, F.lit("schema_adapter"), by_adapter(known))
+    meta = F.when(a.isin(*known), F.map_filter(entries, lambda k, v: v.isNotNull())).otherwise(F.create_map().cast("map<string,string>"))
     result = {
         "source": named, "language": tongue, "format": shape, "text": tx.whitespace(F.coalesce(own("text", F.lit(None)), whole)),
         "prompt": tx.whitespace(own("prompt", made_prompt)), "completion": tx.whitespace(own("completion", made_completion)),

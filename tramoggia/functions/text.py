@@ -158,8 +158,12 @@ def without_web_lines(text: Column, pure: bool = False) -> Column:
 
 
 def web(text: Column, pure: bool = False) -> Column:
-    plain = without_separators(without_urls(without_tags(text, pure)), pure)
-    return without_web_lines(replace(plain, (words_pattern(WEB_NOTICES), " ")), pure)
+    """A web page without tags, addresses, separators, notices and short lines of page phrases.
+
+    Composed once, after the tags are gone: later steps put only blanks and line feeds, which nothing composes with.
+    """
+    plain = without_separators(without_urls(without_tags(text, pure)), True)
+    return without_web_lines(replace(plain, (words_pattern(WEB_NOTICES), " ")), True)
 
 
 def forum(text: Column, pure: bool = False) -> Column:
@@ -213,11 +217,11 @@ def wiki(text: Column, pure: bool = False) -> Column:
     section = r"(?iu)(?:\n|^)(?:==+ *|)(?:" + "|".join(SERVICE_SECTIONS) + r")(?: *==+|\n|:)"
     head = F.split(plain, section, 2)[0]
     steps = (
-        (r"--[^\n]*?(?:\d{1,2}:\d{2}|\d{1,2}[ \t\xa0]+[a-zA-Z]+[ \t\xa0]+\d{4})[^\n]*", " "),
+        (rf"--[^\n]*?(?:\d{{1,2}}:\d{{2}}|\d{{1,2}}{S}+[a-zA-Z]+{S}+\d{{4}})[^\n]*", " "),
         (r"\{\{(?:[^{}]++|\{[^{}]*+\})*+\}\}", " "), (r"(?d)\{\{.*?\}\}", " "), (rf"{S}\|[A-Za-zÀ-ÿ0-9 _-]{{1,40}}{S}*=[^|{{}}]*", " "),
         (r"\[\[(?:[^\]|\n]*\|)?([^\]|\n]+)\]\]", "$1"), (r"(?d)\[\[.*?\]\]", " "), (r"\^{2,}", " "),
     )
-    middle = without_separators(replace(head, *steps), pure)
+    middle = without_separators(replace(head, *steps), True)  # composed at the end
     rest = (
         (r"(?d)<(?!\|).*?>", " "), (URL, " "), (rf"(?i)(?<!{NS}){NS}+\.{_MEDIA}\b", " "),
         (r"\b(?=[A-Za-z0-9]*\d)(?=[A-Za-z0-9]*[A-Za-z])[A-Za-z0-9]{8,}\b", " "), (r"\bCategoria:[^\n]+", " "),
@@ -264,8 +268,18 @@ def alpha_ratio(text: Column) -> Column:
     return F.when(text != "", _share(text, F.regexp_replace(text, r"\p{L}+", "")))
 
 
+def _digits() -> str:
+    """A class of the decimal digits and of the further digits (superscripts, circled ones and the like) that Unicode gives a digit value."""
+    further = [c for c in range(0x20000) if chr(c).isdigit() and unicodedata.category(chr(c)) != "Nd"]
+    starts = [c for c in further if c - 1 not in further]
+    return r"[\p{Nd}" + "".join(f"\\x{{{c:x}}}-\\x{{{next(e for e in range(c, 0x20000) if e + 1 not in further):x}}}" for c in starts) + "]+"
+
+
+DIGITS = _digits()
+
+
 def digit_ratio(text: Column) -> Column:
-    return F.when(text != "", _share(text, F.regexp_replace(text, r"[\p{Nd}²³¹⁰⁴-⁹₀-₉①-⑨]+", "")))
+    return F.when(text != "", _share(text, F.regexp_replace(text, DIGITS, "")))
 
 
 def safe_name(path: Column) -> Column:

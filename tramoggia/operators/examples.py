@@ -23,7 +23,7 @@ TOKENIZING = (
     ("fineweb2_it", "lm", MAX_LENGTH, 48, None, None, "text"),
     ("stackexchange_auto", "sft", 1536, 24, "tail", None, "qa"),
     ("local_import", "auto", MAX_LENGTH, 16, "tail", "last", None),
-    ("*_personality", "chat", 1024, 16, "tail", "all", "chat"),
+    ("*personality", "chat", 1024, 16, "tail", "all", "chat"),
 )
 _SPEC = "profile string, mode string, max_length int, min_tokens int, keep string, turns string, out_format string"
 

@@ -21,7 +21,7 @@ CLEANING = (
     ("fineweb2_it", 260, 0.55, 0.25, True),
     ("stackexchange_auto", 80, 0.35, 0.45, False),
     ("local_import", 40, 0.30, 0.55, True),
-    ("*_personality", 40, 0.35, 0.45, False),
+    ("*personality", 40, 0.35, 0.45, False),
 )
 #: Of sources without a profile: text, structured.
 DEFAULTS = ((400, 0.6, 0.2), (40, 0.4, 0.35))
@@ -43,20 +43,20 @@ def terms_pattern(terms: tuple[str, ...]) -> str:
     return r"(?iu)(?<![a-z0-9])(?:" + "|".join(terms) + r")(?![a-z0-9])"
 
 
-def profile_key(source: Column) -> Column:
-    """The profile's name for a source: its own, or a pattern's."""
+def profile_key(source: Column, personality: str | None = None) -> Column:
+    """The profile's name for a source: its own, or that of the source named `personality`, the assistant's own dialogues."""
     plain = tx.strip(source)
-    return F.when(plain.endswith("_personality"), F.lit("*_personality")).otherwise(plain)
+    return F.when(plain == F.lit(personality), F.lit("*personality")).otherwise(plain)
 
 
 def cleaning_profiles(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(list(CLEANING), "profile string, min_length int, min_alpha double, max_digit double, detect boolean")
 
 
-def with_profile(df: DataFrame) -> DataFrame:
+def with_profile(df: DataFrame, personality: str | None = None) -> DataFrame:
     """`df` (source, format) with its profile's thresholds; nulls of unknown sources take the defaults, but for `detect`."""
     profiles = F.broadcast(cleaning_profiles(df.sparkSession))  # nine rows
-    joined = df.withColumn("profile", profile_key(F.col("source"))).join(profiles, "profile", "left").drop("profile")
+    joined = df.withColumn("profile", profile_key(F.col("source"), personality)).join(profiles, "profile", "left").drop("profile")
     structured = F.coalesce(F.col("format"), F.lit("text")) != "text"
     by_form = lambda k: F.when(structured, F.lit(DEFAULTS[1][k])).otherwise(F.lit(DEFAULTS[0][k]))
     return joined.withColumns({c: F.coalesce(c, by_form(k)) for k, c in enumerate(("min_length", "min_alpha", "max_digit"))})
@@ -100,15 +100,40 @@ def language_allowed(language: Column, detected: Column, allowed: tuple[str, ...
     return F.when((stated != "") & ~stated.isin(*allowed), False).when(trusted, True).otherwise(F.coalesce(detected.isin(*allowed), F.lit(False)))
 
 
-def clean_samples(df: DataFrame, detector: Callable[[Column, Column], Column] | None = None, allowed: tuple[str, ...] = ("it",), formats: tuple[str, ...] = (), strict: bool = False) -> DataFrame:
+# Frequent function words by language, most of them in one of the languages only.
+FUNCTION_WORDS = {
+    "it": "il lo gli della delle degli nel nella che non con per una sono è più anche come questo dopo alla dal",
+    "en": "the of and to in is was with for that this are by from not have which you it be",
+    "fr": "le les des du et est dans une pour que qui pas sur avec au ce sont par plus il",
+    "de": "der die das und ist nicht mit ein eine den dem von zu auf für sich als auch es im",
+    "es": "el los las del y es en una por con que para se no su al como más pero este",
+}
+
+
+def detected_language(text: Column) -> Column:
+    """The language whose function words make up most of a text's words; null where none of them occurs."""
+    words = F.regexp_extract_all(F.lower(text), F.lit(r"(\p{L}+)"), F.lit(1))
+    listed = {lang: F.array(*[F.lit(w) for w in known.split()]) for lang, known in FUNCTION_WORDS.items()}
+
+    def counted(found: Column) -> Column:
+        of = lambda lang: F.size(F.filter(found, lambda w: F.array_contains(listed[lang], w)))
+        return F.array_max(F.array(*[F.struct(of(lang).alias("n"), F.lit(lang).alias("lang")) for lang in FUNCTION_WORDS]))
+
+    best = tx.bound(words, counted)
+    return F.when(best["n"] > 0, best["lang"])
+
+
+def clean_samples(
+    df: DataFrame, detector: Callable[[Column], Column] = detected_language, allowed: tuple[str, ...] = ("it",), formats: tuple[str, ...] = (), strict: bool = False, personality: str | None = None
+) -> DataFrame:
     """Samples (source, language, format, text, prompt, completion, messages …) cleaned, filtered and rendered.
 
     Adds `rendered`. The format filter comes first, being cheap and untouched by cleaning; each branch of
     cleaners is planned on its own rows, so that no row goes through another branch's patterns.
-    `detector` (text, language → language) may be any expression; by default the stated language is taken.
+    `detector` (text → language) may be any expression, such as a classifier's UDF; by default function words tell. It is
+    asked only where the gate needs it.
     Unknown columns are kept, null texts are empty.
     """
-    detector = detector or (lambda text, language: F.lower(tx.strip(F.coalesce(language, F.lit("")))))
     if formats:
         df = df.where(F.col("format").isin(*formats))
     df = df.withColumn("format", F.coalesce("format", F.lit("text")))
@@ -135,5 +160,5 @@ def clean_samples(df: DataFrame, detector: Callable[[Column, Column], Column] |
     # The cleaned corpus is written: else every filter would be pushed below the cleaners and repeat them.
     rendered = stage(rendered, "cleaned")
     text = F.col("rendered")
-    kept = with_profile(rendered).where(passes_source(F.coalesce("source", F.lit("")), *sides[:2], text) & ~low_quality(text, F.coalesce("source", F.lit("")), F.col("format"), strict) & valid(text))
-    return kept.where(language_allowed(F.col("language"), detector(text, F.col("language")), allowed)).drop("min_length", "min_alpha", "max_digit", "detect")
+    kept = with_profile(rendered, personality).where(passes_source(F.coalesce("source", F.lit("")), *sides[:2], text) & ~low_quality(text, F.coalesce("source", F.lit("")), F.col("format"), strict) & valid(text))
+    return kept.where(language_allowed(F.col("language"), detector(text), allowed)).drop("min_length", "min_alpha", "max_digit", "detect")

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tramoggia.operators.series import asof_backward, last_rows, trailing_mean
+from tramoggia.session import stage
 
 
 def number(value: Column) -> Column:
@@ -25,10 +26,15 @@ def entries(history: DataFrame) -> DataFrame:
 
 
 def pivot(history: DataFrame) -> DataFrame:
+    """`pivoted` of a log as it was received."""
+    return pivoted(entries(history))
+
+
+def pivoted(once: DataFrame) -> DataFrame:
     """(run_id, step, train_loss, perplexity, learning_rate, eval_loss, eval_perplexity): train and eval entries of a step side by side."""
     of = lambda kind, c: F.max(F.when(F.col("type") == kind, number(F.col(c))))
     made = {"train_loss": of("train", "loss"), "perplexity": of("train", "perplexity"), "learning_rate": of("train", "learning_rate"), "eval_loss": of("eval", "loss"), "eval_perplexity": of("eval", "perplexity")}
-    return entries(history).groupBy("run_id", "step").agg(*[v.alias(k) for k, v in made.items()])
+    return once.groupBy("run_id", "step").agg(*[v.alias(k) for k, v in made.items()])
 
 
 def smoothed(rows: DataFrame, window: int = 16, rate_window: int = 4) -> DataFrame:
@@ -45,13 +51,15 @@ def rate_of(rows: DataFrame, n: int, name: str) -> DataFrame:
 
 def trends(history: DataFrame, span: int = 120) -> DataFrame:
     """Per run: recent against previous mean loss, its spread, the best step, steps a minute, the gap to evaluation, a verdict."""
-    rows = pivot(history)
+    # Both are read several times: the log itself is read and made unique once.
+    once = stage(entries(history), "log-entries")
+    rows = stage(pivoted(once), "log-steps")
     train = rows.where("train_loss is not null")
     recent = last_rows(train, "run_id", "step", 2 * span)
     now = F.col("back") < span
     stats = recent.groupBy("run_id").agg(F.avg(F.when(now, F.col("train_loss"))).alias("recent_avg"), F.avg(F.when(~now, F.col("train_loss"))).alias("previous_avg"), F.stddev_pop(F.when(now, F.col("train_loss"))).alias("volatility"))
     best = train.groupBy("run_id").agg(F.min(F.struct("train_loss", "step")).alias("b")).select("run_id", F.col("b.train_loss").alias("best_loss"), F.col("b.step").alias("best_step"))
-    speed = rate_of(entries(history).where("type = 'train'"), 80, "timed")
+    speed = rate_of(once.where("type = 'train'"), 80, "timed")
     per_minute = F.when((F.col("timed_seconds") > 0) & (F.col("timed_steps") > 0), F.col("timed_steps") / F.col("timed_seconds") * 60)
     trend = F.when(F.col("previous_avg") != 0, (F.col("recent_avg") - F.col("previous_avg")) / F.col("previous_avg") * 100)
     out = stats.join(best, "run_id").join(speed, "run_id", "left").join(gaps(rows).where("latest").select("run_id", "eval_gap"), "run_id", "left")
@@ -92,7 +100,8 @@ def periods(history: DataFrame, left: int | None = None, right: int | None = Non
     """Per run, over a range of steps (all by default): ends, change, straight trend, extremes, spread, rates, behaviour."""
     bounds = [b for b in (left, right) if b is not None]
     inside = F.col("step").between(min(bounds), max(bounds)) if len(bounds) == 2 else F.col("step") >= left if left is not None else F.col("step") <= right if right is not None else F.lit(True)
-    rows = pivot(history).where(inside)
+    once = stage(entries(history).where(inside), "log-entries")
+    rows = stage(pivoted(once), "log-steps")
     train = rows.where("train_loss is not null")
     point = F.struct("step", "train_loss", "learning_rate")
     stats = train.groupBy("run_id").agg(
@@ -100,7 +109,7 @@ def periods(history: DataFrame, left: int | None = None, right: int | None = Non
         F.min(F.struct("train_loss", "step")).alias("best"), F.max(F.struct(F.col("train_loss"), (-F.col("step")).alias("back"))).alias("worst"),
         F.regr_slope("train_loss", "step").alias("slope"), F.avg("perplexity").alias("avg_perplexity"),
     )
-    raw = entries(history).where(inside & (F.col("type") == "train"))
+    raw = once.where("type = 'train'")
     timed = F.when(F.col("timestamp").isNotNull(), F.struct("step", "timestamp"))
     work = raw.groupBy("run_id").agg(F.min(timed).alias("t0"), F.max(timed).alias("t1"), F.sum("tokens").alias("tokens_total"), F.avg("tokens").alias("tokens_avg"), (F.avg(F.coalesce("cpu_optimizer_active", F.lit(False)).cast("double")) * 100).alias("cpu_optimizer_share"))
     evals = gaps(rows).groupBy("run_id").agg(F.count("*").alias("eval_count"), F.max(F.when(F.col("latest"), F.col("eval_gap"))).alias("eval_gap"))

@@ -70,8 +70,9 @@ def forum_subject(s: SparkSession, d: str) -> DataFrame:
 
 
 def language_gate(s: SparkSession, d: str) -> DataFrame:
-    docs = filters.with_profile(table(s, d, "documents").select("doc_id", "source", "format", "lang"))
-    return docs.select("doc_id", filters.language_allowed(F.col("lang"), F.lower(F.trim("lang"))).alias("allowed"))
+    """Whether a document's language passes: the stated one, and the detected one where the profile asks for it."""
+    docs = filters.with_profile(table(s, d, "documents").select("doc_id", "source", "format", "lang", "text"))
+    return docs.select("doc_id", filters.language_allowed(F.col("lang"), filters.detected_language(F.coalesce("text", F.lit("")))).alias("allowed"))
 
 
 def clean_pipeline(s: SparkSession, d: str) -> DataFrame:
