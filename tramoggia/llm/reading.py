@@ -1,9 +1,10 @@
 """Reading level of documents from the surprisal of graded n-gram models.
 
 Each level of the graded samples has an interpolated word trigram model. For every bound between
-two levels, a document's score is the mean over all its tokens of how much more surprising they
-are to the models up to the bound than to those above it. Isotonic regression on graded documents
-maps each score monotonically to the probability of lying above the bound.
+two levels, a token's lead is how much more surprising it is to the models up to the bound than to those
+above it, and a document has the distribution of its tokens' leads: their mean and three points of it. A
+combination of these that can only rise with each of them, fitted on graded documents, and isotonic regression on
+the same map the distribution monotonically to the probability of lying above the bound.
 """
 
 from __future__ import annotations
@@ -99,9 +100,9 @@ class Graded:
         return offsets, out
 
     def measures(self, texts: list[list[str]]) -> np.ndarray:
-        """texts × (a score for each of the bounds, then mean and 10, 50, 90 % points of the surprisal in bits)."""
+        """texts × (for each of the bounds mean and 10, 50, 90 % points of the tokens' leads, then the same of the surprisal), in bits."""
         offsets, p = self.probabilities(texts)
-        out = np.full((len(texts), LEVELS + 3), np.nan)
+        out = np.full((len(texts), 4 * LEVELS), np.nan)
         full = np.diff(offsets) > 0
         if not full.any():
             return out
@@ -112,12 +113,13 @@ class Graded:
         high = (total[:, None] - sums[:, :-1]) / (LEVELS - bound)
         lead = np.log2(high) - np.log2(low)
         sizes = np.diff(offsets)[full]
-        out[full, : LEVELS - 1] = np.add.reduceat(lead, offsets[:-1][full], axis=0) / sizes[:, None]
-        bits = -np.log2(total / LEVELS)
-        out[full, LEVELS - 1] = np.add.reduceat(bits, offsets[:-1][full]) / sizes
-        for k in np.flatnonzero(full):
-            part = np.sort(bits[offsets[k] : offsets[k + 1]])
-            out[k, LEVELS:] = part[[len(part) // 10, len(part) // 2, len(part) * 9 // 10]]
+        each = np.concatenate([lead, -np.log2(total / LEVELS)[:, None]], axis=1)
+        made = np.empty((len(sizes), LEVELS, 4))
+        made[:, :, 0] = np.add.reduceat(each, offsets[:-1][full], axis=0) / sizes[:, None]
+        for row, k in enumerate(np.flatnonzero(full)):
+            part = np.sort(each[offsets[k] : offsets[k + 1]], axis=0)
+            made[row, :, 1:] = part[[len(part) // 10, len(part) // 2, len(part) * 9 // 10]].T
+        out[full] = made.reshape(len(sizes), -1)
         return out
 
 
@@ -142,7 +144,23 @@ def step(x: np.ndarray, knots: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
     return np.interp(x, places, values) if len(places) else np.full(len(x), 0.5)
 
 
-_MEASURES = [f"above_{k}" for k in range(1, LEVELS)] + ["mean_bits", "bits_10", "bits_50", "bits_90"]
+def rising(x: np.ndarray, y: np.ndarray, rounds: int = 200) -> np.ndarray:
+    """Weights of the columns of x, none negative, whose sum fits y best (least squares by coordinate descent); the first column alone where none helps."""
+    weights = np.zeros(x.shape[1])
+    scale = x.std(axis=0) if len(x) else np.ones(x.shape[1])
+    scale[scale == 0] = np.inf
+    z, rest = (x - x.mean(axis=0)) / scale if len(x) else x, y - y.mean() if len(y) else y
+    norms = (z * z).sum(axis=0)
+    for _ in range(rounds):
+        for k in np.flatnonzero(norms):
+            new = max(0.0, weights[k] + z[:, k] @ rest / norms[k])
+            rest = rest - (new - weights[k]) * z[:, k]
+            weights[k] = new
+    return weights / scale if weights.any() else np.eye(1, x.shape[1])[0]
+
+
+_POINTS = ("", "_10", "_50", "_90")
+_MEASURES = [f"above_{k}{p}" for k in range(1, LEVELS) for p in _POINTS] + ["mean_bits", "bits_10", "bits_50", "bits_90"]
 
 
 def measured(df: DataFrame, model: Graded, *keep: str, text: str = "text") -> DataFrame:
@@ -181,8 +199,13 @@ def grades(labels: DataFrame) -> DataFrame:
 class Scale:
     """Models and regressions: from texts to levels."""
 
-    def __init__(self, model: Graded, steps: list[tuple[np.ndarray, np.ndarray]]):
-        self.model, self.steps = model, steps
+    def __init__(self, model: Graded | None, weights: list[np.ndarray], steps: list[tuple[np.ndarray, np.ndarray]]):
+        self.model, self.weights, self.steps = model, weights, steps
+
+    def expected(self, leads: np.ndarray) -> np.ndarray:
+        """The expected levels of texts × (bounds × points) leads."""
+        each = leads.reshape(len(leads), LEVELS - 1, len(_POINTS))
+        return 1 + sum(step(each[:, k] @ w, s) for k, (w, s) in enumerate(zip(self.weights, self.steps)))
 
     @classmethod
     def fit(cls, samples: DataFrame, documents: DataFrame, labels: DataFrame) -> Scale:
@@ -195,34 +218,36 @@ class Scale:
             graded = graded.where(F.pmod(F.xxhash64(F.lit(9), "doc_id"), F.lit(1_000_000)) < int(1_000_000 * GRADED / n))
         texts = lookup(documents.select("doc_id", "text"), graded, "doc_id", "inner")
         found = measured(texts, model, "grade").where("above_1 is not null").collect()
-        x = np.array([[r[f"above_{k}"] for k in range(1, LEVELS)] for r in found] or np.zeros((0, LEVELS - 1)))
+        leads = _MEASURES[: len(_POINTS) * (LEVELS - 1)]
+        x = np.array([[r[m] for m in leads] for r in found] or np.zeros((0, len(leads))))
         y = np.array([r.grade for r in found])
         # Samples are scored by models of the other samples, else they would seem easier than new texts of their level.
         for fold in range(FOLDS):
             held = [(g, t) for k, (g, t) in enumerate(rows) if k % FOLDS == fold and t]
             other = Graded.fit([row for k, row in enumerate(rows) if k % FOLDS != fold])
             if held:
-                x = np.concatenate([x, other.measures([tokens(t) for _, t in held])[:, : LEVELS - 1]])
+                x = np.concatenate([x, other.measures([tokens(t) for _, t in held])[:, : len(leads)]])
                 y = np.concatenate([y, [g for g, _ in held]])
+        each = x.reshape(len(x), LEVELS - 1, len(_POINTS))
         # A grade on a bound counts as half above it.
-        steps = [isotonic(x[:, k - 1], np.where(y > k + 0.5, 1.0, np.where(y == k + 0.5, 0.5, 0.0))) for k in range(1, LEVELS)] if len(y) else [(np.zeros(0), np.zeros(0))] * (LEVELS - 1)
-        return cls(model, steps)
+        above = [np.where(y > k + 0.5, 1.0, np.where(y == k + 0.5, 0.5, 0.0)) for k in range(1, LEVELS)]
+        weights = [rising(each[:, k], above[k]) for k in range(LEVELS - 1)]
+        return cls(model, weights, [isotonic(each[:, k] @ weights[k], above[k]) for k in range(LEVELS - 1)])
 
     def levels(self, df: DataFrame, *keep: str, text: str = "text") -> DataFrame:
         """The columns `keep`, level (1 easiest … 5), difficulty (its expectation), the surprisal's distribution
         and whether the text is Italian; level and measures are null for texts without words."""
         scored = measured(df, self.model, *keep, text=text)
-        steps = self.steps
+        scale, leads = Scale(None, self.weights, self.steps), _MEASURES[: len(_POINTS) * (LEVELS - 1)]
 
         @F.pandas_udf("double")
-        def expected(a, b, c, d):
+        def expected(*columns):
             import pandas as pd
 
-            values = np.stack([np.asarray(v, float) for v in (a, b, c, d)], axis=1)
-            total = 1 + sum(step(values[:, k], steps[k]) for k in range(LEVELS - 1))
-            return pd.Series(np.where(np.isnan(values).any(axis=1), np.nan, total))
+            values = np.stack([np.asarray(v, float) for v in columns], axis=1)
+            return pd.Series(np.where(np.isnan(values).any(axis=1), np.nan, scale.expected(np.nan_to_num(values))))
 
-        raw = expected(*[F.col(m) for m in _MEASURES[: LEVELS - 1]])
+        raw = expected(*[F.col(m) for m in leads])
         difficulty = F.when(F.col("above_1").isNotNull(), raw)
         return scored.withColumn("difficulty", difficulty).withColumn("level", F.round("difficulty").cast("int"))
 
