@@ -90,7 +90,7 @@ def sketches(df: DataFrame, n: int, seed: int, trees: int) -> DataFrame:
         a, b = _multipliers(SIGNATURE, seed)
         roots, places = np.array(_roots(trees, seed), np.int64).view(np.uint64), _places(trees, seed)
         for batch in batches:
-            ids, classes, sizes, nodes, bits = [], [], [], [], []
+            ids, classes, sizes, found = [], [], [], []
             for rec_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 items = shingles(text, n)
                 if len(items):
@@ -98,11 +98,15 @@ def sketches(df: DataFrame, n: int, seed: int, trees: int) -> DataFrame:
                     with np.errstate(over="ignore"):
                         classes.append(int((np.bitwise_xor.reduce(items * _MIX) + items.sum()).view(np.int64)))
                     sizes.append(len(items))
-                    tokens = signature(items, a, b)
-                    nodes.append(_named(roots, np.broadcast_to(tokens, (trees, SIGNATURE)), places))
-                    low = tokens.astype(np.uint8) & 15
-                    bits.append((low[0::2] | low[1::2] << 4).tobytes())
-            chosen = pa.ListArray.from_arrays(pa.array(np.arange(len(ids) + 1) * trees, pa.int32()), pa.array(np.concatenate(nodes) if nodes else np.zeros(0, np.int64)))
+                    found.append(signature(items, a, b))
+            # All texts of a batch choose their nodes at once.
+            tokens = np.stack(found) if found else np.zeros((0, SIGNATURE), np.uint32)
+            rows = len(tokens)
+            nodes = _named(np.tile(roots, rows), tokens, np.tile(places, (rows, 1)), np.repeat(np.arange(rows), trees))
+            low = tokens.astype(np.uint8) & 15
+            raw = (low[:, 0::2] | low[:, 1::2] << 4).tobytes()
+            bits = [raw[k : k + SIGNATURE // 2] for k in range(0, len(raw), SIGNATURE // 2)]
+            chosen = pa.ListArray.from_arrays(pa.array(np.arange(rows + 1) * trees, pa.int32()), pa.array(nodes))
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(classes, pa.int64()), pa.array(sizes, pa.int32()), chosen, pa.array(bits, pa.binary())], names=["rec_id", "class", "size", "nodes", "bits"])
 
     return df.select("rec_id", "text").transform(mapped, run, "rec_id bigint, class bigint, size int, nodes array<bigint>, bits binary")
@@ -148,16 +152,16 @@ def _unpacked(raw: np.ndarray) -> np.ndarray:
     return out
 
 
-def _named(node: np.ndarray, tokens: np.ndarray, places: np.ndarray) -> np.ndarray:
-    """For each row the node that all its tokens at its `places` name, one step after the other."""
+def _named(node: np.ndarray, tokens: np.ndarray, places: np.ndarray, rows: np.ndarray | None = None) -> np.ndarray:
+    """For each node's name the one that its row's tokens at its `places` lead to, one step after the other."""
     for k in range(places.shape[1]):
-        node = _chosen(node, tokens, places[:, k : k + 1])[:, 0].view(np.uint64)
+        node = _chosen(node, tokens, places[:, k : k + 1], rows)[:, 0].view(np.uint64)
     return node.view(np.int64)
 
 
-def _chosen(node: np.ndarray, tokens: np.ndarray, places: np.ndarray) -> np.ndarray:
-    """For each row the children it goes to, by the tokens at its `places` (rows × choices)."""
-    rows, out = np.arange(len(node)), []
+def _chosen(node: np.ndarray, tokens: np.ndarray, places: np.ndarray, rows: np.ndarray | None = None) -> np.ndarray:
+    """The children each node's name leads to, by the tokens of its row (its own by default) at its `places` (names × choices)."""
+    rows, out = np.arange(len(node)) if rows is None else rows, []
     with np.errstate(over="ignore"):
         for at in places.T:
             h = (node ^ (node >> np.uint64(31))) * _MIX + (at.astype(np.uint64) << np.uint64(32)) + tokens[rows, at]
