@@ -31,6 +31,8 @@ def apply(spark, function, *texts):
         (tx.without_web_lines, "Home\nIl testo\nAccetta tutti", "Il testo"),
         (tx.structured, "ciao , mondo", "ciao, mondo"),
         (tx.dump, "'''Roma''' è [[città|una città]] {{x}} [[Italia]]", "Roma è una città Italia"),
+        (tx.wiki, "Testo -- Mario 12\nmaggio 2020 firma\nfine", "Testo\nfine"),
+        (tx.web, "<p>Caffe\u0301 &egrave; http://x.it\u0301 buono</p>\n========\nMenu", "Caffé è buono"),
         (tx.wiki, "Roma\nTesto [[A|b]] {{t|{x}|y}} qui .\n== Note ==\nzzz", "Roma\nTesto b qui."),
         (tx.without_lead_noise, "Alfa\n| x = 1 | y = 2 e altro residuo Alfa è una città.", "Alfa\nAlfa è una città."),
         (tx.subtitle_line, "- {\\i1}Ciao [rumore] <b>tu</b>\\Nqui", "Ciao tu qui"),
@@ -72,9 +74,9 @@ def test_ratios(spark):
 
 
 def test_valid_at_the_bounds(spark):
-    rows = [("x", "text", "a" * 240 + " " * 80 + "1" * 80), ("x", "text", "a" * 239 + " " * 81 + "1" * 80), ("squad_it", "qa", "a" * 14 + "1" * 22 + "." * 4), ("y_personality", "chat", "a" * 39)]
-    df = filters.with_profile(spark.createDataFrame(rows, "source string, format string, text string"))
-    assert [r.ok for r in df.select(filters.valid(F.col("text")).alias("ok")).collect()] == [True, False, True, False]
+    rows = [("x", "text", "a" * 240 + " " * 80 + "1" * 80), ("x", "text", "a" * 239 + " " * 81 + "1" * 80), ("squad_it", "qa", "a" * 14 + "1" * 22 + "." * 4), ("y_own", "chat", "a" * 39), ("y_own", "chat", "1" * 18 + "a" * 22), ("z_own", "chat", "1" * 18 + "a" * 22)]
+    df = filters.with_profile(spark.createDataFrame(rows, "source string, format string, text string"), "y_own")
+    assert [r.ok for r in df.select(filters.valid(F.col("text")).alias("ok")).collect()] == [True, False, True, False, True, False]
 
 
 def test_low_quality(spark):
@@ -93,12 +95,18 @@ def test_language_gate(spark, source, language, detected, expected):
     assert df.select(filters.language_allowed(F.col("language"), F.col("d")).alias("ok")).first().ok is expected
 
 
+def test_detected_language(spark):
+    texts = ["Il cane è nel giardino con gli amici della casa.", "The dog is in the garden with the friends of the house.", "Le chien est dans le jardin avec les amis.", "Der Hund ist mit den Freunden im Garten und das ist gut.", "El perro está en el jardín con los amigos y una casa.", "123 !", ""]
+    assert apply(spark, filters.detected_language, *texts) == ["it", "en", "fr", "de", "es", None, None]
+
+
 def test_clean_samples_and_dedup(spark):
     schema = "rid long, source string, language string, format string, text string, prompt string, completion string, messages array<struct<role:string,content:string>>, extra int"
-    long = "Una frase abbastanza lunga per passare il filtro. " * 12
+    long = "Una frase abbastanza lunga per passare il filtro della prova. " * 12
     rows = [
         (1, "wikipedia_it", "it", "text", long + "{{x}}", None, None, None, 7), (2, "wikipedia_it", "it", "text", long, None, None, None, 7), (3, "wikipedia_it", "en", "text", long, None, None, None, 7),
         (4, "evol_instruct_italian", "it", "chat", None, None, None, [("human", "Come si controlla il freno della macchina?"), ("gpt", "Si smonta la ruota &amp; si guarda il disco.")], 7),
+        (7, "wikipedia_it", "it", "text", "The page is in English and it says that the label of the page is wrong for this text. " * 8, None, None, None, 7),
         (5, "squad_it", "it", "qa", None, "Una domanda abbastanza lunga?", "", None, 7), (6, None, None, None, None, None, None, None, 7),
     ]
     kept = filters.clean_samples(spark.createDataFrame(rows, schema))
@@ -129,6 +137,10 @@ OPEN = [
     ('{"messages":"[{\\"from\\":\\"human\\",\\"value\\":\\" hi \\"}]"}', "chat", None, None, None),
     ("[1, 2]", "text", "1\n2", None, None),
     ("{broken", "text", None, None, None),
+    ("{}", "text", None, None, None),
+    ('{"text": "a", "score": NaN}', "text", "a", None, None),
+    ('{"text": "a", "text": "b"}', "text", "b", None, None),
+    ('{"text": [NaN, true, null, "x"]}', "text", "nan\nTrue\nx", None, None),
 ]
 
 

@@ -111,7 +111,8 @@ def open_text(value: Column) -> Column:
 
     def spelled(v: Column) -> Column:
         kind = F.schema_of_variant(v)
-        item = lambda x: F.coalesce(F.try_variant_get(x, "$", "string"), F.try_variant_get(x, "$.text", "string"), F.lit(""))
+        flag = lambda x: F.when(F.schema_of_variant(x) == "BOOLEAN", F.initcap(F.try_variant_get(x, "$", "string")))
+        item = lambda x: F.coalesce(flag(x), F.try_variant_get(x, "$", "string"), F.try_variant_get(x, "$.text", "string"), F.lit(""))
         listed = F.array_join(F.filter(F.transform(F.try_variant_get(v, "$", "array<variant>"), item), lambda t: t != ""), "\n")
         keyed = F.coalesce(*[F.try_variant_get(v, f"$.{k}", "string") for k in ("text", "content", "value", "answer", "output")], F.to_json(v))
         return F.when(v.isNull() | F.is_variant_null(v), F.lit("")).when(kind.startswith("ARRAY"), listed).when(kind.startswith("OBJECT"), keyed).when(kind == "BOOLEAN", F.initcap(F.try_variant_get(v, "$", "string"))).otherwise(F.try_variant_get(v, "$", "string"))
