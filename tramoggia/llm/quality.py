@@ -41,10 +41,17 @@ _BLANK_LINES = re.compile(r"\n[^\S\n]*\n\s*")
 
 
 class _Ids(dict):
-    """Words to small numbers, emptied before it grows large (between documents only)."""
+    """Words to small numbers, emptied before it grows large (between documents only), and the words' lengths by number."""
+
+    def __init__(self):
+        super().__init__()
+        self.sizes = np.zeros(1 << 16, np.int64)
 
     def __missing__(self, word: str) -> int:
         n = self[word] = len(self) + 1
+        if n >= len(self.sizes):
+            self.sizes = np.concatenate([self.sizes, np.zeros(len(self.sizes), np.int64)])
+        self.sizes[n] = len(word)
         return n
 
 
@@ -63,7 +70,7 @@ def top_ngrams(words: list[str]) -> list[float]:
     if len(_IDS) > 1_000_000:
         _IDS.clear()
     ids = np.fromiter(map(_IDS.__getitem__, words), np.int64, len(words))
-    sizes = np.fromiter(map(len, words), np.int64, len(words))
+    sizes = _IDS.sizes[ids]
     total, out = max(1, int(sizes.sum())), []
     for n in NGRAMS:
         if len(ids) < n + 1:
@@ -84,7 +91,11 @@ def top_ngrams(words: list[str]) -> list[float]:
     return out
 
 
-def prose_line(plain: str, bits: int, words: list[str]) -> bool:
+def common_in(words: list[str]) -> int:
+    return sum(map(COMMON.__contains__, words))
+
+
+def prose_line(plain: str, bits: int, words: list[str], common: int | None = None) -> bool:
     """Whether a line is running prose of any language: enough words, common ones among them, and a
     sentence's end or a paragraph's length; entries of numbered lists and tables aren't."""
     n = len(words)
@@ -94,7 +105,7 @@ def prose_line(plain: str, bits: int, words: list[str]) -> bool:
         return False
     if n < 15 and not fu.ends_sentence(plain) or n < 10 and 4 * plain.count(",") >= n:
         return False
-    if sum(map(COMMON.__contains__, words)) < COMMON_SHARE * n:
+    if (common_in(words) if common is None else common) < COMMON_SHARE * n:
         return False
     return fu.digits_in(plain) <= 0.15 * len(plain)
 
@@ -112,16 +123,18 @@ def statistics(text: str, gone: list[int] | None = None) -> tuple:
             numbers.append(number)
     words: list[str] = []
     seen: set[str] = set()
-    body = prose = listed = ended = 0
+    body = prose = listed = ended = common = 0
     for line, plain, mark, away in zip(lines, plains, bits, taken_away(bits, plains, numbers, gone)):
         found = _WORD.findall(plain.lower())
         words += found
+        known = common_in(found)
+        common += known
         ended += line[-1] in ".!?…"
         listed += bool(mark & fu.LISTED)
         if not away and plain:
             body += len(plain)
             # Only its first time a line is prose.
-            if plain not in seen and prose_line(plain, mark, found):
+            if plain not in seen and prose_line(plain, mark, found, known):
                 prose += len(plain)
             seen.add(plain)
     n, size = len(words), len(text)
@@ -130,23 +143,23 @@ def statistics(text: str, gone: list[int] | None = None) -> tuple:
     spaces = len(text) - len("".join(text.split()))
     symbols = max(0, size - letters - digits - spaces)
     paragraphs = [p for p in _BLANK_LINES.split(text.strip()) if p.strip()]
-    duplicate, top = repeated_share(lines), top_ngrams(words)
+    duplicate, again, top = repeated_share(lines), repeated_share(paragraphs), top_ngrams(words)
     share = prose / body if body else 0.0
     listed_share = listed / len(lines)
-    repeats = duplicate > DUPLICATES or repeated_share(paragraphs) > DUPLICATES or any(t > most for t, most in zip(top, TOP_COVERAGE))
+    repeats = duplicate > DUPLICATES or again > DUPLICATES or any(t > most for t, most in zip(top, TOP_COVERAGE))
     if not body:
         kind = "no body"
     elif share >= PROSE_SHARE and not repeats:
         kind = "prose"
-    elif sum(map(COMMON.__contains__, words)) < 0.02 * n or n * 4 < size * 0.2:
+    elif common < 0.02 * n or n * 4 < size * 0.2:
         kind = "junk"
     elif listed_share >= 0.3 or digits > 0.08 * size or ended < 0.3 * len(lines):
         kind = "list or table"
     else:
         kind = "junk"
     return (
-        size, len(lines), n, letters / n if n else 0.0, symbols / size, digits / size, ended / len(lines), sum(map(COMMON.__contains__, words)) / n if n else 0.0,
-        duplicate, repeated_share(paragraphs), *top, listed_share, body, prose, share, kind,
+        size, len(lines), n, letters / n if n else 0.0, symbols / size, digits / size, ended / len(lines), common / n if n else 0.0,
+        duplicate, again, *top, listed_share, body, prose, share, kind,
     )
 
 
