@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tramoggia.operators.series import asof_backward, last_rows, trailing_mean
+from tramoggia.operators.ranking import ordered_rank
+from tramoggia.operators.series import WIDTH, asof_backward, last_rows, trailing_mean
 from tramoggia.session import stage
 
 
@@ -142,3 +143,54 @@ def epochs(history: DataFrame) -> DataFrame:
 def slow_steps(history: DataFrame, limit: float = 60.0) -> DataFrame:
     """Training entries whose optimiser step took `limit` seconds or more."""
     return entries(history).where((F.col("type") == "train") & (F.nanvl("optimizer_step_seconds", F.lit(0.0)) >= limit)).select("run_id", "step", "optimizer_step_seconds")
+
+
+def latest(history: DataFrame) -> DataFrame:
+    """(run_id, step, type, loss, timestamp): each run's entry received last; of those received together the one of the highest step, then type."""
+    last = F.max(F.struct(F.coalesce("received_at", F.lit(0).cast("timestamp")), F.coalesce("global_step", F.lit(-1)), F.coalesce("type", F.lit("")), "loss", "timestamp")).alias("e")
+    return history.groupBy("run_id").agg(last).select("run_id", F.col("e.col2").alias("step"), F.col("e.col3").alias("type"), "e.loss", "e.timestamp")
+
+
+def visible(rows: DataFrame, left: Column, right: Column) -> DataFrame:
+    """Smoothed pivoted rows within a range of steps, cut to each run's own: means reach back beyond the range; a range outside shows the whole run."""
+    made = smoothed(rows)
+    joined = made.join(clamped_domain(rows, left, right), "run_id", "left")
+    return joined.where("lo is null or step between lo and hi").drop("lo", "hi")
+
+
+def period_domain(rows: DataFrame, selected: tuple[int, int] | None, zoom: tuple[int, int] | None) -> DataFrame:
+    """(run_id, mode, lo, hi): the steps a period analysis takes: of the selection if it meets the run, else of the zoom, else the whole run."""
+    extent = rows.groupBy("run_id").agg(F.min("step").alias("first"), F.max("step").alias("last"))
+    mode, lo, hi = F.lit("run completo"), F.col("first"), F.col("last")
+    for name, pair in (("zoom visibile", zoom), ("selezione", selected)):
+        if pair is not None:
+            a, b = F.greatest("first", F.lit(min(pair))), F.least("last", F.lit(max(pair)))
+            mode, lo, hi = F.when(a <= b, name).otherwise(mode), F.when(a <= b, a).otherwise(lo), F.when(a <= b, b).otherwise(hi)
+    return extent.select("run_id", mode.alias("mode"), lo.cast("bigint").alias("lo"), hi.cast("bigint").alias("hi"))
+
+
+def rates(history: DataFrame) -> DataFrame:
+    """(run_id, step, perplexity, tokens_per_second, steps_per_second, eta_seconds) of every training entry.
+
+    Tokens and seconds are those since the entry before, steps those since the run's first one. `tokens` of the log is
+    a running total. Runs are cut into ranges of steps, so that a long one isn't one task's work.
+    """
+    totals = history.where("global_step <> 0").groupBy("run_id").agg(F.max("total_steps").alias("total_steps"))
+    once = stage(entries(history).where("type = 'train'").select("run_id", "step", "loss", "tokens", seconds(F.col("timestamp")).alias("at")), "log-entries")
+    ranked = stage(ordered_rank(once, ["run_id"], "step", WIDTH, "_rn"), "log-ranks")
+    before = ranked.select("run_id", (F.col("_rn") + 1).alias("_rn"), F.col("tokens").alias("_tokens"), F.col("at").alias("_at"))
+    first = ranked.where("_rn = 0").select("run_id", F.col("step").alias("_step0"), F.col("at").alias("_at0"))
+    joined = ranked.join(before, ["run_id", "_rn"], "left").join(first.join(totals, "run_id"), "run_id")
+    pace = F.when(F.col("at") > F.col("_at0"), (F.col("step") - F.col("_step0")) / (F.col("at") - F.col("_at0")))
+    spent = F.greatest(F.col("at") - F.col("_at"), F.lit(1e-6))
+    left = F.when(pace > 0, (F.col("total_steps") - F.col("step")) / pace)
+    return joined.select(
+        "run_id", "step", F.exp(F.least(number(F.col("loss")), F.lit(20.0))).alias("perplexity"), ((F.col("tokens") - F.col("_tokens")) / spent).alias("tokens_per_second"), pace.alias("steps_per_second"), left.alias("eta_seconds")
+    )
+
+
+def evaluation(history: DataFrame) -> DataFrame:
+    """(run_id, batches, mean_loss, perplexity): the mean of a run's evaluation losses that are numbers, and its exponential."""
+    finite = F.nanvl(F.col("loss"), F.lit(None).cast("double"))
+    made = entries(history).where("type = 'eval'").groupBy("run_id").agg(F.count(finite).alias("batches"), F.avg(finite).alias("mean_loss"))
+    return made.withColumn("perplexity", F.exp("mean_loss"))

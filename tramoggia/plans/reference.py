@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tramoggia.functions import samples as sm
 from tramoggia.functions import text as tx
 from tramoggia.operators import dedup, dialogue, examples, filters, metrics, stages
-from tramoggia.session import spread, table
+from tramoggia.session import spread, stage, table
 from tramoggia.sources import files, sinks
 from tramoggia.streaming import metrics as stream_metrics
 
@@ -249,7 +249,28 @@ def epoch_means(s: SparkSession, d: str) -> DataFrame:
 
 
 def slow_steps(s: SparkSession, d: str) -> DataFrame:
-    return _rounded(metrics.slow_steps(_log(s, d), 1.0))
+    return _rounded(metrics.slow_steps(_log(s, d), 0.7))
+
+
+def latest_entry(s: SparkSession, d: str) -> DataFrame:
+    return metrics.latest(_log(s, d)).select("run_id", "step", "type", "timestamp", F.nanvl("loss", F.lit(None).cast("double")).alias("loss"))
+
+
+def visible_range(s: SparkSession, d: str) -> DataFrame:
+    made = metrics.visible(stage(metrics.pivot(_log(s, d)), "log-steps"), F.lit(90), F.lit(40))
+    return made.select("run_id", "step", F.round("train_loss_smooth", 9).alias("train_loss_smooth"))
+
+
+def period_mode(s: SparkSession, d: str) -> DataFrame:
+    return metrics.period_domain(metrics.pivot(_log(s, d)), (180, 95), (50, 400))
+
+
+def live_rates(s: SparkSession, d: str) -> DataFrame:
+    return _rounded(metrics.rates(_log(s, d)))
+
+
+def eval_average(s: SparkSession, d: str) -> DataFrame:
+    return _rounded(metrics.evaluation(_log(s, d)))
 
 
 def metric_stream(s: SparkSession, d: str) -> DataFrame:
@@ -313,7 +334,7 @@ QUERIES = {
         flagship, surface_normalize, url_strip, separator_strip, strip_html, web_clean, wiki_clean, dump_clean, quality_ratios, valid_text, low_quality_flags, forum_subject,
         language_gate, clean_pipeline, dedup_exact, dedup_summary, source_counts, format_counts, corpus_lines, chat_normalize, chat_render, prompt_completion, training_text,
         qa_adapter, instruction_adapter, chat_examples, lm_blocks, sft_labels, training_examples, shard_manifest, reshard, truncate_sequences, collate_batches,
-        train_validation_split, metric_pivot, moving_average, trend_analysis, period_analysis, asof_eval_gap, eta_rate, epoch_means, slow_steps, metric_stream,
+        train_validation_split, metric_pivot, moving_average, trend_analysis, period_analysis, asof_eval_gap, eta_rate, epoch_means, slow_steps, latest_entry, visible_range, period_mode, live_rates, eval_average, metric_stream,
         interval_merge, turn_machine, stage_state, missing_sources, fingerprint,
     )
 }

@@ -213,7 +213,20 @@ SQL = {
  round(CASE WHEN secs > 0 AND steps > 0 AND total_steps > 0 AND current_step < total_steps THEN (total_steps - current_step) / steps * secs END, 6) AS eta_seconds FROM n LEFT JOIN {_rate('e', 30)} r ON r.run_id = n.run_id""",
     "epoch_means": """SELECT run_id, epoch, type, count(*) AS entries, round(avg(f), 9) AS mean_loss, round(exp(least(avg(f), 20.0)), 6) AS perplexity FROM (SELECT run_id, epoch, type, CASE WHEN isnan(loss) THEN NULL ELSE loss END AS f,
  row_number() OVER (PARTITION BY run_id, global_step, type, epoch ORDER BY received_at DESC, loss DESC NULLS LAST) AS k FROM metrics_history WHERE global_step <> 0) WHERE k = 1 GROUP BY run_id, epoch, type""",
-    "slow_steps": f"WITH {_ENTRIES} SELECT run_id, step, round(optimizer_step_seconds, 6) AS optimizer_step_seconds FROM e WHERE type = 'train' AND optimizer_step_seconds >= 1.0 AND NOT isnan(optimizer_step_seconds)",
+    "latest_entry": """SELECT run_id, step, type, timestamp, CASE WHEN NOT isnan(loss) THEN loss END AS loss FROM (SELECT run_id, global_step AS step, type, timestamp, loss,
+ row_number() OVER (PARTITION BY run_id ORDER BY coalesce(received_at, to_timestamp(0)) DESC, coalesce(global_step, -1) DESC, coalesce(type, '') DESC) AS k FROM metrics_history) WHERE k = 1""",
+    "visible_range": f"""WITH {_ROWS}, m AS (SELECT run_id, step, round(avg(train_loss) OVER (PARTITION BY run_id ORDER BY step ROWS BETWEEN 15 PRECEDING AND CURRENT ROW), 9) AS train_loss_smooth,
+ greatest(40, min(step) OVER (PARTITION BY run_id)) AS lo, least(90, max(step) OVER (PARTITION BY run_id)) AS hi FROM rows_) SELECT run_id, step, train_loss_smooth FROM m WHERE lo > hi OR step BETWEEN lo AND hi""",
+    "period_mode": f"""WITH {_ROWS}, x AS (SELECT run_id, min(step) AS a, max(step) AS b FROM rows_ GROUP BY run_id)
+ SELECT run_id, CASE WHEN s THEN 'selezione' WHEN z THEN 'zoom visibile' ELSE 'run completo' END AS mode, CASE WHEN s THEN greatest(a, 95) WHEN z THEN greatest(a, 50) ELSE a END AS lo, CASE WHEN s THEN least(b, 180) WHEN z THEN least(b, 400) ELSE b END AS hi
+ FROM (SELECT *, greatest(a, 95) <= least(b, 180) AS s, greatest(a, 50) <= least(b, 400) AS z FROM x)""",
+    "live_rates": f"""WITH {_ENTRIES}, t AS (SELECT run_id, step, {_NUM.format("loss")} AS loss, tokens, epoch_us(timestamp::TIMESTAMPTZ) / 1e6 AS sec FROM e WHERE type = 'train'),
+ n AS (SELECT run_id, max(total_steps) AS total_steps FROM metrics_history WHERE global_step <> 0 GROUP BY run_id),
+ r AS (SELECT *, lag(tokens) OVER w AS tokens0, lag(sec) OVER w AS sec0, first_value(step) OVER w AS step1, first_value(sec) OVER w AS sec1 FROM t WINDOW w AS (PARTITION BY run_id ORDER BY step)),
+ p AS (SELECT *, CASE WHEN sec > sec1 THEN (step - step1) / (sec - sec1) END AS pace FROM r)
+ SELECT run_id, step, round(exp(least(loss, 20.0)), 6) AS perplexity, round((tokens - tokens0) / greatest(sec - sec0, 1e-6), 6) AS tokens_per_second, round(pace, 6) AS steps_per_second, round(CASE WHEN pace > 0 THEN (total_steps - step) / pace END, 6) AS eta_seconds FROM p JOIN n USING (run_id)""",
+    "eval_average": f"""WITH {_ENTRIES} SELECT run_id, count(l) AS batches, round(avg(l), 9) AS mean_loss, round(exp(avg(l)), 6) AS perplexity FROM (SELECT run_id, CASE WHEN NOT isnan(loss) THEN loss END AS l FROM e WHERE type = 'eval') GROUP BY run_id""",
+    "slow_steps": f"WITH {_ENTRIES} SELECT run_id, step, round(optimizer_step_seconds, 6) AS optimizer_step_seconds FROM e WHERE type = 'train' AND optimizer_step_seconds >= 0.7 AND NOT isnan(optimizer_step_seconds)",
     "interval_merge": f"""WITH {_LINES}, n AS (SELECT doc_id, max(line_no) + 1 AS n FROM lines GROUP BY doc_id), w AS (SELECT l.doc_id, greatest(0, line_no - 2) AS s, least(n, line_no + 4) AS e FROM lines l JOIN n ON n.doc_id = l.doc_id WHERE contains(line, 'ponte')),
  i AS (SELECT *, CASE WHEN s <= max(e) OVER (PARTITION BY doc_id ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 0 ELSE 1 END AS fresh FROM w),
  g AS (SELECT *, sum(fresh) OVER (PARTITION BY doc_id ORDER BY s, e ROWS UNBOUNDED PRECEDING) AS k FROM i)
