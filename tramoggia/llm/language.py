@@ -68,9 +68,14 @@ def sentences(line: str) -> list[str]:
 
 
 class Ngrams(dict):
-    """Words to the hashed ids of their n-grams (distinct), remembered while they are few enough."""
+    """Words to their numbers, and for each number the hashed ids of the word's n-grams (distinct); remembered while they are few enough."""
 
-    def __missing__(self, word: str) -> np.ndarray:
+    def __init__(self):
+        super().__init__()
+        self.parts: list[np.ndarray] = []
+        self._table: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None
+
+    def __missing__(self, word: str) -> int:
         padded = f" {word} "
         ids = set()
         for n in NGRAMS:
@@ -79,24 +84,46 @@ class Ngrams(dict):
                 for c in padded[k : k + n]:
                     h = (h * 1_000_003 + ord(c)) & 0xFFFFFFFF
                 ids.add((h ^ (h >> 15)) * 2_654_435_761 % 4_294_967_296 >> 15)
-        out = self[word] = np.fromiter(ids, np.int32, len(ids))
+        out = self[word] = len(self.parts)
+        self.parts.append(np.fromiter(ids, np.int32, len(ids)))
         return out
 
+    def table(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """By number of the word: where its n-grams begin in the third array, and how many they are."""
+        if self._table is None or len(self._table[0]) != len(self.parts):
+            sizes = np.fromiter(map(len, self.parts), np.int64, len(self.parts))
+            self._table = np.cumsum(sizes) - sizes, sizes, np.concatenate(self.parts).astype(np.uint32)
+        return self._table
+
+    def clear(self) -> None:
+        super().clear()
+        self.parts, self._table = [], None
+
 
 def indicators(texts: list[list[str]], known: Ngrams) -> tuple[np.ndarray, np.ndarray]:
     """For texts as word lists, the distinct (text, n-gram) pairs: offsets and n-gram ids, in order of texts."""
     if len(known) > 300_000:
         known.clear()
     sets = [set(words) for words in texts]
-    parts = [known[w] for words in sets for w in words]
-    if not parts:
+    words = np.array([known[w] for mine in sets for w in mine], np.int64)
+    if not len(words):
         return np.zeros(len(texts) + 1, np.int64), np.zeros(0, np.int64)
-    text = np.repeat(np.arange(len(texts)), np.fromiter(map(len, sets), np.int64, len(sets)))
-    keys = np.repeat(text * SPACE, np.fromiter(map(len, parts), np.int64, len(parts))) + np.concatenate(parts)
+    starts, sizes, flat = known.table()
+    # Short keys as long as the texts are few enough for them.
+    kind = np.uint32 if len(texts) < (1 << 32) // SPACE else np.int64
+    text = np.repeat(np.arange(len(texts), dtype=kind) * kind(SPACE), np.fromiter(map(len, sets), np.int64, len(sets)))
+    each = sizes[words]
+    ends = np.cumsum(each)
+    at = np.arange(ends[-1], dtype=np.int32 if ends[-1] < 1 << 31 else np.int64)
+    at += np.repeat((starts[words] - ends + each).astype(at.dtype), each)
+    keys = np.repeat(text, each)
+    keys += flat[at]
     keys.sort()
-    keys = keys[np.concatenate(([True], keys[1:] != keys[:-1]))]
-    text = keys // SPACE
-    return np.searchsorted(text, np.arange(len(texts) + 1)), keys % SPACE
+    keep = np.empty(len(keys), bool)
+    keep[0] = True
+    np.not_equal(keys[1:], keys[:-1], out=keep[1:])
+    keys = keys[keep]
+    return np.searchsorted(keys, np.arange(len(texts) + 1, dtype=np.int64) * SPACE), (keys & kind(SPACE - 1)).astype(np.int32)
 
 
 class Classifier:
@@ -105,6 +132,7 @@ class Classifier:
     def __init__(self, weights: np.ndarray):
         #: n-grams × languages
         self.weights = weights
+        self._by_language = np.ascontiguousarray(weights.T)
 
     @classmethod
     def fit(cls, texts: list[list[str]], labels: list[int], seed: int = 5) -> Classifier:
@@ -145,11 +173,11 @@ class Classifier:
         if not len(texts):
             return np.zeros((0, len(LANGUAGES)), np.float32)
         sizes = np.diff(offsets)
-        out = np.zeros((len(texts), len(LANGUAGES)), np.float32)
         full = sizes > 0
-        if full.any():
-            out[full] = np.add.reduceat(self.weights[ids], offsets[:-1][full], axis=0) / np.sqrt(sizes[full])[:, None]
-        return out
+        out = np.zeros((len(texts), len(LANGUAGES)), np.float32)
+        for k, weights in enumerate(self._by_language if full.any() else ()):
+            out[full, k] = np.add.reduceat(weights[ids], offsets[:-1][full])
+        return out / np.sqrt(np.maximum(sizes, 1), dtype=np.float32)[:, None]
 
 
 def stated(label: Column) -> Column:
