@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tramoggia.llm import answers, boilerplate, encoding, furniture, language, mixing, quality, reading
-from tramoggia.session import table
+from tramoggia.session import mapped, stage, table
 
 DATA = "/root/testdata/sf0.01"
 HARD = [None, "", " \n\t ", "a", "x " * 30_000, "🙂 é́ 汉字\r\n\x00 <|end|>", "\n" * 500]
@@ -109,6 +109,18 @@ def test_small_sites_use_the_pool(spark):
     assert any(rows[k][1].startswith("piccolo") for k, _ in want) and _lines_of(spark, rows) == want
 
 
+def broadcasts(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("BroadcastExchange")
+
+
+def test_tables_of_tokens_are_not_broadcast(spark):
+    pages = stage(mapped(_pages(spark).select("rec_id", "site", "text"), boilerplate._tokenize, boilerplate._SCHEMA), "page-tokens")
+    keys = boilerplate.template(pages)
+    # However small their files, only the sites' sizes, whose rows are counted, are sent.
+    assert broadcasts(keys) == 1
+    assert keys.where("site is not null").count() > 0 and keys.where("site is null").count() > 0
+
+
 def test_copies_of_an_article_are_no_template(spark):
     # An article on eight of a site's eighty pages, each copy with one sentence changed, and the site's own footer.
     rng = random.Random(9)

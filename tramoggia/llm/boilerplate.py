@@ -154,7 +154,8 @@ def _sums() -> list[Column]:
 def template(pages: DataFrame) -> DataFrame:
     """(site, tok, kind, support, class, place): the keys by which pages are taken apart, from tokenized pages.
 
-    A null site stands for all sites. The order of a class is that of its tokens' mean places.
+    A null site stands for all sites. The order of a class is that of its tokens' mean places. Tables with a row a
+    token are merged, never broadcast: the planner takes them for as small as their compressed files.
     """
     total, distinct = pages.select(F.count("*"), F.count_distinct("page")).first()
     if distinct < total:
@@ -167,7 +168,7 @@ def template(pages: DataFrame) -> DataFrame:
     # Tokens of several pages of a site; those of one page don't count for any class.
     in_site = stage(each.groupBy("site", "tok").agg(*_sums(), F.bit_xor("page").alias("vector")).where("hits > 1"), "site-tokens")
     overall = stage(each.groupBy("tok").agg(*_sums()).where("hits >= 3"), "all-tokens")
-    rated = lookup(in_site.where("hits >= 3"), sizes, "site", "inner").join(overall.select("tok", F.col("hits").alias("all_hits")), "tok")
+    rated = lookup(in_site.where("hits >= 3"), sizes, "site", "inner").join(overall.select("tok", F.col("hits").alias("all_hits")).hint("merge"), "tok")
     others = F.lit(float(total)) - F.col("pages")
     outside = F.when(others > 0, (F.col("all_hits") - F.col("hits")) / others).otherwise(F.lit(0.0))
     rated = rated.select("site", "tok", "hits", "vector", "pages", outside.alias("outside"), (F.col("pos") / F.col("hits")).alias("place"))
@@ -182,12 +183,12 @@ def template(pages: DataFrame) -> DataFrame:
     valid = (F.col("hits") >= frequent) & (F.when(F.col("pages") < total, bound).otherwise(F.lit(False)) | (F.col("hits") >= EVERYWHERE * F.col("pages")))
     kind = F.when(article & (F.col("hits") < EVERYWHERE * F.col("pages")), REPEATED).when(valid, TEMPLATE)
     classes = classes.select("site", "vector", "hits", kind.alias("kind"), F.xxhash64("vector", "hits").bitwiseAND(0x7FFFFFFF).cast("int").alias("class")).where("kind is not null")
-    own = stage(rated.join(classes, ["site", "vector", "hits"]).select("site", "tok", "kind", F.col("hits").alias("support"), "class", F.col("place").cast("float").alias("place")), "site-classes")
+    own = stage(rated.join(classes.hint("merge"), ["site", "vector", "hits"]).select("site", "tok", "kind", F.col("hits").alias("support"), "class", F.col("place").cast("float").alias("place")), "site-classes")
     # The pool: how the pages of a token lie over sites. A token's sites with one page aren't in in_site, but follow from the sums.
     apart = F.col("hits") * (F.col("hits") - 1) / F.greatest(F.col("pages") - 1, F.lit(1))
     spread = lookup(in_site, sizes, "site", "inner").groupBy("tok").agg(F.sum("hits").alias("gathered"), F.count("*").alias("sites"), F.sum(apart).alias("rate"))
     made = own.where(F.col("kind") == TEMPLATE).groupBy("tok").agg(F.sum("support").alias("valid"), F.count("*").alias("valid_sites"))
-    rows = overall.join(spread, "tok", "left").join(made, "tok", "left").fillna(0, ["gathered", "sites", "rate", "valid", "valid_sites"])
+    rows = overall.join(spread.hint("merge"), "tok", "left").join(made.hint("merge"), "tok", "left").fillna(0, ["gathered", "sites", "rate", "valid", "valid_sites"])
     hits, mean, share = F.col("hits"), F.col("pos") / F.col("hits"), F.col("hits") / F.lit(float(max(1, total)))
     sites, rate = hits - F.col("gathered") + F.col("sites"), F.least(F.col("rate") / hits, F.lit(1.0))
     deviation = F.sqrt(F.greatest(F.lit(0.0), F.col("pos2") / hits - mean * mean))
@@ -199,7 +200,7 @@ def template(pages: DataFrame) -> DataFrame:
     pool = rows.select(
         F.lit(None).cast("bigint").alias("site"), "tok", F.when(shared | alike | last | names, POOLED).otherwise(RECURRING).alias("kind"), hits.alias("support"), F.lit(0).alias("class"), mean.cast("float").alias("place")
     )
-    again = in_site.where(paragraph).join(own, ["site", "tok"], "left_anti").select("site", "tok", F.lit(REPEATED).alias("kind"), F.col("hits").alias("support"), F.lit(0).alias("class"), F.lit(0.0).cast("float").alias("place"))
+    again = in_site.where(paragraph).join(own.hint("merge"), ["site", "tok"], "left_anti").select("site", "tok", F.lit(REPEATED).alias("kind"), F.col("hits").alias("support"), F.lit(0).alias("class"), F.lit(0.0).cast("float").alias("place"))
     return own.unionByName(again).unionByName(pool.where(~paragraph | (F.col("kind") == POOLED)))
 
 
@@ -402,7 +403,7 @@ def remove_with(spark: SparkSession, pages: DataFrame, keys: DataFrame, broadcas
     pool = keys.where("site is null").select("tok", F.col("kind").alias("pooled"), F.col("support").alias("pages"))
     found = lookup(lookup(each, own, "key"), pool, "tok").where("kind is not null or pooled is not null")
     hit = found.groupBy("page").agg(F.collect_list(F.struct("k", "kind", "support", "class", "place", "pooled", "pages")).alias("hit"))
-    joined = page.join(hit, "page", "left").select("rec_id", "site", "line_no", "bits", "tok", "tok_line", "hit")
+    joined = page.join(hit.hint("merge"), "page", "left").select("rec_id", "site", "line_no", "bits", "tok", "tok_line", "hit")
     return joined.transform(mapped, _decide_joined, "rec_id bigint, line_no bigint")
 
 
