@@ -121,6 +121,12 @@ def test_tables_of_tokens_are_not_broadcast(spark):
     assert keys.where("site is not null").count() > 0 and keys.where("site is null").count() > 0
 
 
+def test_lists_of_furniture_are_not_broadcast(spark):
+    pages = boilerplate.with_furniture(_pages(spark).select("rec_id", "site", "text"))
+    assert broadcasts(pages) == 0
+    assert pages.count() == _pages(spark).count() and pages.where("size(gone) > 0").count() > 0
+
+
 def test_copies_of_an_article_are_no_template(spark):
     # An article on eight of a site's eighty pages, each copy with one sentence changed, and the site's own footer.
     rng = random.Random(9)

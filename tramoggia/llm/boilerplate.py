@@ -410,10 +410,11 @@ def remove_with(spark: SparkSession, pages: DataFrame, keys: DataFrame, broadcas
 def with_furniture(df: DataFrame) -> DataFrame:
     """`df` with the column gone, array<bigint>: the numbers of each page's furniture lines, empty if it has none.
 
-    `df` needs unique rec_ids, site and text. The lists are written once; the join keeps every row.
+    `df` needs unique rec_ids, site and text. The lists are written once; the join keeps every row, and merges, as the
+    lists are far larger than their compressed files.
     """
     lines = furniture_lines(df).groupBy("rec_id").agg(F.collect_set("line_no").alias("gone"))
-    return df.join(stage(lines, "furniture"), "rec_id", "left").withColumn("gone", F.coalesce("gone", F.array().cast("array<bigint>")))
+    return df.join(stage(lines, "furniture").hint("merge"), "rec_id", "left").withColumn("gone", F.coalesce("gone", F.array().cast("array<bigint>")))
 
 
 def taken_away(bits: list[int], plains: list[str], numbers: list[int], gone: list[int] | None) -> list[bool]:
