@@ -237,6 +237,22 @@ def test_folded_scores_equal_kernels():
         assert sorted(plain) == ids[offsets[k] : offsets[k + 1]].tolist()
 
 
+def test_work_on_words_and_lines_is_done_once(monkeypatch):
+    # Words between blanks and marks are those of the pattern, line by line and sentence by sentence.
+    text = "Il mulino (1929) dell'acqua è a 3 km: «Sì.» Poi, ½ l'ora!\nx_y 2²b n° ٣ İl\xa0ponte e\u0301 a\x00b — fine.\n\nΟΔΟΣ ΟΔΟΣ."
+    wanted = [[w for s in language.sentences(line.lower()) if (w := language._WORD.findall(s))] for line in text.split("\n")]
+    assert language.sentence_words(text) == wanted and sum(map(len, wanted)) > 6
+    # Lines that are taken away aren't marked again; new words are hashed together, known ones never again.
+    monkeypatch.setattr(furniture, "_marks", lambda _: 1 / 0)
+    monkeypatch.setattr(furniture, "_KNOWN", {})
+    assert [u.words for u in language.body_units("Menu\nIl treno parte.", False, [1])] == [["il", "treno", "parte"]]
+    known, calls, hashed = language.Ngrams(), [], language._ngrams
+    monkeypatch.setattr(language, "_ngrams", lambda words: calls.append(len(words)) or hashed(words))
+    for _ in range(2):
+        language.indicators([["il", "treno"], ["il", "mare"]], known)
+    assert calls == [3]
+
+
 def test_segments_of_a_mixed_text(spark, model):
     text = "Il treno parte alle nove dalla stazione vecchia. (The council owns the bridge near the old town.) Poi arriva al mare prima di sera.\nDie Stadt liegt am Fluss und ist sehr alt."
     rows = language.segments(spark.createDataFrame([(1, text)], "doc_id long, text string"), model, "doc_id").orderBy("segment").collect()

@@ -60,8 +60,9 @@ TEMPLATE, POOLED, REPEATED, RECURRING = 1, 2, 4, 8
 _PARAGRAPH, _NAMED, _WORDS = 0x80, 0x40, 0x3F
 
 _SCHEMA = "rec_id bigint, page bigint, site bigint, line_no array<int>, bits array<int>, tok array<bigint>, tok_line array<int>, tok_pos array<float>"
-_DIGITS = re.compile(r"\d+")
-_NAME = re.compile(r"(?<=[\w,;'’§@] )[^\W\d_a-zß-öø-ÿ][\w'’]*")
+# Patterns begun by a character or a class of them skip fast what can't match.
+_DIGITS = re.compile(r"\d\d*")
+_NAME = re.compile(r" (?<=[\w,;'’§@] )[^\W\d_a-zß-öø-ÿ][\w'’]*")
 _NAMES = re.compile(r"[§@](?: [§@])+")
 # A label before the text of a line is a piece of its own.
 _LABEL = re.compile(r"^(\[[^\[\]]+\]|[^\W\d][^\W\d ]*(?: [^\W\d ]+){0,3} ?>|→)\s+")
@@ -81,7 +82,10 @@ class Host:
 
     def named(self, text: str) -> bool:
         low = text.lower()
-        return any(w in low for w in self.words)
+        for w in self.words:
+            if w in low:
+                return True
+        return False
 
     def masked(self, text: str) -> str:
         return self._pattern.sub("§", text) if self.named(text) else text
@@ -90,9 +94,11 @@ class Host:
 def tokens_of(text: str, bits: int, host: Host) -> list[int]:
     """The tokens of a line without tags, one for each of its masked pieces; a paragraph's sentences are told from lines of the same words."""
     kind = _PARAGRAPH if bits & fu.PROSE and not bits & fu.CUE else 0
-    text = host.masked(_LABEL.sub(r"\1 | ", text))
+    if label := _LABEL.match(text):
+        text = f"{label[1]} | {text[label.end() :]}"
+    text = host.masked(text)
     if not text.isupper():
-        text = _NAME.sub("@", text)
+        text = _NAME.sub(" @", text)
     text = _NAMES.sub(lambda m: "§" if "§" in m[0] else "@", _DIGITS.sub("#", text)).lower().replace("’", "'")
     out = []
     for piece in fu.pieces(text):
@@ -103,10 +109,13 @@ def tokens_of(text: str, bits: int, host: Host) -> list[int]:
     return out
 
 
+#: Tokens of short lines (with the host of those that name their site), of a Python worker, whose tasks share them.
+_KNOWN: dict[object, list[int]] = {}
+
+
 def _tokenize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pages to their lines' marks and tokens; a token's place on its page is -1 where it comes again."""
     hosts: dict[str, Host] = {}
-    known: dict[object, list[int]] = {}
     types = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.float32())]
     names = ["rec_id", "page", "site", "line_no", "bits", "tok", "tok_line", "tok_pos"]
     for batch in batches:
@@ -129,12 +138,12 @@ def _tokenize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     got = tokens_of(plain, mark, host)
                 else:
                     # Short lines recur; those that name the site are known by site.
-                    key = (plain, host) if host.named(plain) else plain
-                    got = known.get(key)
+                    key = (plain, host.words) if host.named(plain) else plain
+                    got = _KNOWN.get(key)
                     if got is None:
-                        if len(known) > 200_000:
-                            known.clear()
-                        got = known[key] = tokens_of(plain, mark, host)
+                        if len(_KNOWN) > 200_000:
+                            _KNOWN.clear()
+                        got = _KNOWN[key] = tokens_of(plain, mark, host)
                 tok.extend(got)
                 tok_line.extend([row] * len(got))
             last, seen, tok_pos = max(1, len(numbers) - 1), set(), []

@@ -67,7 +67,11 @@ NUMBERED = re.compile(r"^\s*(\d{1,2})\s+\S")
 EXCERPT = re.compile(r"(?:…|\.\.\.|\[\s*(?:…|\.\.\.)\s*\]|leggi tutto|read more|continua)\s*$", re.I)
 PAGER = re.compile(r"^\W*\d{1,3}(?:\s+\d{1,3}){1,8}\s*(?:…|\.\.\.)\s*\d{1,4}\b.{0,24}$")
 COMMENTS = re.compile(r"^\W*\d+\s+(?:commenti|comments|commentaires|kommentare|comentarios)\b.{0,60}$", re.I)
-_LOWER = re.compile(r"(?:^|[\s'’(«“\"])[^\W\d_A-ZÀ-Þ]")
+# Behind a blank, so that it also finds a text's first letter; begun by a class of characters it skips fast.
+_LOWER = re.compile(r"[\s'’(«“\"][^\W\d_A-ZÀ-Þ]")
+# What `pieces` splits at apart from sentence ends, at most; and these ends, where blanks are the only white space.
+_SPLITTERS = re.compile(r"[|·»▸›\]\0\t-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+_STOPS = tuple((f"{mark} ", f"{mark}\0") for mark in ".!?…:")
 _PHRASES, _BOXES = frozenset(PHRASES), frozenset(BOXES)
 
 PROSE, CUE, BOX, TITLE, TEASER, BODY_TAG, SITE_TAG, LISTED, NUMBER, LINK, HEADLINE = (1 << k for k in range(11))
@@ -94,7 +98,13 @@ def trimmed(text: str) -> str:
 
 def pieces(text: str) -> list[str]:
     """The parts of a line between separators and sentence ends, without marks at their edges."""
-    return [q for p in PIECES.split(text) if p and (q := trimmed(p))]
+    if "  " in text or " - " in text or " – " in text or " / " in text or _SPLITTERS.search(text):
+        parts = PIECES.split(text)
+    else:
+        for stop, with_break in _STOPS:
+            text = text.replace(stop, with_break)
+        parts = text.split("\0")
+    return [q for p in parts if p and (q := trimmed(p))]
 
 
 def digits_in(text: str) -> int:
@@ -114,7 +124,7 @@ def is_prose(text: str) -> bool:
         return False
     if digits_in(text) > 0.15 * size:
         return False
-    return len(_LOWER.findall(text)) >= 0.55 * (text.count(" ") + 1)
+    return len(_LOWER.findall(f" {text}")) >= 0.55 * (text.count(" ") + 1)
 
 
 def _marks(line: str) -> tuple[str, int]:
@@ -143,7 +153,8 @@ def _marks(line: str) -> tuple[str, int]:
     words = text.count(" ") + 1
     if words <= 16 and text[-1] not in ".!?;,":
         bits |= TITLE
-    if size < 220 and EXCERPT.search(text):
+    # Only a bracket's mark can be longer than "leggi tutto".
+    if size < 220 and EXCERPT.search(text, 0 if text[-1] == "]" else max(0, size - 11)):
         bits |= TEASER
     if m := NUMBERED.match(text):
         bits |= NUMBER | int(m[1]) << NUMBER_SHIFT
@@ -167,6 +178,12 @@ def marks(line: str) -> tuple[str, int]:
     return got
 
 
+def itemized(line: str) -> tuple[str, int]:
+    """The line without tags, and LISTED if it is an item of a list: what is left of `marks` where only that matters."""
+    text = bare(line)[0]
+    return text, LISTED if ITEM.match(text) else 0
+
+
 def _own_sentence(plain: str, text: str) -> bool:
     """Whether an opening that is also ordinary language begins a longer paragraph."""
     return plain.startswith(("condividi ", "copyright ", "abbonati ")) and len(text) > 160

@@ -52,19 +52,74 @@ SEEDS = {
 }
 
 _WORD = re.compile(r"[^\W\d_]+")
-_ENDS = tuple((mark + gap, mark + "\0") for mark in (".", "!", "?", "…", ".»", "!»", "?»", ".”", ".\"", "!\"", "?\"") for gap in (" ", "\xa0"))
+# By white space and closing quote (most lines have few of them), the ends of sentences.
+_ENDS = {gap: {quote: tuple((f"{mark}{quote}{gap}", f"{mark}{quote}\0") for mark in marks) for quote, marks in (("", ".!?…"), ("»", ".!?"), ("”", "."), ("\"", ".!?"))} for gap in (" ", "\xa0")}
 _BREAKS = (("(", "\0"), (")", "\0"), (" – ", "\0"), (" — ", "\0"))
+# What most often stands next to words and is no part of them.
+_MARKS = ",.'’;:\"!?«»“”…-–—/%•|·[]<>0123456789"
+
+
+def _broken(text: str) -> str:
+    """The text with \0 between sentences; what stands in brackets or between dashes counts as one of its own."""
+    for gap, quotes in _ENDS.items():
+        if gap in text:
+            for quote, ends in quotes.items():
+                if quote in text:
+                    for mark, with_break in ends:
+                        text = text.replace(mark, with_break)
+    for mark, with_break in _BREAKS:
+        text = text.replace(mark, with_break)
+    return text
 
 
 def sentences(line: str) -> list[str]:
-    """The sentences of a line; what stands in brackets or between dashes counts as one of its own."""
-    for mark, with_break in _ENDS:
-        if mark in line:
-            line = line.replace(mark, with_break)
-    for mark, with_break in _BREAKS:
-        if mark in line:
-            line = line.replace(mark, with_break)
-    return [p for p in line.split("\0") if p]
+    """The sentences of a line."""
+    return [p for p in _broken(line).split("\0") if p]
+
+
+def words_in(text: str) -> list[str]:
+    """The words of a text, as _WORD finds them: what lies between blanks, if it is of letters alone, else the runs of letters in it."""
+    words = text.split()
+    if "".join(words).isalpha():
+        return words
+    return [w for word in words for w in ((word,) if word.isalpha() else _WORD.findall(word))]
+
+
+def sentence_words(text: str) -> list[list[list[str]]]:
+    """For each line of a text, the words, lower-case, of each of its sentences that has any."""
+    text = _broken(text.lower())
+    for mark in _MARKS:
+        text = text.replace(mark, " ")
+    return [[words for part in line.split("\0") if (words := words_in(part))] for line in text.split("\n")]
+
+
+def _ngrams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """How many distinct n-grams each word has, and their hashed ids, word after word."""
+    padded = "".join([f" {w} " for w in words])
+    code = np.frombuffer(padded.encode("utf-32-le", "surrogatepass"), np.uint32)
+    lengths = np.fromiter(map(len, words), np.int64, len(words)) + 2
+    word = np.repeat(np.arange(len(words)), lengths)
+    left = np.repeat(np.cumsum(lengths), lengths) - np.arange(len(code))
+    keys = []
+    for n in NGRAMS:
+        whole = np.flatnonzero(left >= n)
+        h = np.full(len(whole), n, np.uint32)
+        for k in range(n):
+            h = h * np.uint32(1_000_003) + code[whole + k]
+        keys.append(word[whole] * SPACE + ((h ^ (h >> np.uint32(15))) * np.uint32(2_654_435_761) >> np.uint32(15)))
+    found = np.unique(np.concatenate(keys))
+    return np.bincount(found // SPACE, minlength=len(words)), (found % SPACE).astype(np.uint32)
+
+
+class _Parts:
+    """The n-grams of single words, by number."""
+
+    def __init__(self, known: Ngrams):
+        self._known = known
+
+    def __getitem__(self, number: int) -> np.ndarray:
+        starts, sizes, flat = self._known.table()
+        return flat[starts[number] : starts[number] + sizes[number]]
 
 
 class Ngrams(dict):
@@ -72,32 +127,35 @@ class Ngrams(dict):
 
     def __init__(self):
         super().__init__()
-        self.parts: list[np.ndarray] = []
-        self._table: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None
+        self._new: list[str] = []
+        self._sizes, self._flat = np.zeros(0, np.int64), np.zeros(0, np.uint32)
+        self._starts = self._sizes
 
     def __missing__(self, word: str) -> int:
-        padded = f" {word} "
-        ids = set()
-        for n in NGRAMS:
-            for k in range(len(padded) - n + 1):
-                h = n
-                for c in padded[k : k + n]:
-                    h = (h * 1_000_003 + ord(c)) & 0xFFFFFFFF
-                ids.add((h ^ (h >> 15)) * 2_654_435_761 % 4_294_967_296 >> 15)
-        out = self[word] = len(self.parts)
-        self.parts.append(np.fromiter(ids, np.int32, len(ids)))
+        out = self[word] = len(self)
+        self._new.append(word)
         return out
 
     def table(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """By number of the word: where its n-grams begin in the third array, and how many they are."""
-        if self._table is None or len(self._table[0]) != len(self.parts):
-            sizes = np.fromiter(map(len, self.parts), np.int64, len(self.parts))
-            self._table = np.cumsum(sizes) - sizes, sizes, np.concatenate(self.parts).astype(np.uint32)
-        return self._table
+        if self._new:
+            # All new words at once.
+            sizes, flat = _ngrams(self._new)
+            self._sizes, self._flat, self._new = np.concatenate([self._sizes, sizes]), np.concatenate([self._flat, flat]), []
+            self._starts = np.cumsum(self._sizes) - self._sizes
+        return self._starts, self._sizes, self._flat
+
+    @property
+    def parts(self) -> _Parts:
+        return _Parts(self)
 
     def clear(self) -> None:
         super().clear()
-        self.parts, self._table = [], None
+        self.__init__()
+
+
+#: Those of a Python worker, whose tasks share them: texts have most words in common.
+_KNOWN = Ngrams()
 
 
 def indicators(texts: list[list[str]], known: Ngrams) -> tuple[np.ndarray, np.ndarray]:
@@ -105,7 +163,7 @@ def indicators(texts: list[list[str]], known: Ngrams) -> tuple[np.ndarray, np.nd
     if len(known) > 300_000:
         known.clear()
     sets = [set(words) for words in texts]
-    words = np.array([known[w] for mine in sets for w in mine], np.int64)
+    words = np.array([known[w] for mine in sets for w in mine], np.int64)  # new ones are numbered here
     if not len(words):
         return np.zeros(len(texts) + 1, np.int64), np.zeros(0, np.int64)
     starts, sizes, flat = known.table()
@@ -205,27 +263,25 @@ def body_units(text: str, skip_unprosaic: bool, lines: list[int] | None = None)
     sentence. Empty if the text has no words, or its body isn't prose and that matters; `lines` are
     the furniture's as in `taken_away`.
     """
-    plains, bits, numbers = [], [], []
-    for number, line in enumerate(text.split("\n"), 1):
-        if line.strip():
-            plain, mark = fu.marks(line)
-            plains.append(plain)
-            bits.append(mark)
-            numbers.append(number)
-    away = taken_away(bits, plains, numbers, lines)
+    if lines is None:
+        marked = [fu.marks(line) for line in text.split("\n") if line.strip()]
+        plains, bits = [plain for plain, _ in marked], [mark for _, mark in marked]
+        left = [line for line, gone in zip(marked, taken_away(bits, plains, [], None)) if not gone]
+    else:
+        away = set(lines)
+        left = [fu.itemized(line) for number, line in enumerate(text.split("\n"), 1) if number not in away]
     out: list[Unit] = []
     pending: list[str] = []
     body, prose = 0, 0
-    for plain, mark, gone in zip(plains, bits, away):
-        if gone or not plain or plain.startswith("<|"):
-            continue
+    left = [(plain, mark) for plain, mark in left if plain and not plain.startswith("<|")]
+    for (plain, mark), found in zip(left, sentence_words("\n".join([plain for plain, _ in left]))):
         body += len(plain)
-        found = [w for s in sentences(plain.lower()) if (w := _WORD.findall(s))]
-        n = sum(map(len, found))
-        if prosaic := prose_line(plain, mark, [w for s in found for w in s]):
+        every = found[0] if len(found) == 1 else [w for s in found for w in s]
+        n = len(every)
+        if prosaic := prose_line(plain, mark, every):
             prose += len(plain)
         if n < 15 and (n < LEAST_WORDS or not fu.ends_sentence(plain)):
-            pending += [w for s in found for w in s]
+            pending += every
             continue
         for words in found:
             if len(words) < LEAST_WORDS:
@@ -239,7 +295,7 @@ def body_units(text: str, skip_unprosaic: bool, lines: list[int] | None = None)
         out.append(Unit(pending, False, False))
     elif pending:
         out[-1] = out[-1]._replace(more=len(pending))
-    if not out and (words := [w for plain in plains for w in _WORD.findall(plain.lower())]):
+    if not out and (words := [w for line in text.split("\n") for w in _WORD.findall(fu.bare(line)[0].lower())]):
         out.append(Unit(words, False, False))
     return [] if skip_unprosaic and prose < PROSE_SHARE * body else out
 
@@ -301,29 +357,29 @@ def segments(df: DataFrame, model: Classifier, *keep: str, unprosaic: str | None
     n = len(keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        classifier, known = Classifier(weights.value), Ngrams()
+        classifier = Classifier(weights.value)
 
         def judged(rows: list[int], batch: pa.RecordBatch, spans: list[tuple[int, int]], units: list[Unit]) -> pa.RecordBatch:
             words = [u.words for u in units]
-            scores = classifier.scores(words, known)
+            scores = classifier.scores(words, _KNOWN)
             order = np.sort(scores, axis=1)
             lead = (order[:, -1] - order[:, -2]) * np.array([u.whole for u in units], bool)
-            best, sure = scores.argmax(axis=1), _confidence(scores) if len(scores) else np.zeros(0)
+            best, sure, lead = scores.argmax(axis=1).tolist(), _confidence(scores).tolist() if len(scores) else [], lead.tolist()
             at, seg, lang, conf, led, count = [], [], [], [], [], []
             for row, (lo, hi) in zip(rows, spans):
                 k = number = 0
                 for k in range(lo, hi):
                     if k > lo and lang[-1] == LANGUAGES[best[k]]:
                         n_words = len(words[k]) + units[k].more
-                        conf[-1] += (float(sure[k]) - conf[-1]) * n_words / (count[-1] + n_words)
-                        led[-1], count[-1] = max(led[-1], float(lead[k])), count[-1] + n_words
+                        conf[-1] += (sure[k] - conf[-1]) * n_words / (count[-1] + n_words)
+                        led[-1], count[-1] = max(led[-1], lead[k]), count[-1] + n_words
                         continue
                     number += 1
                     at.append(row)
                     seg.append(number)
                     lang.append(LANGUAGES[best[k]])
-                    conf.append(float(sure[k]))
-                    led.append(float(lead[k]))
+                    conf.append(sure[k])
+                    led.append(lead[k])
                     count.append(len(words[k]) + units[k].more)
             columns = [batch.column(c).take(pa.array(at, pa.int64())) for c in range(n)]
             return pa.RecordBatch.from_arrays([*columns, pa.array(seg, pa.int32()), pa.array(lang, pa.string()), pa.array(conf, pa.float64()), pa.array(led, pa.float64()), pa.array(count, pa.int32())], names=[*keep, "segment", "lang", "confidence", "lead", "words"])
