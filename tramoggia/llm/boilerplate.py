@@ -99,7 +99,10 @@ def tokens_of(text: str, bits: int, host: Host) -> list[int]:
     text = host.masked(text)
     if not text.isupper():
         text = _NAME.sub(" @", text)
-    text = _NAMES.sub(lambda m: "§" if "§" in m[0] else "@", _DIGITS.sub("#", text)).lower().replace("’", "'")
+    text = _DIGITS.sub("#", text)
+    if "@ " in text or "§ " in text:
+        text = _NAMES.sub(lambda m: "§" if "§" in m[0] else "@", text)
+    text = text.lower().replace("’", "'")
     out = []
     for piece in fu.pieces(text):
         if len(piece) > 8 or "# #" in piece or piece == "→" or sum(map(str.isalpha, piece)) > 1:

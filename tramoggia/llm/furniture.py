@@ -116,6 +116,13 @@ def ends_sentence(text: str) -> bool:
     return text[-1] in ".!?\"»”’;:…" or text[-1] == ")" and text[-2:-1] in (".", "!", "?")
 
 
+def _has_part(low: str) -> bool:
+    for part in PARTS:
+        if part in low:
+            return True
+    return False
+
+
 def is_prose(text: str) -> bool:
     """Whether a line without tags reads as a sentence or more: six words, most of them in lower
     case, few digits, and an end as a sentence has it (or sentences inside a long line)."""
@@ -132,23 +139,25 @@ def _marks(line: str) -> tuple[str, int]:
     if not text:
         return text, bits
     size = len(text)
+    # What begins with a letter is neither numbered nor an item.
+    lettered = text[0].isalpha()
     low = text[:200].lower() if size > 320 else text.lower()
     plain = trimmed(low) if size <= 320 else low.lstrip(HEAD)
     if size <= 320:
         head = plain.rstrip(": ")
         if head in _BOXES:
             bits |= BOX | CUE
-        elif head in _PHRASES or PAGER.match(text) or COMMENTS.match(text):
+        elif head in _PHRASES or not lettered and (PAGER.match(text) or COMMENTS.match(text)):
             bits |= CUE
         elif size < 160 and low.startswith(LINKS):
             bits |= LINK
-        elif plain.startswith(OPENINGS) and not _own_sentence(plain, text) or any(p in low for p in PARTS):
+        elif plain.startswith(OPENINGS) and not _own_sentence(plain, text) or _has_part(low):
             bits |= CUE
     elif plain.startswith(OPENINGS) and not _own_sentence(plain, text):
         bits |= CUE
     if is_prose(text):
         bits |= PROSE
-    if ITEM.match(text):
+    if not lettered and ITEM.match(text):
         bits |= LISTED
     words = text.count(" ") + 1
     if words <= 16 and text[-1] not in ".!?;,":
@@ -156,7 +165,7 @@ def _marks(line: str) -> tuple[str, int]:
     # Only a bracket's mark can be longer than "leggi tutto".
     if size < 220 and EXCERPT.search(text, 0 if text[-1] == "]" else max(0, size - 11)):
         bits |= TEASER
-    if m := NUMBERED.match(text):
+    if not lettered and (m := NUMBERED.match(text)):
         bits |= NUMBER | int(m[1]) << NUMBER_SHIFT
     if words >= 3 and bits & TITLE and not bits & LISTED and _HEADLINE.match(text):
         bits |= HEADLINE
@@ -181,7 +190,7 @@ def marks(line: str) -> tuple[str, int]:
 def itemized(line: str) -> tuple[str, int]:
     """The line without tags, and LISTED if it is an item of a list: what is left of `marks` where only that matters."""
     text = bare(line)[0]
-    return text, LISTED if ITEM.match(text) else 0
+    return text, LISTED if not text[:1].isalpha() and ITEM.match(text) else 0
 
 
 def _own_sentence(plain: str, text: str) -> bool:

@@ -10,6 +10,7 @@ matrix of n-grams × languages, and a batch is scored as one sparse matrix produ
 
 from __future__ import annotations
 
+import itertools
 import re
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -130,6 +131,8 @@ class Ngrams(dict):
         self._new: list[str] = []
         self._sizes, self._flat = np.zeros(0, np.int64), np.zeros(0, np.uint32)
         self._starts = self._sizes
+        #: Another object whenever the words are numbered anew.
+        self.version = object()
 
     def __missing__(self, word: str) -> int:
         out = self[word] = len(self)
@@ -158,30 +161,33 @@ class Ngrams(dict):
 _KNOWN = Ngrams()
 
 
-def indicators(texts: list[list[str]], known: Ngrams) -> tuple[np.ndarray, np.ndarray]:
-    """For texts as word lists, the distinct (text, n-gram) pairs: offsets and n-gram ids, in order of texts."""
+def word_ngrams(texts: list[list[str]], known: Ngrams) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """For texts as word lists: the numbers of their distinct words and how many each text has; then the n-grams of
+    these, sorted, as text * SPACE + n-gram, and whether each but the first equals the one before."""
     if len(known) > 300_000:
         known.clear()
     sets = [set(words) for words in texts]
-    words = np.array([known[w] for mine in sets for w in mine], np.int64)  # new ones are numbered here
-    if not len(words):
-        return np.zeros(len(texts) + 1, np.int64), np.zeros(0, np.int64)
+    counts = np.fromiter(map(len, sets), np.int64, len(sets))
+    words = np.fromiter(map(known.__getitem__, itertools.chain.from_iterable(sets)), np.int64, int(counts.sum()))  # new ones are numbered here
     starts, sizes, flat = known.table()
     # Short keys as long as the texts are few enough for them.
     kind = np.uint32 if len(texts) < (1 << 32) // SPACE else np.int64
-    text = np.repeat(np.arange(len(texts), dtype=kind) * kind(SPACE), np.fromiter(map(len, sets), np.int64, len(sets)))
     each = sizes[words]
     ends = np.cumsum(each)
-    at = np.arange(ends[-1], dtype=np.int32 if ends[-1] < 1 << 31 else np.int64)
+    total = int(ends[-1]) if len(ends) else 0
+    at = np.arange(total, dtype=np.int32 if total < 1 << 31 else np.int64)
     at += np.repeat((starts[words] - ends + each).astype(at.dtype), each)
-    keys = np.repeat(text, each)
+    keys = np.repeat(np.repeat(np.arange(len(texts), dtype=kind) * kind(SPACE), counts), each)
     keys += flat[at]
     keys.sort()
-    keep = np.empty(len(keys), bool)
-    keep[0] = True
-    np.not_equal(keys[1:], keys[:-1], out=keep[1:])
-    keys = keys[keep]
-    return np.searchsorted(keys, np.arange(len(texts) + 1, dtype=np.int64) * SPACE), (keys & kind(SPACE - 1)).astype(np.int32)
+    return words, counts, keys, keys[1:] == keys[:-1]
+
+
+def indicators(texts: list[list[str]], known: Ngrams) -> tuple[np.ndarray, np.ndarray]:
+    """For texts as word lists, the distinct (text, n-gram) pairs: offsets and n-gram ids, in order of texts."""
+    _, _, keys, again = word_ngrams(texts, known)
+    keys = np.concatenate([keys[:1], keys[1:][~again]])
+    return np.searchsorted(keys, np.arange(len(texts) + 1, dtype=np.int64) * SPACE), (keys % keys.dtype.type(SPACE)).astype(np.int32)
 
 
 class Classifier:
@@ -190,7 +196,8 @@ class Classifier:
     def __init__(self, weights: np.ndarray):
         #: n-grams × languages
         self.weights = weights
-        self._by_language = np.ascontiguousarray(weights.T)
+        #: Sums of the weights of each word's n-grams, for the words of `_summed`.
+        self._sums, self._summed = np.zeros((0, len(LANGUAGES))), None
 
     @classmethod
     def fit(cls, texts: list[list[str]], labels: list[int], seed: int = 5) -> Classifier:
@@ -226,16 +233,37 @@ class Classifier:
         return cls(weights)
 
     def scores(self, texts: list[list[str]], known: Ngrams) -> np.ndarray:
-        """texts × languages; about 1 for the text's language and -1 for the others."""
-        offsets, ids = indicators(texts, known)
-        if not len(texts):
-            return np.zeros((0, len(LANGUAGES)), np.float32)
-        sizes = np.diff(offsets)
-        full = sizes > 0
-        out = np.zeros((len(texts), len(LANGUAGES)), np.float32)
-        for k, weights in enumerate(self._by_language if full.any() else ()):
-            out[full, k] = np.add.reduceat(weights[ids], offsets[:-1][full])
-        return out / np.sqrt(np.maximum(sizes, 1), dtype=np.float32)[:, None]
+        """texts × languages; about 1 for the text's language and -1 for the others.
+
+        Of a text's n-grams few are in two of its words, so the words' sums are added, and these n-grams taken off.
+        """
+        words, counts, keys, again = word_ngrams(texts, known)
+        sums, sizes = self._word_sums(known), known.table()[1]
+        own = np.zeros((len(texts), len(LANGUAGES)))
+        n = np.zeros(len(texts), np.int64)
+        full = np.flatnonzero(counts)
+        if len(full):
+            starts = (np.cumsum(counts) - counts)[full]
+            own[full] = np.add.reduceat(sums[words], starts)
+            n[full] = np.add.reduceat(sizes[words], starts)
+        twice = keys[1:][again]
+        text, ids = (twice // SPACE).astype(np.int64), twice % SPACE
+        n -= np.bincount(text, minlength=len(texts))
+        for k in range(len(LANGUAGES)):
+            own[:, k] -= np.bincount(text, self.weights[ids, k], minlength=len(texts))
+        return (own / np.sqrt(np.maximum(n, 1))[:, None]).astype(np.float32)
+
+    def _word_sums(self, known: Ngrams) -> np.ndarray:
+        starts, sizes, flat = known.table()
+        if self._summed is not known.version:
+            self._sums, self._summed = np.zeros((0, len(LANGUAGES))), known.version
+        if (done := len(self._sums)) < len(sizes):
+            added = np.zeros((len(sizes) - done, len(LANGUAGES)))
+            full = np.flatnonzero(sizes[done:])
+            if len(full):
+                added[full] = np.add.reduceat(self.weights[flat[starts[done] :]].astype(np.float64), (starts[done:] - starts[done])[full])
+            self._sums = np.concatenate([self._sums, added])
+        return self._sums
 
 
 def stated(label: Column) -> Column:
