@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tramoggia.llm import answers, boilerplate, encoding, furniture, language, mixing, quality, reading
+from tramoggia.operators.joins import lookup
 from tramoggia.session import mapped, stage, table
 
 DATA = "/root/testdata/sf0.01"
@@ -121,6 +122,16 @@ def test_tables_of_tokens_are_not_broadcast(spark):
     assert keys.where("site is not null").count() > 0 and keys.where("site is null").count() > 0
 
 
+def test_keys_beyond_the_limit_are_not_broadcast(spark):
+    pages = stage(mapped(_pages(spark).select("rec_id", "site", "text"), boilerplate._tokenize, boilerplate._SCHEMA), "page-tokens")
+    keys = stage(boilerplate.template(pages), "template-keys")
+    own = keys.where("site is not null").withColumn("key", F.xxhash64("site", "tok")).drop("site", "tok")
+    each = pages.select("site", F.explode("tok").alias("tok")).withColumn("key", F.xxhash64("site", "tok"))
+    salted, plain = lookup(each, own, "key", limit=0), lookup(each, own, "key")
+    assert broadcasts(salted) == 0 and broadcasts(plain) == 1
+    assert salted.count() == each.count() and salted.where("kind is not null").count() == plain.where("kind is not null").count() > 0
+
+
 def test_lists_of_furniture_are_not_broadcast(spark):
     pages = boilerplate.with_furniture(_pages(spark).select("rec_id", "site", "text"))
     assert broadcasts(pages) == 0

@@ -15,7 +15,8 @@ def lookup(df: DataFrame, small: DataFrame, key: str, how: str = "left", limit:
     """`df` joined with `small` (unique `key`): by broadcast if it has at most `limit` rows, else salted.
 
     Beyond the limit every row of `small` is copied SALT times and the rows of `df` are dealt to the
-    copies, so a key that holds a third of all rows isn't one task's work. Null keys match nothing.
+    copies, so a key that holds a third of all rows isn't one task's work. The copies are merged: the planner takes them
+    for as small as the one compressed table, and would broadcast them all. Null keys match nothing.
     """
     if how not in ("left", "inner", "left_semi", "left_anti"):
         raise ValueError(how)
@@ -24,4 +25,4 @@ def lookup(df: DataFrame, small: DataFrame, key: str, how: str = "left", limit:
     salts = F.explode(F.array([F.lit(k) for k in range(SALT)]))
     salted = small.withColumn("_salt", salts)
     dealt = df.withColumn("_salt", F.pmod(F.xxhash64(*[c for c, t in df.dtypes if not t.startswith(("map", "variant"))]), F.lit(SALT)).cast("int"))
-    return dealt.join(salted, [key, "_salt"], how).drop("_salt")
+    return dealt.join(salted.hint("merge"), [key, "_salt"], how).drop("_salt")
